@@ -100,10 +100,14 @@ def finite(x: Column) -> Column:
 
 
 def nearly_equal(a: Column | str, b: Column | str, tolerance: float = RELATIVE_TOLERANCE) -> Column:
-    """Relative closeness to the larger magnitude (at least 1); missing is never close."""
+    """Relative closeness to the larger magnitude (at least 1); missing is never close.
+
+    A difference that is infinite or NaN comes from a value that is not finite.
+    """
     a, b = col(a).cast("double"), col(b).cast("double")
-    close = F.abs(a - b) <= F.lit(tolerance) * F.greatest(F.abs(a), F.abs(b), F.lit(1.0))
-    return F.coalesce(finite(a) & finite(b) & close, F.lit(False))
+    apart = F.abs(a - b)
+    close = (apart < F.lit(float("inf"))) & (apart <= F.lit(tolerance) * F.greatest(F.abs(a), F.abs(b), F.lit(1.0)))
+    return F.coalesce(close, F.lit(False))
 
 
 def share(part: Column, whole: Column, digits: int = 1) -> Column:
