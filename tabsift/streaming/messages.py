@@ -44,7 +44,7 @@ def extract_fields(df: DataFrame, text: str, districts: DataFrame, district: str
     """
     low = F.lower(text)
     known = broadcast_if_small(districts.select(F.col(district).alias("district"), F.lower(district).alias("_said")).distinct())
-    said = scalars.capture(low, r"\bno ([^,]+?)\s*(,|$)")
+    said = scalars.capture(low, r"(?:^|\s)no ([^,]+?)\s*(?:,|$)")
     out = df.withColumns(
         {
             "kind": scalars.capture(low, KIND),
@@ -67,18 +67,17 @@ def run_once(df: DataFrame, path: str, checkpoint: str) -> None:
     finish(query)
 
 
-def clean_stream(df: DataFrame, rules: Sequence[Rule], gold: str, rejected: str, checkpoint: str) -> None:
+def clean_stream(df: DataFrame, rules: Sequence[Rule], path: str, checkpoint: str) -> None:
     """Split arriving rows into gold and quarantine with the batch rules.
 
-    Every micro-batch writes its own folder and replaces it, so a batch that is
-    run again after a lost executor or driver leaves no duplicate.
+    Each micro-batch is read and written once, into a folder of its own that a
+    re-run replaces, so a lost executor or driver leaves no duplicate. Inside it
+    ``quarantined`` is a partition: readers of gold never open rejected rows.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        marked = with_failures(batch, rules)
-        good = marked.where(F.size("failed_rules") == 0).drop("failed_rules")
-        good.write.mode("overwrite").parquet(f"{gold}/batch={batch_id}")
-        marked.where(F.size("failed_rules") > 0).write.mode("overwrite").parquet(f"{rejected}/batch={batch_id}")
+        marked = with_failures(batch, rules).withColumn("quarantined", F.size("failed_rules") > 0)
+        marked.write.mode("overwrite").partitionBy("quarantined").parquet(f"{path}/batch={batch_id}")
 
     finish(df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
