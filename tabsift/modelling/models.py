@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.leakage import Feature, refuse_leaks
+from ..session import staged
 from . import evaluate as ev
 from .split import split
 
@@ -194,22 +195,29 @@ def train(
     split_column: str | None = None,
     global_explain: bool = False,
     catalog: Mapping[str, Feature] | None = None,
+    stage: bool | None = None,
     **options,
 ) -> Model:
     """Train on ``df``: the label column is the answer, every other column a feature.
 
     Rows without a label are left out. With a ``catalog`` of declared columns,
-    features that touch the label's sources are refused.
+    features that touch the label's sources are refused. A supervised training
+    reads its rows a dozen times, so the SELECT is written out once first;
+    ``stage=False`` skips that for a frame that is already a plain table.
+    Clustering holds its rows itself and draws its first centres by partition,
+    so it reads the frame as it is laid out unless told to stage it.
     """
     kind = model_type.upper()
+    stage = kind not in UNSUPERVISED if stage is None else stage
     if kind in UNSUPERVISED:
-        return _train_unsupervised(df, kind, options)
+        return _train_unsupervised(staged(df, "training") if stage else df, kind, options)
     if label is None or label not in df.columns:
         raise ValueError("a supervised model needs its label column among the training columns")
     names = [c for c in df.columns if c not in (label, split_column)]
     if catalog:
         refuse_leaks(names, label, catalog)
     rows = df.where(F.col(f"`{label}`").isNotNull())
+    rows = staged(rows, "training") if stage else rows
     seed = options.get("seed", 42)
     fit, held = split(rows, split_method, seed, split_column)
 
@@ -337,15 +345,17 @@ def evaluate(model: Model, df: DataFrame, threshold: float | None = None) -> Dat
         points = points.select("_cluster", *[F.col("v")[i].alias(d) for i, d in enumerate(names)])
         index = ev.davies_bouldin(points, names, "_cluster")
         return df.sparkSession.createDataFrame([(index,)], "davies_bouldin_index double")
-    scored = predict(model, df, threshold)
-    p = f"predicted_{model.label}"
+    scored, p = predict(model, df, threshold), f"predicted_{model.label}"
+    truth = F.col(f"`{model.label}`").alias("y")
     if model.kind in REGRESSORS:
-        return ev.regression_metrics(scored, model.label, p)
-    truth, answer = F.col(f"`{model.label}`"), F.col(f"`{p}`")
-    if len(model.classes) == 2:
+        return ev.regression_metrics(staged(scored.select(truth, F.col(f"`{p}`").alias("p")), "scored"), "y", "p")
+    two = len(model.classes) == 2
+    score = _prob_of(f"{p}_probs", F.lit(model.classes[1]) if two else F.col(f"`{model.label}`"))
+    pairs = staged(scored.select(truth, F.col(f"`{p}`").alias("p"), score.alias("s")), "scored")
+    if two:
         yes = F.lit(model.classes[1])
-        return ev.classification_metrics(scored, truth == yes, answer == yes, _prob_of(f"{p}_probs", yes))
-    metrics = ev.multiclass_metrics(scored, truth, answer, _prob_of(f"{p}_probs", truth))
+        return ev.classification_metrics(pairs, F.col("y") == yes, F.col("p") == yes, F.col("s"))
+    metrics = ev.multiclass_metrics(pairs, F.col("y"), F.col("p"), F.col("s"))
     if model.kind == "BOOSTED_TREE_CLASSIFIER":  # votes are no probabilities
         return metrics.withColumn("log_loss", F.lit(None).cast("double"))
     return metrics

@@ -7,9 +7,15 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import staged
 from . import evaluate as ev
 from .models import CLASSIFIERS, REGRESSORS, Model, evaluate, predict, train
-from .split import split
+from .split import split as _split
+
+
+def split(df: DataFrame, policy: str, seed: int = 42):
+    """One written table, cut once: every model of a comparison sees the same rows."""
+    return _split(staged(df, "compared"), policy, seed)
 
 
 def _long(spark, rows: list[tuple[str, dict]]) -> DataFrame:
@@ -38,23 +44,23 @@ def scoreboard(models: Mapping[str, Model], holdout: DataFrame) -> DataFrame:
 def model_search(df: DataFrame, label: str, kinds: Sequence[str], seed: int = 42, **options) -> DataFrame:
     """Train several model types on one split and score all of them on its other side."""
     fit, held = split(df, "AUTO", seed)
-    models = {k: train(fit, k, label, split_method="NONE", seed=seed, **options.get(k, {})) for k in kinds}
+    models = {k: train(fit, k, label, split_method="NONE", stage=False, seed=seed, **options.get(k, {})) for k in kinds}
     return scoreboard(models, held)
 
 
 def ablate(df: DataFrame, label: str, kind: str, groups: Mapping[str, Sequence[str]], seed: int = 42, **options) -> DataFrame:
     """The same model without each named group of columns, and with all of them."""
     fit, held = split(df, "AUTO", seed)
-    models = {"all": train(fit, kind, label, split_method="NONE", seed=seed, **options)}
+    models = {"all": train(fit, kind, label, split_method="NONE", stage=False, seed=seed, **options)}
     for name, columns in groups.items():
-        models[f"without_{name}"] = train(fit.drop(*columns), kind, label, split_method="NONE", seed=seed, **options)
+        models[f"without_{name}"] = train(fit.drop(*columns), kind, label, split_method="NONE", stage=False, seed=seed, **options)
     return scoreboard(models, held)
 
 
 def seed_spread(df: DataFrame, label: str, kind: str, seeds: Sequence[int], **options) -> DataFrame:
     """Lowest and highest value of each metric over repeated trainings on one split."""
     fit, held = split(df, "AUTO")
-    rows = [(str(s), evaluate(train(fit, kind, label, split_method="NONE", seed=s, **options), held).first().asDict()) for s in seeds]
+    rows = [(str(s), evaluate(train(fit, kind, label, split_method="NONE", stage=False, seed=s, **options), held).first().asDict()) for s in seeds]
     return _long(df.sparkSession, rows).groupBy("metric").agg(
         F.count("value").alias("runs"), F.min("value").alias("low"), F.max("value").alias("high")
     )
@@ -81,7 +87,7 @@ def segment_feature(df: DataFrame, label: str, columns: Sequence[str], kind: str
         return predict(segments, part).withColumn("segment", F.col("CENTROID_ID").cast("string")).drop("CENTROID_ID")
 
     models = {"with_segment": train(mark(fit), kind, label, split_method="NONE", seed=seed, **options)}
-    plain = train(fit, kind, label, split_method="NONE", seed=seed, **options)
+    plain = train(fit, kind, label, split_method="NONE", stage=False, seed=seed, **options)
     both = scoreboard(models, mark(held))
     return both.unionByName(scoreboard({"without_segment": plain}, held).where("model <> 'baseline'"))
 

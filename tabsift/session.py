@@ -51,6 +51,17 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tabsift/{label}-{uuid.uuid4().hex}"
 
 
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Write a frame that several jobs will read, and go on from the written table.
+
+    It cuts the lineage in a folder that outlives any executor, and later jobs
+    read only the columns they need. Old folders may be expired by the cluster.
+    """
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only after counting; larger sides go through a shuffle join."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

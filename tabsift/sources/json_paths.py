@@ -31,10 +31,11 @@ def inventory(df: DataFrame, doc: str) -> DataFrame:
     merged = parsed.select(F.expr("schema_of_variant_agg(_d)")).first()[0]
     found = leaves(T.DataType.fromDDL(merged.replace("OBJECT<", "STRUCT<")))
     cell = lambda at: F.try_variant_get("_d", at, "string")
+    held = lambda at: F.try_variant_get("_d", at, "variant")
     aggs = [F.count("*").alias("_n")]
     for i, (_, at, _) in enumerate(found):
         aggs += [
-            F.count(F.when(~F.is_variant_null(F.try_variant_get("_d", at, "variant")), 1)).alias(f"_k{i}"),
+            F.count_if(held(at).isNotNull() & ~F.is_variant_null(held(at))).alias(f"_k{i}"),
             F.approx_count_distinct(cell(at)).alias(f"_d{i}"),
             F.min(cell(at)).eqNullSafe(F.max(cell(at))).alias(f"_c{i}"),
         ]

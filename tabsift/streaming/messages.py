@@ -82,6 +82,11 @@ def clean_stream(df: DataFrame, rules: Sequence[Rule], path: str, checkpoint: st
     finish(df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
+def read_cleaned(spark: SparkSession, path: str) -> DataFrame:
+    """All cleaned rows with a true boolean ``quarantined`` (a folder name is text)."""
+    return spark.read.parquet(path).withColumn("quarantined", F.col("quarantined").cast("boolean"))
+
+
 def finish(query: StreamingQuery) -> None:
     query.awaitTermination()
     if query.exception() is not None:
