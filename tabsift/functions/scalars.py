@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # What counts as "no number", the shape of a number, the shape of
 # a date, and the shape of an amount in text.
 NULL_TOKENS = ("", "na", "n/a", "null", "none", "-")
+NUMBER_LETTERS = r"^[-+0-9.,eE%R$ ]+$"
 NUMBER_SHAPE = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 ISO_DATE_SHAPE = r"^[0-9]{4}[-/][0-9]{2}[-/][0-9]{2}"
 DMY_DATE_SHAPE = r"^[0-9]{2}[-/][0-9]{2}[-/][0-9]{4}"
@@ -63,7 +64,9 @@ def parse_number(text: Column | str, locale: str = "auto") -> Column:
     way to get ``1,234.56`` right in one and ``1.234`` right in the other.
     """
     raw = F.trim(col(text))
-    bare = F.regexp_replace(raw, r"R\$|%| ", "")
+    bare = raw
+    for sign in ("R$", "%", " "):
+        bare = F.replace(bare, F.lit(sign), F.lit(""))
     if locale == "br":
         plain = swap_separators(bare)
     elif locale == "us":
@@ -76,7 +79,8 @@ def parse_number(text: Column | str, locale: str = "auto") -> Column:
         )
     else:
         raise ValueError(f"unknown locale {locale!r}")
-    return F.when(~F.lower(raw).isin(*NULL_TOKENS), to_double(plain))
+    # Most text is refused at its first foreign letter, before any rewriting.
+    return F.when(raw.rlike(NUMBER_LETTERS) & ~F.lower(raw).isin(*NULL_TOKENS), to_double(plain))
 
 
 def parse_date(text: Column | str) -> Column:

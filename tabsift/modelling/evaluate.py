@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import col
 from ..operators import quantiles
-from ..session import broadcast_if_small, one_row
+from ..session import broadcast_if_small, one_row, staged
 
 REGRESSION = ("mean_absolute_error", "mean_squared_error", "median_absolute_error", "r2_score", "explained_variance")
 CLASSIFICATION = ("precision", "recall", "accuracy", "f1_score", "log_loss", "roc_auc")
@@ -94,17 +94,18 @@ def roc_auc(df: DataFrame, truth: str, score: str) -> DataFrame:
     n, edges = rows.agg(F.count("*"), F.percentile_approx("s", steps, 10_000)).first()
     counts = rows.groupBy("s").agg(F.count_if("y").alias("pos"), F.count_if(~F.col("y")).alias("neg"))
     cuts = sorted(set(edges or []))
-    if n > ONE_WINDOW_ROWS and len(cuts) > 2:
-        binned = Bucketizer(splits=[-np.inf, *cuts[1:-1], np.inf], inputCol="s", outputCol="bin").transform(counts)
-    else:
-        binned = counts.withColumn("bin", F.lit(0.0))
-    totals = binned.groupBy("bin").agg(F.sum("neg").alias("neg_bin"))
-    before = W.partitionBy(F.lit(0)).orderBy("bin").rowsBetween(W.unboundedPreceding, -1)
-    offsets = totals.select("bin", F.coalesce(F.sum("neg_bin").over(before), F.lit(0)).alias("offset"))
-    inside = W.partitionBy("bin").orderBy("s").rowsBetween(W.unboundedPreceding, -1)
-    ranked = binned.withColumn("below", F.coalesce(F.sum("neg").over(inside), F.lit(0))).join(F.broadcast(offsets), "bin")
-    wins = F.col("pos") * (F.col("offset") + F.col("below") + F.col("neg") / 2.0)
-    return ranked.agg(F.try_divide(F.sum(wins), F.sum("pos").cast("double") * F.sum("neg")).alias("roc_auc"))
+    wins = F.col("pos") * (F.col("below") + F.col("neg") / 2.0)
+    area = F.try_divide(F.sum(wins), F.sum("pos").cast("double") * F.sum("neg")).alias("roc_auc")
+    order = W.orderBy("s").rowsBetween(W.unboundedPreceding, -1)
+    earlier = F.coalesce(F.sum("neg").over(order.partitionBy(F.lit(0))), F.lit(0))
+    if n <= ONE_WINDOW_ROWS or len(cuts) <= 2:
+        return counts.withColumn("below", earlier).agg(area)
+    binned = Bucketizer(splits=[-np.inf, *cuts[1:-1], np.inf], inputCol="s", outputCol="bin").transform(counts)
+    totals = binned.groupBy("bin").agg(F.sum("neg").alias("neg"), F.min("bin").alias("s"))
+    offsets = totals.select("bin", earlier.alias("offset"))
+    inside = F.coalesce(F.sum("neg").over(order.partitionBy("bin")), F.lit(0))
+    ranked = binned.withColumn("inside", inside).join(F.broadcast(offsets), "bin")
+    return ranked.withColumn("below", F.col("offset") + F.col("inside")).agg(area)
 
 
 def confusion_matrix(df: DataFrame, truth: str, predicted: str, labels: Sequence) -> DataFrame:
@@ -155,7 +156,7 @@ def residual_outliers(df: DataFrame, truth: str, predicted: str, segment: str, l
 
     A model used as a detector of bad records: 0.6745·|r − median| / MAD > limit.
     """
-    rows = df.withColumn("residual", F.col(truth) - F.col(predicted)).where(F.col("residual").isNotNull())
+    rows = staged(df.withColumn("residual", F.col(truth) - F.col(predicted)).where(F.col("residual").isNotNull()), "residuals")
     centre = broadcast_if_small(quantiles.exact(rows, "residual", {"_med": 0.5}, by=[segment]))
     off = rows.join(centre, segment).withColumn("_dev", F.abs(F.col("residual") - F.col("_med")))
     spread = broadcast_if_small(quantiles.exact(off, "_dev", {"_mad": 0.5}, by=[segment]))

@@ -195,20 +195,17 @@ def train(
     split_column: str | None = None,
     global_explain: bool = False,
     catalog: Mapping[str, Feature] | None = None,
-    stage: bool | None = None,
+    stage: bool = True,
     **options,
 ) -> Model:
     """Train on ``df``: the label column is the answer, every other column a feature.
 
     Rows without a label are left out. With a ``catalog`` of declared columns,
-    features that touch the label's sources are refused. A supervised training
-    reads its rows a dozen times, so the SELECT is written out once first;
-    ``stage=False`` skips that for a frame that is already a plain table.
-    Clustering holds its rows itself and draws its first centres by partition,
-    so it reads the frame as it is laid out unless told to stage it.
+    features that touch the label's sources are refused. Training reads its rows
+    a dozen times, so the SELECT is written out once first; ``stage=False`` skips
+    that for a frame that is already a plain table.
     """
     kind = model_type.upper()
-    stage = kind not in UNSUPERVISED if stage is None else stage
     if kind in UNSUPERVISED:
         return _train_unsupervised(staged(df, "training") if stage else df, kind, options)
     if label is None or label not in df.columns:

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import staged
+
 INDEX_BUCKETS = 1_024
 
 
@@ -46,7 +48,7 @@ class Recommender:
 def factorize(df: DataFrame, user: str, item: str, weight: str | None = None, factors: int = 8, seed: int = 42, iterations: int = 8) -> Recommender:
     """Implicit-feedback factors from view counts (or a given weight per row)."""
     amount = F.sum(weight) if weight else F.count("*")
-    seen = df.groupBy(user, item).agg(amount.cast("float").alias("_w"))
+    seen = staged(df.groupBy(user, item).agg(amount.cast("float").alias("_w")), "seen")
     users, items = dense_index(seen, user, "_u"), dense_index(seen, item, "_i")
     ready = seen.join(users, user).join(items, item).select("_u", "_i", "_w")
     als = ALS(rank=factors, maxIter=iterations, implicitPrefs=True, seed=seed, userCol="_u", itemCol="_i", ratingCol="_w")

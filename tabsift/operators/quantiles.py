@@ -54,12 +54,13 @@ def exact(df: DataFrame, x: Column | str, probs: dict[str, float], by: Sequence[
             F.col("_g")[2 * i].alias(f"_lo{i}"),
             F.col("_g")[2 * i + 1].alias(f"_hi{i}"),
         ]
-    brackets, size = _small(marks.select(*cols))
-    inside = 2 * MARGIN * size
+    brackets, rows = _small(marks.select(*cols))
+    largest = brackets.agg(F.max("_n")).first()[0] if rows is None else max((r["_n"] for r in rows), default=0)
+    inside = 2 * MARGIN * largest
     while inside > BRACKET_ROWS:
-        brackets, _ = _small(_narrow(base, brackets, names, len(probs)))
+        brackets, rows = _small(_narrow(_attach(base, brackets, rows, bool(by)), names, len(probs)))
         inside = 5 * inside / GRID_STEPS
-    picked = _pick(base, brackets, names, list(probs))
+    picked = _pick(_attach(base, brackets, rows, bool(by)), names, list(probs))
     return picked.select(*[F.col("_by")[b].alias(b) for b in by], *probs)
 
 
@@ -71,22 +72,27 @@ def _around(grid: Column, p: Column, i: int) -> list[Column]:
     return [low.alias(f"_lo{i}"), high.alias(f"_hi{i}")]
 
 
-def _small(brackets: DataFrame) -> tuple[DataFrame, int]:
+def _small(brackets: DataFrame) -> tuple[DataFrame, list | None]:
     """Fix the few bracket rows so later passes do not repeat the sketch pass.
 
-    Also says how many rows the largest group has. With more groups than may be
-    broadcast the brackets stay a distributed table and join by shuffle.
+    With more groups than may be broadcast the brackets stay a distributed
+    table, joined by shuffle.
     """
     rows = brackets.limit(BROADCAST_ROWS + 1).collect()
     if len(rows) > BROADCAST_ROWS:
-        return brackets, brackets.agg(F.max("_n")).first()[0]
-    fixed = brackets.sparkSession.createDataFrame(rows, brackets.schema)
-    return F.broadcast(fixed), max((r["_n"] for r in rows), default=0)
+        return brackets, None
+    return F.broadcast(brackets.sparkSession.createDataFrame(rows, brackets.schema)), rows
 
 
-def _narrow(base: DataFrame, brackets: DataFrame, names: list[str], n: int) -> DataFrame:
+def _attach(base: DataFrame, brackets: DataFrame, rows: list | None, grouped: bool) -> DataFrame:
+    """Every row with its group's bracket; without groups the bracket is literals."""
+    if grouped or not rows:
+        return base.join(brackets, "_by")
+    return base.select("*", *[F.lit(rows[0][f.name]).cast(f.dataType).alias(f.name) for f in brackets.schema if f.name != "_by"])
+
+
+def _narrow(joined: DataFrame, names: list[str], n: int) -> DataFrame:
     """One more sketch, over the rows inside each bracket only."""
-    joined = base.join(brackets, names)
     aggs = [F.first("_n").alias("_n")]
     for i in range(n):
         held = F.col("_x").between(F.col(f"_lo{i}"), F.col(f"_hi{i}"))
@@ -104,7 +110,7 @@ def _narrow(base: DataFrame, brackets: DataFrame, names: list[str], n: int) -> D
     return level.select(*cols)
 
 
-def _pick(base: DataFrame, brackets: DataFrame, names: list[str], probs: list[str]) -> DataFrame:
+def _pick(joined: DataFrame, names: list[str], probs: list[str]) -> DataFrame:
     """Count values inside brackets one by one and everything between brackets in bulk."""
     n = len(probs)
     x = F.col("_x")
@@ -115,8 +121,7 @@ def _pick(base: DataFrame, brackets: DataFrame, names: list[str], probs: list[st
         floor = F.greatest(floor, F.when(F.col(f"_hi{i}") < x, F.col(f"_hi{i}").cast("double")))
     ranks = [f"_r{i}" for i in range(n)]
     counts = (
-        base.join(brackets, names)
-        .select(*names, *ranks, F.when(inside, x).alias("_v"), F.when(~inside, F.struct(floor.alias("f"))).alias("_gap"))
+        joined.select(*names, *ranks, F.when(inside, x).alias("_v"), F.when(~inside, F.struct(floor.alias("f"))).alias("_gap"))
         .groupBy(*names, *ranks, "_v", "_gap")
         .agg(F.count("*").alias("_k"))
         .withColumn("_o", F.coalesce(F.col("_v").cast("double"), F.col("_gap.f")))

@@ -13,7 +13,7 @@ from .views import table, view
 
 def priced(spark, sf_dir):
     """Line items with a learnable target: what is left of the price after the discount."""
-    return table(spark, sf_dir, "lineitem").select(
+    return table(spark, sf_dir, "lineitem", heavy=True).select(
         (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("net"),
         "l_extendedprice",
         F.when(F.col("l_tax") > 0.02, F.col("l_discount")).alias("l_discount"),
@@ -25,7 +25,7 @@ def priced(spark, sf_dir):
 
 def qualified(spark, sf_dir):
     """Documents with their quality label and facts about the text, not the text itself."""
-    d = view(spark, sf_dir, "label_text")
+    d = view(spark, sf_dir, "label_text", heavy=True)
     words = F.size(F.split("text", r"\s+"))
     return d.select(
         (F.col("quality") == 1).alias("good"),

@@ -5,7 +5,7 @@ from itertools import combinations
 from pyspark.sql import functions as F
 
 from ..operators import profiler
-from ..session import fresh_path
+from ..session import fresh_path, spread
 from ..sources import csv_files
 from .registry import register
 from .views import table, view, with_views
@@ -35,7 +35,7 @@ DIRTY = {
 
 @register("profile_columns", with_views("lineitem_dirty", _columns_sql("lineitem_dirty", DIRTY)))
 def profile_columns(spark, sf_dir):
-    return profiler.profile_columns(view(spark, sf_dir, "lineitem_dirty").select(*DIRTY))
+    return profiler.profile_columns(view(spark, sf_dir, "lineitem_dirty", heavy=True).select(*DIRTY))
 
 
 RAW = {"doc_id": "number", "text": "text", "lang": "category", "source": "category", "n_chars": "number"}
@@ -46,7 +46,7 @@ def profile_raw_csv(spark, sf_dir):
     """The same profile of untyped text cells, read back from a CSV with a detected separator."""
     path = fresh_path(spark, "profile")
     csv_files.write_csv(table(spark, sf_dir, "documents"), path, sep=";")
-    return profiler.profile_columns(csv_files.read_csv(spark, path, sep=";", multiline=True))
+    return profiler.profile_columns(spread(csv_files.read_csv(spark, path, sep=";", multiline=True)))
 
 
 @register(
@@ -64,7 +64,7 @@ union all select 'free_text', 'note', 'mean_chars',
  round(avg(length('order ' || o_orderkey || ' placed with priority ' || o_orderpriority || ' and status ' || o_orderstatus)), 2), true from orders""",
 )
 def target_candidates(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").drop("o_custkey")
+    orders = table(spark, sf_dir, "orders", heavy=True).drop("o_custkey")
     parts = ["order ", F.col("o_orderkey").cast("string"), " placed with priority ", F.col("o_orderpriority"), " and status ", F.col("o_orderstatus")]
     note = F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
     return profiler.target_candidates(orders.withColumn("note", note))

@@ -8,7 +8,7 @@ from ..functions.text_patterns import COMMERCIAL
 from ..modelling import evaluate as ev
 from ..modelling import models, recommend, series, vectors
 from ..operators.aggregates import profile_groups, union_all
-from ..session import one_row
+from ..session import one_row, spread
 from .q_rules_audit import GOLD_SQL, gold
 from .registry import register
 from .views import table, view, with_views
@@ -305,7 +305,7 @@ select * from (select a.vec_id as query, b.vec_id as neighbour,
 )
 def vector_topk(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
-    found = vectors.vector_search(e, e, 5, "vec_id", "embedding", "vec_id", "embedding", skip_self=True)
+    found = vectors.vector_search(spread(e), e, 5, "vec_id", "embedding", "vec_id", "embedding", skip_self=True)
     return found.withColumn("similarity", F.round("similarity", 6))
 
 

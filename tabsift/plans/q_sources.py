@@ -54,7 +54,7 @@ from envelopes""",
     ),
 )
 def envelope(spark, sf_dir):
-    return view(spark, sf_dir, "envelopes").select(
+    return view(spark, sf_dir, "envelopes", heavy=True).select(
         "event_id",
         J.value("raw", "user").alias("at_root"),
         J.body("raw", "user").try_cast("bigint").alias("in_body"),
@@ -85,7 +85,7 @@ PATHS = {
 
 @register("json_path_profile", with_views("envelopes", " union all ".join(_path_sql(s, a) for s, a in PATHS.items())))
 def json_path_profile(spark, sf_dir):
-    return json_paths.inventory(view(spark, sf_dir, "envelopes"), "raw").select("path", "filled", "rows", "pct", "is_constant")
+    return json_paths.inventory(view(spark, sf_dir, "envelopes", heavy=True), "raw").select("path", "filled", "rows", "pct", "is_constant")
 
 
 @register("csv_json_roundtrip", with_views("envelopes", "select event_id, cast(ts as varchar) as ts, raw from envelopes"))
@@ -165,7 +165,7 @@ select event_id, try_cast(raw ->> '$.body.user' as bigint) as user_id, raw ->> '
 )
 def silver_typed(spark, sf_dir):
     bronze = fresh_path(spark, "bronze")
-    medallion.to_bronze(view(spark, sf_dir, "envelopes").select("event_id", "raw"), bronze)
+    medallion.to_bronze(view(spark, sf_dir, "envelopes", heavy=True).select("event_id", "raw"), bronze)
     return medallion.to_silver(spark.read.parquet(bronze), "raw", SILVER, keep=("event_id",))
 
 

@@ -19,7 +19,7 @@ FLAG_SQL = ", ".join(f"{_re(p)} as {n}" for n, p in ALL_FLAGS.items())
 
 @register("text_flags", with_views("part_titles", f"select p_partkey, {FLAG_SQL} from part_titles"))
 def text_flags(spark, sf_dir):
-    return text_features.add_flags(view(spark, sf_dir, "part_titles"), "title", ALL_FLAGS).select("p_partkey", *ALL_FLAGS)
+    return text_features.add_flags(view(spark, sf_dir, "part_titles", heavy=True), "title", ALL_FLAGS).select("p_partkey", *ALL_FLAGS)
 
 
 @register(
@@ -115,7 +115,7 @@ def uncovered_tokens(spark, sf_dir):
 
 @register("uncovered_words_documents", _tokens_sql("documents", "text", "lang = 'en'"))
 def uncovered_words_documents(spark, sf_dir):
-    return text_features.uncovered_tokens(table(spark, sf_dir, "documents"), "text", F.col("lang") == "en")
+    return text_features.uncovered_tokens(table(spark, sf_dir, "documents", heavy=True), "text", F.col("lang") == "en")
 
 
 CAPTURE_SQL = r"nullif(regexp_extract(title, 'R\$\s*([\d\.]+(?:,\d+)?)', 1), '')"
@@ -165,7 +165,7 @@ select lang, count(*) as rows, count(*) filter (where whole) as whole_word, coun
 from w group by 1""",
 )
 def word_boundary(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select(
+    d = table(spark, sf_dir, "documents", heavy=True).select(
         "lang", scalars.has_word("text", "the").alias("whole"), scalars.contains("text", "the").alias("anywhere")
     )
     return d.groupBy("lang").agg(

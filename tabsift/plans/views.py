@@ -10,6 +10,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import spread
+
 VIEWS: dict[str, str] = {
     "lineitem_dirty": """
 select l_orderkey, l_linenumber, l_partkey, l_quantity as area_total,
@@ -60,18 +62,20 @@ from {documents} d join {labels} l on d.doc_id = l.doc_id""",
 }
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> DataFrame:
+    """A whole base table; ``heavy`` work per row is spread when the file is one split."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows) if heavy else rows
 
 
 def _bases(text: str) -> list[str]:
     return sorted(set(re.findall(r"(?<!\{)\{(\w+)\}(?!\})", text)))
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def view(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> DataFrame:
     """A derived view over the whole base table."""
     text = VIEWS[name]
-    return spark.sql(text, **{b: table(spark, sf_dir, b) for b in _bases(text)})
+    return spark.sql(text, **{b: table(spark, sf_dir, b, heavy) for b in _bases(text)})
 
 
 def with_views(names: str, body: str) -> str:

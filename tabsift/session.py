@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 # A side is broadcast only when it has at most this many rows; beyond it the
 # join is left to the shuffle planner (AQE still converts small runtime sides).
 BROADCAST_ROWS = 100_000
+ORDERED_FILES = 1_000
 
 
 def local_session(app: str = "tabsift", cpus: int | str = "*", **conf) -> SparkSession:
@@ -51,20 +52,40 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tabsift/{label}-{uuid.uuid4().hex}"
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Use every core on a file too small to be split; larger scans pass unchanged."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write a frame that several jobs will read, and go on from the written table.
 
     It cuts the lineage in a folder that outlives any executor, and later jobs
-    read only the columns they need. Old folders may be expired by the cluster.
+    read only the columns they need. A small table is written a second time, one
+    file per core, and read back in file order, so seeded draws repeat. Old
+    folders may be expired by the cluster.
     """
-    path = fresh_path(df.sparkSession, label)
+    spark, path = df.sparkSession, fresh_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    wide = spread(back)
+    if wide is not back:
+        path = fresh_path(spark, label)
+        wide.write.parquet(path)
+        back = spark.read.schema(df.schema).parquet(path)
+    files = back.inputFiles()
+    return spark.read.schema(df.schema).parquet(*sorted(files)) if 0 < len(files) <= ORDERED_FILES else back
 
 
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting; larger sides go through a shuffle join."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    """Broadcast a side only after its rows were counted and found few.
+
+    The counted rows are kept, as a broadcast would fetch them anyway, so the
+    side is computed once. A larger side is left to a shuffle join.
+    """
+    found = df.limit(rows + 1).collect()
+    return F.broadcast(df.sparkSession.createDataFrame(found, df.schema)) if len(found) <= rows else df
 
 
 def one_row(df: DataFrame):
