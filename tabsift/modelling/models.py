@@ -36,6 +36,8 @@ TREES = tuple(t for t in REGRESSORS + CLASSIFIERS if "TREE" in t or "FOREST" in
 # Categories kept one by one; a column with more is hashed into HASH_SLOTS slots.
 MAX_CATEGORIES = 1_000
 HASH_SLOTS = 1_024
+# Fixed value: numbers of clusters tried when none is given.
+CLUSTER_COUNTS = (3, 4, 5, 6, 8)
 MISSING = "__null__"
 
 
@@ -255,13 +257,15 @@ def train(
 
 def _train_unsupervised(df: DataFrame, kind: str, o: Mapping) -> Model:
     prep_plan, sources = _prepare(df, df.columns, tree=False)
-    stages = prep_plan.getStages()
+    stages = list(prep_plan.getStages())
     column = "_features"
     if o.get("standardize_features", kind == "KMEANS"):
         stages.append(StandardScaler(inputCol=column, outputCol="_scaled", withMean=True, withStd=True))
         column = "_scaled"
+    if kind == "KMEANS" and "num_clusters" not in o:
+        return choose_k(df, **o)
     if kind == "KMEANS":
-        stages.append(KMeans(k=o.get("num_clusters", 4), seed=o.get("seed", 42), featuresCol=column, predictionCol="_cluster"))
+        stages.append(KMeans(k=o["num_clusters"], seed=o.get("seed", 42), featuresCol=column, predictionCol="_cluster"))
     else:
         stages.append(PCA(k=o.get("num_components", 2), inputCol=column, outputCol="_components"))
     pipeline = Pipeline(stages=stages).fit(df)
@@ -269,6 +273,14 @@ def _train_unsupervised(df: DataFrame, kind: str, o: Mapping) -> Model:
     return Model(kind, None, features, dict(o), pipeline, slots=[(s, 1) for s in sources])
 
 
+def choose_k(df: DataFrame, ks: Sequence[int] = CLUSTER_COUNTS, **options) -> Model:
+    """The clustering with the lowest Davies–Bouldin index among several sizes."""
+    tried = [_train_unsupervised(df, "KMEANS", {**options, "num_clusters": k}) for k in ks]
+    for m in tried:
+        m.metrics = evaluate(m, df).first().asDict()
+    return min(tried, key=lambda m: m.metrics["davies_bouldin_index"])
+
+
 # Integers widen without loss; the other way round would invent a type.
 _WIDENS = {"double": {"tinyint", "smallint", "int", "bigint", "float", "double"}, "bigint": {"tinyint", "smallint", "int", "bigint"}, "int": {"tinyint", "smallint", "int"}}
 

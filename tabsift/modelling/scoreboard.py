@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import staged
 from . import evaluate as ev
-from .models import CLASSIFIERS, REGRESSORS, Model, evaluate, predict, train
+from .models import CLUSTER_COUNTS, REGRESSORS, Model, evaluate, predict, train
 from .split import split as _split
 
 
@@ -66,9 +66,10 @@ def seed_spread(df: DataFrame, label: str, kind: str, seeds: Sequence[int], **op
     )
 
 
-def k_sweep(df: DataFrame, ks: Sequence[int] = (3, 4, 5, 6, 8), seed: int = 42) -> DataFrame:
+def k_sweep(df: DataFrame, ks: Sequence[int] = CLUSTER_COUNTS, seed: int = 42) -> DataFrame:
     """Davies–Bouldin index per number of clusters; the lowest marks the choice."""
-    found = [(k, evaluate(train(df, "KMEANS", num_clusters=k, seed=seed), df).first()[0]) for k in ks]
+    df = staged(df, "clustered")
+    found = [(k, evaluate(train(df, "KMEANS", num_clusters=k, seed=seed, stage=False), df).first()[0]) for k in ks]
     best = min(found, key=lambda t: t[1])[0]
     return df.sparkSession.createDataFrame([(k, v, k == best) for k, v in found], "num_clusters int, davies_bouldin_index double, chosen boolean")
 
@@ -91,5 +92,3 @@ def segment_feature(df: DataFrame, label: str, columns: Sequence[str], kind: str
     both = scoreboard(models, mark(held))
     return both.unionByName(scoreboard({"without_segment": plain}, held).where("model <> 'baseline'"))
 
-
-__all__ = ["CLASSIFIERS", "REGRESSORS", "ablate", "k_sweep", "model_search", "scoreboard", "seed_spread", "segment_feature"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -79,6 +79,15 @@ def quarantine(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFra
     return good, marked.where(F.size("failed_rules") > 0)
 
 
+def drop_columns(df: DataFrame, reasons: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
+    """The table without the named columns, and what was left out and why."""
+    unknown = [c for c in reasons if c not in df.columns]
+    if unknown:
+        raise ValueError(f"not in the table: {unknown}")
+    report = df.sparkSession.createDataFrame(list(reasons.items()), "column string, reason string")
+    return df.drop(*reasons), report
+
+
 def swap_repair(df: DataFrame, a: str, b: str, inverted: Column) -> DataFrame:
     """Exchange two columns where ``inverted`` betrays that they were swapped."""
     fixed = {a: F.when(inverted, F.col(b)).otherwise(F.col(a)), b: F.when(inverted, F.col(a)).otherwise(F.col(b))}

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions.scalars import share
-from ..operators import audit, joins, rules, sampling
+from ..operators import aggregates, audit, joins, rules, sampling
 from .registry import register
 from .views import decimal_round, table, view, with_views
 
@@ -132,9 +132,7 @@ CENSUS = ["l_orderkey", "area_util", "price", "fee", "city"]
     ),
 )
 def null_census(spark, sf_dir):
-    from ..operators.aggregates import null_census as census
-
-    return census(view(spark, sf_dir, "lineitem_dirty"), CENSUS)
+    return aggregates.null_census(view(spark, sf_dir, "lineitem_dirty"), CENSUS)
 
 
 @register(
@@ -409,3 +407,18 @@ def split_hash(spark, sf_dir):
     sides = o.groupBy("is_test").agg(F.count("*").alias("rows"), F.sum("o_orderkey").alias("key_sum"))
     total = sides.agg(F.sum("rows")).scalar()
     return sides.withColumn("pct", share(F.col("rows"), total, 3))
+
+
+@register(
+    "missing_coordinates",
+    with_views(
+        "supplier_geo",
+        " union all ".join(
+            f"""select '{c}' as "column", count(*) - count({c}) as nulls, count(*) as rows,
+ round(100.0 * (count(*) - count({c})) / count(*), 1) as pct from supplier_geo"""
+            for c in ("latitude", "longitude")
+        ),
+    ),
+)
+def missing_coordinates(spark, sf_dir):
+    return aggregates.null_census(view(spark, sf_dir, "supplier_geo"), ["latitude", "longitude"])

@@ -36,14 +36,12 @@ def local_session(app: str = "tabsift", cpus: int | str = "*", **conf) -> SparkS
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees, as the cluster names it.
 
-    Only where no folder is configured (tests, laptops) is one made here.
+    Only where the session names none (tests, laptops) is one made here.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not configured:
-        configured = tempfile.mkdtemp(prefix="tabsift-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tabsift-"))
+        configured = spark.sparkContext.getCheckpointDir()
     return configured.rstrip("/")
 
 

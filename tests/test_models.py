@@ -130,6 +130,7 @@ def test_k_sweep_finds_the_obvious_number(spark):
     d = spark.range(900).select((F.col("id") % 3 * 100 + F.col("id") % 7 / 10).alias("x"), (F.col("id") % 3 * 50).cast("double").alias("y"))
     chosen = scoreboard.k_sweep(d, ks=(2, 3, 5)).where("chosen").first()
     assert chosen["num_clusters"] == 3
+    assert models.train(d, "KMEANS").options["num_clusters"] == 3
 
 
 def test_segment_may_not_be_built_with_the_label(homes):

@@ -13,7 +13,7 @@ from tabsift.functions import json_fields as J
 from tabsift.functions import scalars as S
 from tabsift.modelling import evaluate as ev
 from tabsift.operators import aggregates, audit, joins, leakage, profiler, quantiles, rules, sampling, text_features
-from tabsift.sources import csv_files
+from tabsift.sources import csv_files, medallion
 from tabsift.sources.json_paths import inventory
 
 
@@ -261,3 +261,64 @@ def test_lineage_is_transitive():
     assert [f for f, _ in leakage.lineage_verdicts(["a", "b", "title", "size"], "label", catalog)] == ["a", "b", "title"]
     with pytest.raises(leakage.LeakageError):
         leakage.refuse_leaks(["a"], "label", catalog)
+
+
+def test_dropped_columns_keep_their_reasons(spark):
+    df = spark.createDataFrame([(1, "x", 2.0)], "id int, status string, price double")
+    kept, report = rules.drop_columns(df, {"id": "identifier", "status": "constant"})
+    assert kept.columns == ["price"] and dict(report.collect()) == {"id": "identifier", "status": "constant"}
+    with pytest.raises(ValueError):
+        rules.drop_columns(df, {"nope": "typo"})
+
+
+def test_sql_bindings_and_statements(spark):
+    df = spark.range(10)
+    assert medallion.query(spark, "select count(*) as n from {t} where id >= :low", t=df, low=4).first()["n"] == 6
+    medallion.statement(spark, "create or replace temporary view seven as select 7 as n")
+    assert spark.table("seven").first()["n"] == 7
+
+
+def test_shared_dir_without_setting(spark, monkeypatch, tmp_path):
+    from tabsift import session
+
+    class Context:
+        made = None
+
+        def getCheckpointDir(self):
+            return self.made
+
+        def setCheckpointDir(self, path):
+            self.made = path
+
+    class Bare:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default):
+                return default
+
+    first = session.shared_dir(Bare)
+    assert first and session.shared_dir(Bare) == first
+
+
+def test_large_side_is_not_broadcast(spark):
+    from tabsift.session import broadcast_if_small
+
+    df = spark.range(50)
+    assert broadcast_if_small(df, 10) is df
+    assert broadcast_if_small(df, 50) is not df
+
+
+def test_wide_groups_join_brackets_without_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "BROADCAST_ROWS", 5)
+    df = spark.range(400).select((F.col("id") % 20).alias("g"), F.col("id").cast("double").alias("x"))
+    got = {r["g"]: r["m"] for r in quantiles.exact(df, "x", {"m": 0.5}, by=["g"]).collect()}
+    assert got == {g: brute_quantile([float(i) for i in range(400) if i % 20 == g], 0.5) for g in range(20)}
+
+
+def test_tokens_of_whole_text(spark):
+    text = " ".join(f"w{i}" for i in range(30_000)) + " fim"
+    df = spark.createDataFrame([(text, False), ("fim w1", True)], "t string, c boolean")
+    got = {r["token"]: (r["uncovered_rows"], r["covered_rows"], r["lift"]) for r in text_features.uncovered_tokens(df, "t", F.col("c")).collect()}
+    assert len(got) == 30_001 and got["fim"] == (1, 1, 1.0) and got["w29999"] == (1, 0, None)
