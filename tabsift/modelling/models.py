@@ -178,9 +178,9 @@ def _estimator(kind: str, o: Mapping, n_classes: int, width: int, max_bins: int)
         gbt = GBTClassifier(maxIter=o.get("max_iterations", 20), subsamplingRate=o.get("subsample", 0.8), **tree, **weight)
         return gbt if n_classes == 2 else OneVsRest(classifier=gbt, featuresCol="_features", labelCol="_label")
     if kind == "RANDOM_FOREST_REGRESSOR":
-        return RandomForestRegressor(numTrees=o.get("num_trees", 20), **tree)
+        return RandomForestRegressor(numTrees=o.get("num_trees", 20), bootstrap=o.get("bootstrap", True), **tree)
     if kind == "RANDOM_FOREST_CLASSIFIER":
-        return RandomForestClassifier(numTrees=o.get("num_trees", 20), **tree, **weight)
+        return RandomForestClassifier(numTrees=o.get("num_trees", 20), bootstrap=o.get("bootstrap", True), **tree, **weight)
     if kind == "DNN_CLASSIFIER":
         layers = [width, *o.get("hidden_units", [16]), n_classes]
         steps = o.get("max_iterations", 50)

@@ -1,10 +1,15 @@
-"""Trained models: every type, compared, explained, ablated. Rows only, checked by invariants in tests."""
+"""Trained models: every type, compared, explained, ablated.
+
+With one yes/no feature a fitted model has a closed form (group means, group
+rates), so SQL checks those. The rest are held to invariants, here and in tests.
+"""
 
 from pyspark.sql import functions as F
 
-from ..modelling import explain, models, vectors
+from ..modelling import explain, models, recommend, vectors
 from ..modelling import scoreboard as sb
 from ..modelling.workbench import Workbench
+from ..operators import leakage
 from ..operators.aggregates import profile_groups
 from ..session import fresh_path
 from .registry import register
@@ -155,3 +160,134 @@ def word_vectors(spark, sf_dir):
 @register("embedding_classifier")
 def embedding_classifier(spark, sf_dir):
     return _metrics(spark, models.train(table(spark, sf_dir, "embeddings").select("label", "embedding"), "LOGISTIC_REG", "label", max_iterations=20))
+
+
+# --- fits with a closed form, and invariants SQL can state --------------------
+
+
+def _cheap(spark, sf_dir):
+    d = table(spark, sf_dir, "lineitem", heavy=True)
+    return d.select((F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("net"), (F.col("l_discount") > 0.05).alias("cheap"))
+
+
+MEANS_SQL = """
+select l_discount > 0.05 as cheap, count(*) as rows, round(avg(l_extendedprice * (1 - l_discount)), 2) as predicted from lineitem group by 1"""
+
+
+def _per_group(scored, group, value, digits):
+    return scored.groupBy(group).agg(F.count("*").alias("rows"), F.round(F.avg(value), digits).alias("predicted"))
+
+
+@register("boosted_stump_means", MEANS_SQL)
+def boosted_stump_means(spark, sf_dir):
+    d = _cheap(spark, sf_dir)
+    m = models.train(d, "BOOSTED_TREE_REGRESSOR", "net", split_method="NONE", max_iterations=1, max_tree_depth=1, subsample=1.0)
+    return _per_group(models.predict(m, d), "cheap", "predicted_net", 2)
+
+
+@register("forest_stump_means", MEANS_SQL)
+def forest_stump_means(spark, sf_dir):
+    d = _cheap(spark, sf_dir)
+    m = models.train(d, "RANDOM_FOREST_REGRESSOR", "net", split_method="NONE", num_trees=1, max_tree_depth=1, bootstrap=False)
+    return _per_group(models.predict(m, d), "cheap", "predicted_net", 2)
+
+
+RATES_SQL = """
+select l_discount > 0.05 as cheap, count(*) as rows, round(avg(cast(l_extendedprice * (1 - l_discount) > 60000 as int)), 3) as predicted
+from lineitem group by 1"""
+
+
+def _dear(spark, sf_dir):
+    return _cheap(spark, sf_dir).select("cheap", (F.col("net") > 60000).alias("dear"))
+
+
+def _rate(scored):
+    return _per_group(scored, "cheap", F.col("predicted_dear_probs")[1]["prob"], 3)
+
+
+@register("logistic_rates", RATES_SQL)
+def logistic_rates(spark, sf_dir):
+    d = _dear(spark, sf_dir)
+    return _rate(models.predict(models.train(d, "LOGISTIC_REG", "dear", split_method="NONE"), d))
+
+
+@register(
+    "forest_stump_rates",
+    """
+select l_discount > 0.05 as cheap, count(*) as rows, round(avg(cast(l_discount > 0.04 as int)), 3) as predicted from lineitem group by 1""",
+)
+def forest_stump_rates(spark, sf_dir):
+    """The two leaves vote differently here: leaves with one vote are merged, with their rates."""
+    d = table(spark, sf_dir, "lineitem", heavy=True)
+    d = d.select((F.col("l_discount") > 0.05).alias("cheap"), (F.col("l_discount") > 0.04).alias("dear"))
+    m = models.train(d, "RANDOM_FOREST_CLASSIFIER", "dear", split_method="NONE", num_trees=1, max_tree_depth=1, bootstrap=False)
+    return _rate(models.predict(m, d))
+
+
+@register(
+    "multiclass_rates",
+    """
+select lang = 'en' as english, round(avg(cast(source = 'src0' as int)), 2) as p_src0, count(*) as rows from documents group by 1""",
+)
+def multiclass_rates(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("source", (F.col("lang") == "en").alias("english"))
+    m = models.train(d, "LOGISTIC_REG", "source", split_method="NONE", max_iterations=200)
+    first = F.filter("predicted_source_probs", lambda p: p["label"] == "src0")[0]["prob"]
+    return models.predict(m, d).groupBy("english").agg(F.round(F.avg(first), 2).alias("p_src0"), F.count("*").alias("rows"))
+
+
+@register("kmeans_assignment", "select count(*) as rows, 3 as segments, 0::bigint as misplaced from lineitem")
+def kmeans_assignment(spark, sf_dir):
+    """Every row belongs to the nearest centre of the trained segments."""
+    d = table(spark, sf_dir, "lineitem", heavy=True).select("l_quantity", "l_extendedprice")
+    m = models.train(d, "KMEANS", num_clusters=3, standardize_features=False)
+    centres = m.pipeline.stages[-1].clusterCenters()
+    far = [sum((F.col(c) - float(v)) ** 2 for c, v in zip(d.columns, centre)) for centre in centres]
+    mine = F.get(F.array(*far), F.col("CENTROID_ID") - 1)
+    out = models.predict(m, d)
+    return out.agg(
+        F.count("*").alias("rows"), F.count_distinct("CENTROID_ID").cast("int").alias("segments"), F.count_if(mine > F.least(*far) + 1e-3).alias("misplaced")
+    )
+
+
+@register(
+    "recommend_whole",
+    """
+select user_id, 3::bigint as recommended, count(distinct event_type) as seen from events group by 1""",
+)
+def recommend_whole(spark, sf_dir):
+    """Every user gets as many distinct items as asked for."""
+    ev = table(spark, sf_dir, "events")
+    top = recommend.factorize(ev, "user_id", "event_type", "value", factors=4, iterations=3).top(3)
+    given = top.groupBy("user_id").agg(F.count_distinct("event_type").alias("recommended"))
+    return given.join(ev.groupBy("user_id").agg(F.count_distinct("event_type").alias("seen")), "user_id")
+
+
+@register(
+    "roundtrip_same_predictions",
+    "select count(*) as rows, 0::bigint as differing, count(distinct l_returnflag) as flags from lineitem",
+)
+def roundtrip_same_predictions(spark, sf_dir):
+    """A saved and loaded model answers every row as the fitted one did."""
+    d, bench = priced(spark, sf_dir), Workbench(spark, fresh_path(spark, "models"))
+    m = bench.create_model("price", d, "LINEAR_REG", "net", split_method="NONE")
+    once = models.predict(m, d).withColumnRenamed("predicted_net", "first")
+    both = bench.predict("price", once)
+    return both.agg(
+        F.count("*").alias("rows"), F.count_if(~F.col("first").eqNullSafe(F.col("predicted_net"))).alias("differing"), F.count_distinct("l_returnflag").alias("flags")
+    )
+
+
+@register(
+    "label_as_feature",
+    "select 'l_extendedprice' as label, count(*) as rows, true as perfect, true as flagged, true as refused from lineitem",
+)
+def label_as_feature(spark, sf_dir):
+    """The label copied into a feature: a perfect metric, an alarm, and a refusal by lineage."""
+    d = table(spark, sf_dir, "lineitem").select("l_extendedprice", "l_quantity", (F.col("l_extendedprice") * 1.001).alias("copy"))
+    m = models.train(d, "LINEAR_REG", "l_extendedprice")
+    alarm = leakage.label_copies(d, "l_extendedprice", ["copy"]).select("is_copy").scalar()
+    refused = bool(leakage.lineage_verdicts(["copy"], "l_extendedprice", {"copy": leakage.Feature("copy", ("l_extendedprice",))}))
+    return d.agg(F.count("*").alias("rows")).select(
+        F.lit("l_extendedprice").alias("label"), "rows", F.lit(m.metrics["r2_score"] > 0.9999).alias("perfect"), alarm.alias("flagged"), F.lit(refused).alias("refused")
+    )
