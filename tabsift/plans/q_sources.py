@@ -8,7 +8,7 @@ from ..operators import items
 from ..session import fresh_path
 from ..sources import csv_files, json_paths, medallion
 from .registry import register
-from .views import table, view, with_views
+from .views import decimal_round, table, view, with_views
 
 
 @register(
@@ -226,8 +226,9 @@ def projection_variants(spark, sf_dir):
     "scalar_battery",
     with_views(
         "part_titles",
+        f"select p_partkey, {decimal_round('price / p_size', 1)} as r1, "
         r"""
-select p_partkey, round(price / p_size, 1) as r1, abs(price - 1000) as gap, cast(round(price) as bigint) as whole,
+abs(price - 1000) as gap, cast(round(price) as bigint) as whole,
  case when price between 900 and 950 then 'low' when p_type is null or p_type != 'ECONOMY' then 'other' else 'eco' end as band,
  lower(title) as low, title like '%,%' as has_comma, length(title) as chars,
  try_cast(replace(replace(nullif(regexp_extract(title, '([0-9.]+,[0-9]+)', 1), ''), '.', ''), ',', '.') as double) as with_comma,
