@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate
+from . import bpe_transducer, decontaminate
 from .common import table
 
 QUERIES: dict = {}
@@ -17,6 +17,25 @@ def query(fn):
     return fn
 
 
+def vocabulary(name: str) -> str:
+    """Where a public vocabulary file lies on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op2_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of every text and the text they decode to, as digests."""
+    coded = bpe_transducer.encode(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows inside documents, by Wu-Manber search."""
