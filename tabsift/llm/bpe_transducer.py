@@ -18,6 +18,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
@@ -25,14 +26,14 @@ from pyspark.sql import functions as F
 
 from .common import plain, put_shared, slices
 
-# Fixed values of the public byte-level scheme: how a text is cut into words, and the end-of-text token.
-WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-END_OF_TEXT = "<|endoftext|>"
+# Fixed values of the public byte-level scheme: a text is cut into word endings after an apostrophe, then runs of
+# letters, of numbers and of other signs, each with a space before it if there is one, then white space.
+ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
+OTHER, LETTER, NUMBER, SPACE = range(4)
 
 LEXICON_WORDS = 131_072  # the automaton's size is bounded by this times LONG_WORD
 LONG_WORD = 48
 SLICE = 3_000_000  # characters whose words are looked up together
-COUNT_WORDS = 200_000  # distinct words a worker counts before it passes them on
 
 
 def byte_letters() -> dict[str, int]:
@@ -252,10 +253,59 @@ class Lexicon:
         return number
 
 
-def numbered(words: list[str]) -> tuple[np.ndarray, list[str]]:
-    """Each word's place among the distinct ones, and those (pandas would take words as equal up to a NUL)."""
-    number = {w: i for i, w in enumerate(dict.fromkeys(words))}
-    return np.fromiter(map(number.__getitem__, words), np.int64, len(words)), list(number)
+@lru_cache(maxsize=1)
+def kinds() -> np.ndarray:
+    """The kind of every code point."""
+    out = np.zeros(0x110000, np.uint8)
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    every, at = "".join(map(chr, points)), np.array(points)
+    for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
+        for m in regex.finditer(pattern, every):
+            out[at[m.start() : m.end()]] = kind
+    return out
+
+
+def cut(pieces: list[str], whole: list[int] = ()) -> tuple[pa.Array, np.ndarray]:
+    """The words of all pieces as one Arrow array over their bytes, and how many each piece has.
+
+    Pieces listed in ``whole`` stay one word. Works on all code points at once.
+    """
+    text = "".join(pieces)
+    codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    n, ends = len(codes), np.cumsum([len(p) for p in pieces], dtype=np.int64)
+    begins = ends - [len(p) for p in pieces]
+    kind = kinds()[codes]
+    first = np.zeros(n + 3, bool)  # of a piece; what lies beyond the end counts as one
+    first[begins] = True
+    first[n:] = True
+    change = first[:n].copy()
+    change[1:] |= kind[1:] != kind[:-1]
+    start = change.copy()
+    # White space before a word gives up its last character: a space joins the word, any other stands alone.
+    last = np.zeros(n, bool)
+    last[:-1] = (kind[:-1] == SPACE) & (kind[1:] != SPACE) & ~first[1:n]
+    start |= last
+    start[np.flatnonzero(last & (codes == 32)) + 1] = False
+    quotes = np.flatnonzero((codes == 39) & change & start)
+    padded = np.r_[codes, np.zeros(3, np.uint32)]
+    for ending in ENDINGS:
+        hit = np.ones(len(quotes), bool)
+        for i, c in enumerate(ending, 1):
+            hit &= (padded[quotes + i] == ord(c)) & ~first[quotes + i]
+        at = quotes[hit]
+        for i in range(1, len(ending) + 1):
+            start[at + i] = False
+        after = at + len(ending) + 1
+        start[after[after < n]] = True
+    for i in whole:
+        start[begins[i] : ends[i]] = False
+        start[begins[i]] = True
+    starts = np.flatnonzero(start)
+    width = 1 + (codes >= 0x80) + (codes >= 0x800).astype(np.int8) + (codes >= 0x10000)
+    at_byte = np.r_[0, np.cumsum(width, dtype=np.int64)]
+    offsets = np.r_[at_byte[starts], at_byte[-1]].astype(np.int32)
+    words = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(text.encode())])
+    return words, np.searchsorted(starts, ends) - np.searchsorted(starts, begins)
 
 
 class Coder:
@@ -265,12 +315,6 @@ class Coder:
         self.vocabulary, self.lexicon = vocabulary, lexicon
         self.parts = regex.compile("(" + "|".join(map(regex.escape, vocabulary.added)) + ")") if vocabulary.added else None
 
-    def words(self, text: str) -> list[str]:
-        added = self.vocabulary.added
-        if not any(t in text for t in added):
-            return WORD.findall(text)
-        return [w for p in self.parts.split(text) for w in ([p] if p in added else WORD.findall(p))]
-
     def ids_of(self, distinct: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words one after another, and how many each has."""
         raw, added = [w.encode() for w in distinct], self.vocabulary.added
@@ -294,15 +338,20 @@ class Coder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text as the vocabulary's library gives them."""
-        words = [self.words(t) for t in texts]
-        codes, distinct = numbered([w for ws in words for w in ws])
-        flat, sizes = self.ids_of(distinct)
+        added = self.vocabulary.added
+        marked = [any(t in text for t in added) for text in texts]
+        split = [self.parts.split(t) if m else [t] for t, m in zip(texts, marked, strict=True)]
+        pieces = [p for ps in split for p in ps]
+        words, per_piece = cut(pieces, [i for i, p in enumerate(pieces) if p in added])
+        coded = words.dictionary_encode()
+        codes = coded.indices.to_numpy()
+        flat, sizes = self.ids_of(coded.dictionary.to_pylist())
         begin = np.cumsum(sizes) - sizes
         of_word = sizes[codes]
         ends = np.r_[0, np.cumsum(of_word)]
-        at = np.repeat(begin[codes] - ends[:-1], of_word) + np.arange(ends[-1])
-        cuts = ends[np.cumsum([0, *(len(ws) for ws in words)])].tolist()
-        ids = flat[at]
+        ids = flat[np.repeat(begin[codes] - ends[:-1], of_word) + np.arange(ends[-1])]
+        at_piece = np.r_[0, np.cumsum(per_piece)]
+        cuts = ends[at_piece[np.r_[0, np.cumsum([len(ps) for ps in split])]]].tolist()
         return [ids[a:b] for a, b in zip(cuts, cuts[1:])]  # noqa: B905
 
     def decode(self, ids: list[int]) -> str:
@@ -321,22 +370,16 @@ def _coder(path: str, lexicon: str) -> Coder:
 
 
 def _count(batches):
-    held: dict[str, int] = {}
-    for pdf in batches:
-        texts = pdf["body"].tolist()
+    for batch in batches:
+        texts = batch.column("body").to_pylist()
         for a, b in slices(texts, SLICE):
-            codes, distinct = numbered([w for t in texts[a:b] for w in WORD.findall(t)])
-            for w, n in zip(distinct, np.bincount(codes, minlength=len(distinct)).tolist(), strict=True):
-                held[w] = held.get(w, 0) + n
-            if len(held) > COUNT_WORDS:
-                yield pd.DataFrame({"word": list(held), "n": list(held.values())})
-                held = {}
-    yield pd.DataFrame({"word": list(held), "n": list(held.values())}, columns=["word", "n"])
+            values, counts = cut(texts[a:b])[0].value_counts().flatten()
+            yield pa.RecordBatch.from_arrays([values, counts], ["word", "n"])
 
 
 def word_counts(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
     """How often each word occurs in all texts: (word, n)."""
-    counted = plain(docs, doc_id, text).select("body").mapInPandas(_count, "word string, n long")
+    counted = plain(docs, doc_id, text).select("body").mapInArrow(_count, "word string, n long")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 

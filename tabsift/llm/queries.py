@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_transducer, decontaminate
+from ..session import fresh_path
+from . import bpe_transducer, decontaminate, simhash, simple8b
 from .common import table
 
 QUERIES: dict = {}
@@ -36,6 +37,14 @@ def op2_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text written to Simple-8b files in id order and read back from them."""
+    folder = fresh_path(spark, "ids")
+    simple8b.write(table(spark, sf_dir, "documents"), folder, vocabulary("word_bpe_49k.json"), end_id=1)
+    return simple8b.read(spark, folder, digests=True)
+
+
 @query
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows inside documents, by Wu-Manber search."""
@@ -51,6 +60,12 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash near-duplicates through vantage-point trees: one row per document with its component."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 CHECK_SQL["op9_decontaminate"] = r"""
 with b as (
   select cast(item_id as varchar) as item,
