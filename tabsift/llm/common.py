@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +16,23 @@ from ..session import fresh_path
 SLICE_CHARS = 1_000_000
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package once per application, so that they need no installation of it."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        _shipped.add(context.applicationId)
+        package, packed = Path(__file__).resolve().parents[1], io.BytesIO()
+        with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, f.relative_to(package.parent))
+        context.addPyFile(put_shared(spark, "package", packed.getvalue(), ".zip"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -44,6 +63,7 @@ def remainder(doc_id: str, mod: int) -> Column:
 
 def plain(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Only the two columns an operator reads, under names no extra column can clash with."""
+    ship(docs.sparkSession)
     return docs.select(F.col(f"`{doc_id}`").alias("key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("body"))
 
 
@@ -51,9 +71,9 @@ def renamed(df: DataFrame, doc_id: str) -> DataFrame:
     return df.withColumnRenamed("key", doc_id)
 
 
-def put_shared(spark: SparkSession, label: str, payload: bytes) -> str:
+def put_shared(spark: SparkSession, label: str, payload: bytes, ending: str = "") -> str:
     """Write bytes to a new file of the shared folder, through the session's file system; its URI."""
-    path = fresh_path(spark, label)
+    path = fresh_path(spark, label) + ending
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     out = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(where)

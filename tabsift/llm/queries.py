@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
-from . import bpe_transducer, decontaminate, simhash, simple8b
-from .common import table
+from . import bpe_transducer, decontaminate, digest, html_text, language, quality, simhash, simple8b
+from .common import remainder, table
 
 QUERIES: dict = {}
 CHECK_SQL: dict[str, str] = {}
@@ -25,6 +25,13 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text, and how alike it is to that and to the next document."""
+    docs = table(spark, sf_dir, "documents")
+    return digest.compared(docs, digest.rarity(docs))
+
+
 @query
 def op2_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every text and the text they decode to, as digests."""
@@ -37,6 +44,12 @@ def op2_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op4_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text written to Simple-8b files in id order and read back from them."""
@@ -45,6 +58,25 @@ def op4_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simple8b.read(spark, folder, digests=True)
 
 
+@query
+def op5_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every text by additive tables learned from the labelled rows that are not held out."""
+    numbers = quality.numbers_of(table(spark, sf_dir, "documents"))
+    labels = table(spark, sf_dir, "labels").filter(remainder("doc_id", 4) != 2)
+    scored = quality.score(numbers, quality.train(numbers, labels)).withColumnRenamed("key", "doc_id")
+    held = (remainder("doc_id", 4) == 2).alias("held_out")
+    return scored.select("doc_id", held, "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text by the nearest centroid, learned from the documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs.filter(remainder("doc_id", 4) != 2))
+    named = language.predict(docs, model)
+    return named.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 @query
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows inside documents, by Wu-Manber search."""
