@@ -24,7 +24,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import plain, put_shared, slices
+from .common import commonest, plain, put_shared, slices, stage
 
 # Fixed values of the public byte-level scheme: a text is cut into word endings after an apostrophe, then runs of
 # letters, of numbers and of other signs, each with a space before it if there is one, then white space.
@@ -387,8 +387,8 @@ def lexicon(docs: DataFrame, vocabulary: str, doc_id="doc_id", text="text", word
     """Compile the corpus's commonest words and hand the file to all executors; returns its name there."""
     spark = docs.sparkSession
     short = word_counts(docs, doc_id, text).filter(F.octet_length("word").between(1, LONG_WORD))
-    common = short.orderBy(F.desc("n"), "word").limit(words).select("word").toPandas()["word"]
-    uri = put_shared(spark, "lexicon", Lexicon.compile([w.encode() for w in common], _vocabulary(vocabulary)))
+    common = [w.encode() for w, _ in commonest(stage(short, "word-counts"), "word", "n", words)]
+    uri = put_shared(spark, "lexicon", Lexicon.compile(common, _vocabulary(vocabulary)))
     spark.sparkContext.addFile(uri)
     return uri.rpartition("/")[2]
 

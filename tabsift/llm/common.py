@@ -43,6 +43,24 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def commonest(counts: DataFrame, item: str, n: str, limit: int) -> list[tuple[str, int]]:
+    """The items counted most, in falling order: as many of the highest counts, to three digits, as ``limit`` holds.
+
+    A histogram of the counts finds the least count to take, so the driver gets at most ``limit`` rows, however many
+    partitions there are.
+    """
+    unit = F.pow(F.lit(10.0), F.greatest(F.floor(F.log10(F.col(n).cast("double"))) - 2, F.lit(0)))
+    level = (F.floor(F.col(n) / unit) * unit).cast("long")
+    held, least = 0, None
+    for r in sorted(counts.filter(F.col(n) > 0).groupBy(level.alias("level")).count().collect(), key=lambda r: -r.level):
+        if held + r["count"] > limit:
+            break
+        held, least = held + r["count"], r.level
+    if least is None:
+        return []
+    return sorted(((r[0], r[1]) for r in counts.filter(F.col(n) >= least).select(item, n).collect()), key=lambda r: (-r[1], r[0]))
+
+
 def slices(texts: list, limit: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
     """Row ranges of a batch that hold about ``limit`` characters each, one row at least."""
     start, held = 0, 0

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
-from . import bpe_transducer, decontaminate, digest, html_text, language, quality, simhash, simple8b
+from . import bilinear, bpe_transducer, decontaminate, digest, html_text, language, quality, simhash, simple8b
 from .common import remainder, table
 
 QUERIES: dict = {}
@@ -68,6 +68,14 @@ def op5_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held, "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
+@query
+def op7_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every text by a log-bilinear model and by smoothed counts of the learning texts."""
+    docs = table(spark, sf_dir, "documents")
+    scored = bilinear.score(docs, *bilinear.learned(docs.filter(remainder("doc_id", 10) != 0)))
+    return scored.select("doc_id", (remainder("doc_id", 10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every text by the nearest centroid, learned from the documents that are not held out."""
