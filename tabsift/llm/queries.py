@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
-from . import bilinear, bpe_transducer, decontaminate, digest, html_text, language, quality, simhash, simple8b
+from . import bilinear, bpe_transducer, decontaminate, digest, html_text, language, quality, repeats, simhash, simple8b
 from .common import remainder, table
 
 QUERIES: dict = {}
@@ -68,6 +68,15 @@ def op5_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held, "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
+@query
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every text that are left without strings of 100 bytes that start earlier as well."""
+    found = repeats.without_repeats(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @query
 def op7_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     """log10 probability of every text by a log-bilinear model and by smoothed counts of the learning texts."""
@@ -106,6 +115,26 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+CHECK_SQL["op6_repeats"] = """
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+w as (select doc_id, i, md5(substr(h, 2 * i + 1, 200)) as s
+      from (select doc_id, h, unnest(range(0, cast(length(h) // 2 - 99 as bigint))) as i from d where length(h) >= 200)),
+late as (select doc_id, i from (select doc_id, i, row_number() over (partition by s order by doc_id, i) as r from w) where r > 1),
+starts as (select doc_id, i, coalesce(i - lag(i) over (partition by doc_id order by i) > 100, true) as fresh from late),
+runs as (select doc_id, i, sum(cast(fresh as int)) over (partition by doc_id order by i) as run from starts),
+spans as (select doc_id, min(i) as a, max(i) + 100 as b from runs group by doc_id, run),
+gaps as (
+  select s.doc_id, s.a, s.b, coalesce(lag(s.b) over (partition by s.doc_id order by s.a), 0) as from_ from spans s),
+kept as (
+  select g.doc_id, string_agg(substr(d.h, 2 * g.from_ + 1, 2 * (g.a - g.from_)), '' order by g.a) as k,
+         max(g.b) as last, sum(g.b - g.a) as n_removed, count(*) as n_spans
+  from gaps g join d on d.doc_id = g.doc_id group by g.doc_id)
+select d.doc_id, cast(length(d.h) // 2 as bigint) as n_bytes, cast(coalesce(k.n_removed, 0) as bigint) as n_removed,
+       cast(coalesce(k.n_spans, 0) as bigint) as n_spans,
+       sha256(unhex(case when k.doc_id is null then d.h else k.k || substr(d.h, 2 * k.last + 1) end)) as kept_sha256
+from d left join kept k on k.doc_id = d.doc_id
+"""
+
 CHECK_SQL["op9_decontaminate"] = r"""
 with b as (
   select cast(item_id as varchar) as item,
