@@ -29,7 +29,7 @@ DISTANCE = 4
 SEED = 42  # of the shingle hash; part of the fingerprint's definition
 # The sample the shared tree is laid out on, and how many fingerprints a shard should hold.
 SAMPLE = 16_384
-SHARD = 16_384
+SHARD = 65_536
 LEAF = 192  # points compared with one another without a further split
 
 
