@@ -13,13 +13,14 @@ from __future__ import annotations
 
 import math
 import re
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import plain, slices
+from .common import plain, ship, slices
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 WIDTH = 10
@@ -133,6 +134,39 @@ def _scanner(shared):
     return scan
 
 
+def _blocks(benchmark: DataFrame, item_id: str, item_text: str, width: int, block_words: int):
+    """Broadcast patterns of one block of items after another; a word is taken to have five letters on average."""
+    spark = benchmark.sparkSession
+    bench = benchmark.select(F.col(f"`{item_id}`").cast("string").alias("item"), F.col(f"`{item_text}`").alias("body"))
+    total = bench.agg(F.sum(F.length("body"))).first()[0] or 0
+    blocks = max(1, math.ceil(total / 5 / block_words))
+    for b in range(blocks):
+        part = bench.filter(F.pmod(F.xxhash64("item", "body"), F.lit(blocks)) == b)
+        yield spark.sparkContext.broadcast(Patterns([(r.item, r.body) for r in part.collect()], width))
+
+
+def keep_clean(
+    docs: DataFrame, benchmark: DataFrame, text="text", item_id="item_id", item_text="text", width: int = WIDTH, block_words: int = BLOCK_WORDS
+) -> DataFrame:
+    """The rows, with all their columns, whose text has no benchmark window: one pass, no shuffle, per block of items."""
+    ship(docs.sparkSession)
+    at = docs.columns.index(text)
+
+    def clean(shared):
+        def run(batches):
+            patterns = shared.value
+            for pdf in batches:
+                kept = [not patterns.scan(t or "")[1] for t in pdf.iloc[:, at]]
+                if any(kept):
+                    yield pdf[kept]
+
+        return run
+
+    for shared in _blocks(benchmark, item_id, item_text, width, block_words):
+        docs = docs.mapInPandas(clean(shared), docs.schema)
+    return docs
+
+
 def occurrences(
     docs: DataFrame, benchmark: DataFrame, doc_id="doc_id", text="text", item_id="item_id", item_text="text",
     width: int = WIDTH, block_words: int = BLOCK_WORDS,
@@ -142,27 +176,18 @@ def occurrences(
     Benchmark items are broadcast in blocks of about ``block_words`` words, so what a task holds is bounded whatever
     the benchmark's size; documents are scanned once per block and, with several blocks, merged per document.
     """
-    spark = docs.sparkSession
-    bench = benchmark.select(F.col(f"`{item_id}`").cast("string").alias("item"), F.col(f"`{item_text}`").alias("body"))
-    total = bench.agg(F.sum(F.length("body"))).first()[0] or 0
-    blocks = max(1, math.ceil(total / 5 / block_words))
     body = plain(docs, doc_id, text)
     id_type = body.schema["key"].dataType.simpleString()
+    blocks = list(_blocks(benchmark, item_id, item_text, width, block_words))
 
-    def one(b: int, columns: list, schema: str) -> DataFrame:
-        part = bench.filter(F.pmod(F.xxhash64("item", "body"), F.lit(blocks)) == b)
-        shared = spark.sparkContext.broadcast(Patterns([(r.item, r.body) for r in part.collect()], width))
-        return body.select(*columns).mapInPandas(_scanner(shared), schema)
-
-    if blocks == 1:
-        return one(0, ["key", "body"], f"key {id_type}, {SCHEMA}").withColumnRenamed("key", doc_id)
+    if len(blocks) == 1:
+        return body.mapInPandas(_scanner(blocks[0]), f"key {id_type}, {SCHEMA}").withColumnRenamed("key", doc_id)
     # Equal rows have equal results, so id and text digest are a key; repeated rows are counted and restored.
-    columns = ["key", "body", F.sha2("body", 256).alias("digest")]
-    found = one(0, columns, f"key {id_type}, digest string, {SCHEMA}")
-    for b in range(1, blocks):
-        found = found.union(one(b, columns, f"key {id_type}, digest string, {SCHEMA}"))
+    marked = body.select("key", "body", F.sha2("body", 256).alias("digest"))
+    scans = [marked.mapInPandas(_scanner(b), f"key {id_type}, digest string, {SCHEMA}") for b in blocks]
+    found = reduce(DataFrame.union, scans)
     merged = found.groupBy("key", "digest").agg(
-        (F.count("*") / blocks).cast("int").alias("copies"),
+        (F.count("*") / len(blocks)).cast("int").alias("copies"),
         F.max("n_words").alias("n_words"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),

@@ -306,28 +306,37 @@ def _strings(batches):
             yield pd.DataFrame({"h1": halves[:, 0], "h2": halves[:, 1], "at": at, "tie": tie, "lo": np.arange(lo, lo + n, dtype=np.int32)})
 
 
+def _cut(raw: bytes, spans) -> tuple[np.ndarray, bytes]:
+    """The removed runs, as rows (start, end), and the bytes that stay."""
+    cover = np.zeros(len(raw) + 1, np.int32)
+    np.add.at(cover, [s["start"] for s in spans], 1)
+    np.add.at(cover, [s["end"] for s in spans], -1)
+    gone = np.cumsum(cover)[:-1] > 0
+    return np.flatnonzero(np.diff(np.r_[False, gone, False])).reshape(-1, 2), np.frombuffer(raw, np.uint8)[~gone].tobytes()
+
+
 def _remove(batches):
     for pdf in batches:
         rows = []
         for body, spans in zip(pdf["body"], pdf["spans"], strict=True):
             raw = body.encode()
-            cover = np.zeros(len(raw) + 1, np.int32)
-            if spans is not None and len(spans):
-                np.add.at(cover, [s["start"] for s in spans], 1)
-                np.add.at(cover, [s["end"] for s in spans], -1)
-            gone = np.cumsum(cover)[:-1] > 0
-            edges = np.flatnonzero(np.diff(np.r_[False, gone, False]))
-            kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
-            rows.append((len(raw), int(gone.sum()), [{"start": a, "end": b} for a, b in edges.reshape(-1, 2).tolist()], kept))
+            runs, kept = _cut(raw, spans if spans is not None else [])
+            rows.append((len(raw), len(raw) - len(kept), [{"start": a, "end": b} for a, b in runs.tolist()], kept))
         yield pd.DataFrame({"key": pdf["key"], **{c: [r[i] for r in rows] for i, c in enumerate(("n_bytes", "n_removed", "removed", "kept"))}})
 
 
-def without_repeats(docs: DataFrame, doc_id="doc_id", text="text", hot: int = HOT) -> DataFrame:
-    """Per document its id, ``n_bytes``, ``n_removed``, the ``removed`` byte runs [start, end) and the bytes ``kept``."""
-    body = plain(docs, doc_id, text).withColumn("at", F.coalesce(F.col("key").cast("long"), F.lit(-(2**63))))
+def _identified(docs: DataFrame, doc_id: str, text: str, at: str = "at", tie: str = "tie") -> tuple[DataFrame, bool]:
+    """All rows with columns that tell documents apart and order them, and whether an id occurs twice."""
+    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    found = docs.withColumn(at, F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(-(2**63))))
     # Only where an id occurs twice does a text's digest tell documents apart; else it would be shuffled for nothing.
-    repeated_ids = body.groupBy("at").count().filter("count > 1").limit(1).count() > 0
-    body = body.withColumn("tie", F.xxhash64("body") if repeated_ids else F.lit(0).cast("long"))
+    repeated_ids = found.groupBy(at).count().filter("count > 1").limit(1).count() > 0
+    return found.withColumn(tie, F.xxhash64(body) if repeated_ids else F.lit(0).cast("long")), repeated_ids
+
+
+def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
+    """(at, tie, spans) of the documents that hold repeats; spans [start, end) may overlap. Takes (key, body) rows."""
+    body, repeated_ids = _identified(docs, "key", "body")
     total = body.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     # As many bits of an anchor's hash as keep chance meetings rare; more only for more data.
     bits = min(64, max(24, math.ceil(math.log2(total + 1)) + 6))
@@ -358,8 +367,37 @@ def without_repeats(docs: DataFrame, doc_id="doc_id", text="text", hot: int = HO
     late = strings.join(earliest, ["h1", "h2"]).filter(F.struct("at", "tie", "lo") != F.col("first"))
     late = late.select("at", "tie", F.col("lo").alias("start"), (F.col("lo") + LENGTH).cast("int").alias("end"))
 
-    per_doc = spans.union(merged).union(late).groupBy("at", "tie").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    return spans.union(merged).union(late).groupBy("at", "tie").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+
+
+def without_repeats(docs: DataFrame, doc_id="doc_id", text="text", hot: int = HOT) -> DataFrame:
+    """Per document its id, ``n_bytes``, ``n_removed``, the ``removed`` byte runs [start, end) and the bytes ``kept``."""
+    body = plain(docs, doc_id, text)
+    found = repeated_spans(body, hot)
+    done = _identified(body, "key", "body")[0].join(found.hint("shuffle_hash"), ["at", "tie"], "left").select("key", "body", "spans")
     kind = body.schema["key"].dataType.simpleString()
-    done = body.join(per_doc.hint("shuffle_hash"), ["at", "tie"], "left").select("key", "body", "spans")
     schema = f"key {kind}, n_bytes long, n_removed long, removed array<struct<start:int,end:int>>, kept binary"
     return done.mapInPandas(_remove, schema).withColumnRenamed("key", doc_id)
+
+
+def _cleaned(position: int):
+    def run(batches):
+        for pdf in batches:
+            texts = []
+            for body, spans in zip(pdf.iloc[:, position], pdf["__spans"], strict=True):
+                raw = (body or "").encode()
+                texts.append(body if spans is None or not len(spans) else _cut(raw, spans)[1].decode("utf-8", "ignore"))
+            out = pdf.drop(columns="__spans")
+            out.isetitem(position, pd.Series(texts, dtype=object, index=out.index))
+            yield out
+
+    return run
+
+
+def cleaned(docs: DataFrame, doc_id="doc_id", text="text", hot: int = HOT) -> DataFrame:
+    """All rows and columns, the texts without their repeats; a character cut in two goes as a whole."""
+    found = repeated_spans(plain(docs, doc_id, text), hot).select(F.col("at").alias("__at"), F.col("tie").alias("__tie"), F.col("spans").alias("__spans"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    own = _identified(docs.select(*columns, F.col(f"`{doc_id}`").alias("__key"), F.col(f"`{text}`").alias("__body")), "__key", "__body", "__at", "__tie")[0]
+    joined = own.join(found.hint("shuffle_hash"), ["__at", "__tie"], "left").select(*columns, "__spans")
+    return joined.mapInPandas(_cleaned(docs.columns.index(text)), docs.schema)
