@@ -341,7 +341,8 @@ def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     # As many bits of an anchor's hash as keep chance meetings rare; more only for more data.
     bits = min(64, max(24, math.ceil(math.log2(total + 1)) + 6))
     found = body.select("at", "tie", "body").mapInArrow(_anchors(bits), "anchor long, content long, at long, tie long, lo int, shape int")
-    often = found.select("anchor").groupBy("anchor").count().filter("count > 1").select("anchor")
+    # Written first, so that the join shuffles both sides for itself and may split an anchor that many rows have.
+    often = stage(found.select("anchor").groupBy("anchor").count().filter("count > 1").select("anchor"), "anchors")
     again = stage(found.join(often, "anchor"), "repeated-anchors")
 
     place = F.struct("at", "tie", "lo", "shape")
