@@ -157,10 +157,14 @@ def residual_outliers(df: DataFrame, truth: str, predicted: str, segment: str, l
     A model used as a detector of bad records: 0.6745·|r − median| / MAD > limit.
     """
     rows = staged(df.withColumn("residual", F.col(truth) - F.col(predicted)).where(F.col("residual").isNotNull()), "residuals")
-    centre = broadcast_if_small(quantiles.exact(rows, "residual", {"_med": 0.5}, by=[segment]))
-    off = rows.join(centre, segment).withColumn("_dev", F.abs(F.col("residual") - F.col("_med")))
-    spread = broadcast_if_small(quantiles.exact(off, "_dev", {"_mad": 0.5}, by=[segment]))
-    scored = off.join(spread, segment).withColumn("robust_z", F.try_divide(0.6745 * F.col("_dev"), F.col("_mad")))
+
+    def beside(df: DataFrame, column: str, name: str) -> DataFrame:
+        """The segment's median next to each row; rows without a segment are one of their own."""
+        found = broadcast_if_small(quantiles.exact(df, column, {name: 0.5}, by=[segment]).withColumnRenamed(segment, "_segment"))
+        return df.join(found, df[segment].eqNullSafe(found["_segment"])).drop("_segment")
+
+    off = beside(rows, "residual", "_med").withColumn("_dev", F.abs(F.col("residual") - F.col("_med")))
+    scored = beside(off, "_dev", "_mad").withColumn("robust_z", F.try_divide(0.6745 * F.col("_dev"), F.col("_mad")))
     return scored.where(F.col("robust_z") > limit).drop("_med", "_dev", "_mad")
 
 
@@ -179,16 +183,19 @@ def davies_bouldin(df: DataFrame, features: Sequence[str], cluster: str) -> floa
     k centroids meet on the driver.
     """
     centres = df.groupBy(cluster).agg(*[F.avg(f).alias(f"_c_{f}") for f in features])
+    if centres.count() > 10_000:  # before anything is fetched
+        raise ValueError("too many clusters to compare pairwise")
     rows = centres.orderBy(cluster).collect()
     if len(rows) < 2:
         return float("nan")
-    if len(rows) > 10_000:
-        raise ValueError("too many clusters to compare pairwise")
     fixed = F.broadcast(df.sparkSession.createDataFrame(rows, centres.schema))
     dist = F.sqrt(sum((F.col(f) - F.col(f"_c_{f}")) ** 2 for f in features))
     spread = {r[0]: r[1] for r in df.join(fixed, cluster).groupBy(cluster).agg(F.avg(dist)).collect()}
     c = np.array([[r[f"_c_{f}"] for f in features] for r in rows])
     s = np.array([spread[r[cluster]] for r in rows])
-    apart = np.linalg.norm(c[:, None, :] - c[None, :, :], axis=2)
-    np.fill_diagonal(apart, np.inf)
-    return float(((s[:, None] + s[None, :]) / apart).max(axis=1).mean())
+    worst = []
+    for i in range(len(c)):  # one row of the comparison at a time
+        apart = np.linalg.norm(c - c[i], axis=1)
+        apart[i] = np.inf
+        worst.append(((s + s[i]) / apart).max())
+    return float(np.mean(worst))

@@ -33,8 +33,8 @@ CLASSIFIERS = ("LOGISTIC_REG", "BOOSTED_TREE_CLASSIFIER", "RANDOM_FOREST_CLASSIF
 UNSUPERVISED = ("KMEANS", "PCA")
 TREES = tuple(t for t in REGRESSORS + CLASSIFIERS if "TREE" in t or "FOREST" in t)
 
-# Categories kept one by one; a column with more is hashed into HASH_SLOTS slots.
-MAX_CATEGORIES = 1_000
+# How categories become numbers, by name and never by their number: one slot each, or HASH_SLOTS hashed slots.
+ENCODINGS = ("one_hot", "hash")
 HASH_SLOTS = 1_024
 # Fixed value: numbers of clusters tried when none is given.
 CLUSTER_COUNTS = (3, 4, 5, 6, 8)
@@ -93,25 +93,36 @@ def _kind_of(dtype: T.DataType) -> str:
     raise TypeError(f"a {dtype.simpleString()} column cannot be a feature; cast or drop it")
 
 
-def _prepare(df: DataFrame, names: Sequence[str], tree: bool) -> tuple[Pipeline, list[str]]:
+def _prepare(df: DataFrame, names: Sequence[str], tree: bool, encoding: str | Mapping[str, str] = "one_hot") -> tuple[Pipeline, list[str]]:
     """Stages that turn columns into one vector, and the sources in vector order.
 
     Missing numbers become the column mean, missing categories their own
-    category. Trees take category indices, the rest one slot per category.
+    category, missing arrays a row of missing numbers. Trees take category
+    indices, the rest one slot per category; columns whose ``encoding`` is
+    ``hash`` share a fixed number of slots instead.
     """
     kinds = {c: _kind_of(df.schema[c].dataType) for c in names}
     by = lambda k: [c for c in names if kinds[c] == k]
     numbers, flags, cats, arrays, vectors = by("number"), by("flag"), by("category"), by("array"), by("vector")
-    about = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cats]).first().asDict() if cats else {}
-    hashed = [c for c in cats if about[c] > MAX_CATEGORIES]
+    chosen = {c: encoding if isinstance(encoding, str) else encoding.get(c, "one_hot") for c in cats}
+    if unknown := set(chosen.values()) - set(ENCODINGS):
+        raise ValueError(f"an encoding is one of {ENCODINGS}, not {sorted(unknown)}")
+    hashed = [c for c in cats if chosen[c] == "hash"]
     listed = [c for c in cats if c not in hashed]
 
     sql = [f"cast(`{c}` as double) as `_n_{c}`" for c in numbers]
     sql += [f"coalesce(cast(`{c}` as double), 0.0) as `_n_{c}`" for c in flags]
     sql += [f"coalesce(`{c}`, '{MISSING}') as `_c_{c}`" for c in cats]
-    dims = df.select(*[F.size(c).alias(c) for c in arrays]).first().asDict() if arrays else {}
+    dims: dict[str, int] = {}
+    if arrays:
+        known = df.agg(*[f(F.when(F.col(c).isNotNull(), F.size(c))).alias(f"{n}{c}") for c in arrays for n, f in (("low", F.min), ("high", F.max))])
+        found = known.first().asDict()
+        for c in arrays:
+            if found[f"low{c}"] != found[f"high{c}"]:
+                raise ValueError(f"the arrays of {c} differ in length")
+            dims[c] = found[f"high{c}"] or 0
     for c in arrays:
-        sql += [f"cast(element_at(`{c}`, {i + 1}) as double) as `_v_{c}_{i}`" for i in range(dims[c])]
+        sql += [f"cast(try_element_at(`{c}`, {i + 1}) as double) as `_v_{c}_{i}`" for i in range(dims[c])]
     stages = [SQLTransformer(statement=f"select {', '.join(['*', *sql])} from __THIS__")]
     inputs, sources = [], []
     if numbers:
@@ -138,7 +149,9 @@ def _prepare(df: DataFrame, names: Sequence[str], tree: bool) -> tuple[Pipeline,
         stages.append(FeatureHasher(inputCols=[f"_c_{c}"], outputCol=f"_o_{c}", numFeatures=HASH_SLOTS))
         inputs.append(f"_o_{c}")
     for c in arrays:
-        stages.append(VectorAssembler(inputCols=[f"_v_{c}_{i}" for i in range(dims[c])], outputCol=f"_o_{c}"))
+        cells = [f"_v_{c}_{i}" for i in range(dims[c])]
+        stages.append(Imputer(strategy="mean", inputCols=cells, outputCols=[f"_i{v}" for v in cells]))
+        stages.append(VectorAssembler(inputCols=[f"_i{v}" for v in cells], outputCol=f"_o_{c}"))
         inputs.append(f"_o_{c}")
     inputs += vectors
     sources += hashed + arrays + vectors
@@ -222,11 +235,12 @@ def train(
 
     classes = None
     if kind in CLASSIFIERS:
-        found = rows.select(label).distinct().limit(1_001).collect()
-        if len(found) > 1_000:
-            raise ValueError(f"{label} has over 1000 classes")
+        most = options.get("max_classes", 1_000)
+        found = rows.select(label).distinct().limit(most + 1).collect()
+        if len(found) > most:
+            raise ValueError(f"{label} has over {most} classes; allow more with max_classes")
         classes = sorted((r[0] for r in found), key=lambda v: (str(type(v)), v))
-    prep_plan, sources = _prepare(fit, names, kind in TREES)
+    prep_plan, sources = _prepare(fit, names, kind in TREES, options.get("encoding", "one_hot"))
     if kind == "DNN_CLASSIFIER":  # gradients need inputs of one scale
         prep_plan.setStages([*prep_plan.getStages(), StandardScaler(inputCol="_features", outputCol="_scaled", withMean=True, withStd=True)])
     prep = prep_plan.fit(fit)
@@ -256,7 +270,7 @@ def train(
 
 
 def _train_unsupervised(df: DataFrame, kind: str, o: Mapping) -> Model:
-    prep_plan, sources = _prepare(df, df.columns, tree=False)
+    prep_plan, sources = _prepare(df, df.columns, False, o.get("encoding", "one_hot"))
     stages = list(prep_plan.getStages())
     column = "_features"
     if o.get("standardize_features", kind == "KMEANS"):

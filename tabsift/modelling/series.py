@@ -20,9 +20,16 @@ def monthly(df: DataFrame, date: Column | str, value: Column | str, by: Sequence
 
 
 def with_lags(series: DataFrame, by: Sequence[str], lags: Sequence[int] = (1, 12)) -> DataFrame:
-    """Values of earlier months; a series has at most a few hundred months per task."""
-    w = W.partitionBy(*by).orderBy("month")
-    return series.withColumns({f"lag_{k}": F.lag("value", k).over(w) for k in lags})
+    """Values of earlier months by the calendar; NULL where that month has no rows.
+
+    A series has at most a few hundred months per task.
+    """
+    return series.withColumns({f"lag_{k}": _months_ago("value", k, by) for k in lags})
+
+
+def _months_ago(column: str, k: int, by: Sequence[str]) -> Column:
+    months = F.map_from_entries(F.collect_list(F.struct("month", column)).over(W.partitionBy(*by)))
+    return F.try_element_at(months, F.add_months("month", -k))
 
 
 def fit(series: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -35,7 +42,7 @@ def fit(series: DataFrame, by: Sequence[str]) -> DataFrame:
     season = W.partitionBy(*by, F.month("month"))
     centred = series.withColumn("level", F.avg("value").over(w)).withColumn("season", F.avg("value").over(season) - F.col("level"))
     rest = centred.withColumn("rest", F.col("value") - F.col("level") - F.col("season"))
-    rest = rest.withColumn("before", F.lag("rest").over(w.orderBy("month")))
+    rest = rest.withColumn("before", _months_ago("rest", 1, by))
     enough = F.count("*") >= MIN_PERIODS
     return rest.groupBy(*by).agg(
         F.count("*").alias("periods"),

@@ -40,8 +40,14 @@ def _long(wide: DataFrame, columns: Sequence[str], make) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Exact distinct values per column (one shuffle of de-duplicated values)."""
-    return df.agg(*[F.count_distinct(c).alias(c) for c in columns])
+    """Exact distinct values per column.
+
+    Each row becomes one (column, value) per column and is de-duplicated before
+    the shuffle, so nothing is repeated per distinct aggregate.
+    """
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").cast("string").alias("v")) for i, c in enumerate(columns)])
+    seen = df.select(F.explode(pairs).alias("p")).select("p.*").where("v is not null").distinct()
+    return seen.agg(*[F.count_if(F.col("i") == i).alias(c) for i, c in enumerate(columns)])
 
 
 def correlation(df: DataFrame, pairs: Sequence[tuple[str, str]], digits: int = 6) -> DataFrame:
@@ -63,20 +69,21 @@ def joined_correlation(
     moments = (
         facts.where(F.col(x).isNotNull())
         .groupBy(F.col(key).alias("_k"))
-        .agg(F.count("*").cast("double").alias("n"), F.sum(x).alias("sx"), F.sum(F.col(x) * F.col(x)).alias("sxx"))
+        .agg(F.count("*").cast("double").alias("n"), F.avg(x).alias("mx"), F.var_pop(x).alias("vx"))
     )
     side = dims.select(F.col(dim_key).alias("_k"), F.col(y).alias("y")).where(F.col("y").isNotNull())
-    s = moments.join(side, "_k").agg(
-        F.sum("n").alias("n"),
-        F.sum("sx").alias("sx"),
-        F.sum("sxx").alias("sxx"),
-        F.sum(F.col("n") * F.col("y")).alias("sy"),
-        F.sum(F.col("n") * F.col("y") * F.col("y")).alias("syy"),
-        F.sum(F.col("sx") * F.col("y")).alias("sxy"),
+    both = moments.join(side, "_k")
+    # Moments are taken about the means, so large values do not cancel.
+    total = F.sum("n")
+    mean = one_row(both.agg((F.sum(F.col("n") * F.col("mx")) / total).alias("x"), (F.sum(F.col("n") * F.col("y")) / total).alias("y")))
+    dx, dy = F.col("mx") - mean["x"], F.col("y") - mean["y"]
+    s = both.agg(
+        F.sum(F.col("n") * dx * dy).alias("xy"),
+        F.sum(F.col("n") * (F.col("vx") + dx * dx)).alias("xx"),
+        F.sum(F.col("n") * dy * dy).alias("yy"),
     )
-    cov = F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")
-    spread = F.sqrt((F.col("n") * F.col("sxx") - F.col("sx") ** 2) * (F.col("n") * F.col("syy") - F.col("sy") ** 2))
-    return s.select(F.lit(x).alias("a"), F.lit(y).alias("b"), F.round(F.try_divide(cov, spread), digits).alias("corr"))
+    corr = F.try_divide(F.col("xy"), F.sqrt(F.col("xx") * F.col("yy")))
+    return s.select(F.lit(x).alias("a"), F.lit(y).alias("b"), F.round(corr, digits).alias("corr"))
 
 
 def class_share(df: DataFrame, label: str) -> DataFrame:
@@ -145,6 +152,7 @@ def profile_groups(df: DataFrame, by: str, medians: dict[str, str], means: dict[
         *[F.round(F.avg(c), 4).alias(out) for out, c in means.items()],
         *[F.round(100 * F.avg(F.col(c).cast("int")), 4).alias(out) for out, c in rates.items()],
     )
-    for out, c in medians.items():
-        card = card.join(quantiles.exact(df, c, {out: 0.5}, by=[by]), by, "left")
-    return card
+    if not medians:
+        return card
+    found = quantiles.exact_columns(df, medians, 0.5, by=[by]).withColumnRenamed(by, "_by")
+    return card.join(found, card[by].eqNullSafe(found["_by"]), "left").drop("_by")

@@ -22,8 +22,8 @@ def tail_alarm(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     wide = df.agg(
         *[f(c).alias(f"{c}_{n}") for c in columns for n, f in (("mean", F.avg), ("sd", F.stddev_samp), ("n", F.count))]
     )
-    for c in columns:
-        wide = wide.withColumn(f"{c}_med", one_row(quantiles.exact(df, c, {"m": 0.5}))["m"])
+    medians = one_row(quantiles.exact_columns(df, {c: c for c in columns}, 0.5))
+    wide = wide.withColumns({f"{c}_med": medians[c] for c in columns})
     mean, sd, med = (lambda c: F.col(f"{c}_mean")), (lambda c: F.col(f"{c}_sd")), (lambda c: F.col(f"{c}_med"))
     return _long(
         wide,
@@ -120,9 +120,10 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def duplicate_texts(df: DataFrame, text: str, ident: str) -> DataFrame:
-    """Exact copies of a long text: only a 256-bit digest is shuffled, not the text."""
+    """Exact copies of a long text: only a 256-bit digest is shuffled, not the text. Missing texts are no copies."""
     return (
-        df.select(F.sha2(text, 256).alias("digest"), ident)
+        df.where(F.col(text).isNotNull())
+        .select(F.sha2(text, 256).alias("digest"), ident)
         .groupBy("digest")
         .agg(F.count("*").alias("copies"), F.min(ident).alias("first_id"))
         .where("copies > 1")
@@ -169,9 +170,12 @@ def scale_suspects(df: DataFrame, column: str, segment: str, powers: Sequence[in
 
     They are reported, not repaired: the right power cannot be known.
     """
-    edges = broadcast_if_small(quantiles.exact(df, column, {"p01": 0.01, "p99": 0.99}, by=[segment]))
+    edges = quantiles.exact(df, column, {"p01": 0.01, "p99": 0.99}, by=[segment]).withColumnRenamed(segment, "_segment")
+    edges = broadcast_if_small(edges)
     x, low, high = F.col(column), F.col("p01"), F.col("p99")
     moved = F.coalesce(
         *[F.when((x / F.lit(float(10**k) if k > 0 else 1.0 / 10 ** -k)).between(low, high), F.lit(k)) for k in powers]
     )
-    return df.join(edges, segment).where(~x.between(low, high)).withColumn("power", moved).where(F.col("power").isNotNull())
+    # Rows without a segment are a segment of their own.
+    held = df.join(edges, df[segment].eqNullSafe(edges["_segment"])).drop("_segment")
+    return held.where(~x.between(low, high)).withColumn("power", moved).where(F.col("power").isNotNull())

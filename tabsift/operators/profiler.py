@@ -6,21 +6,20 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import combinations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import scalars as S
+from . import aggregates
 
 # Fixed values of the profile.
-DISTINCT_CAP = 5_000
 MAX_CATEGORIES = 60
 MIN_TEXT_CHARS = 40
 MIN_MONTHS = 24
 MIN_IDENTITY_VALUES = 50
-IDENTITY_HEAD_ROWS = 500
-MAX_TARGETS = 12
+IDENTITY_SHARE = 0.99
+HIGH_SHARE = 0.9
 PREVIEW_ROWS, PREVIEW_CHARS = 3, 70
 
 CHUNK = 50
@@ -41,11 +40,15 @@ def _parts(df: DataFrame, c: str) -> dict[str, Column]:
     return {"empty": empty, "number": number, "date": F.when(other, S.parse_date(s)), "text": F.when(other, s)}
 
 
-def _facts(df: DataFrame) -> list[dict]:
+# Columns whose estimate is at most this are counted exactly; the rest only on request.
+EXACT_DISTINCT = 5_000
+
+
+def _facts(df: DataFrame, exact: bool = False) -> list[dict]:
     """Everything the profile needs about every column: one wide aggregate, one row.
 
-    Only columns whose estimate is near or under the cap are counted exactly, in
-    a second pass whose partial state stays under the cap per task.
+    Distinct values are counted in a second pass, of all columns with ``exact``
+    and else of those with few; the others keep their estimate, and say so.
     """
     cells, aggs = [], [F.count("*").alias("n")]
     for i, c in enumerate(df.columns):
@@ -62,24 +65,27 @@ def _facts(df: DataFrame) -> list[dict]:
             F.count_if(f"e{i}").alias(f"empty{i}"),
             F.count(f"x{i}").alias(f"numbers{i}"),
             F.count(f"d{i}").alias(f"dates{i}"),
+            F.min(f"d{i}").alias(f"first{i}"),
+            F.max(f"d{i}").alias(f"last{i}"),
+            F.percentile_approx(finite, HIGH_SHARE, 10_000).alias(f"high{i}"),
             F.avg(f"t{i}").alias(f"chars{i}"),
             F.avg(finite).alias(f"mean{i}"),
             F.stddev_pop(finite).alias(f"sd{i}"),
             F.approx_count_distinct(F.when(~F.col(f"e{i}"), F.col(f"h{i}")), 0.02).alias(f"about{i}"),
         ]
     wide = df.select(*cells).agg(*aggs).first().asDict()
-    names = ("empty", "numbers", "dates", "chars", "about", "mean", "sd")
+    names = ("empty", "numbers", "dates", "chars", "about", "mean", "sd", "first", "last", "high")
     facts = [{"column": c, "n": wide["n"], **{k: wide[f"{k}{i}"] for k in names}} for i, c in enumerate(df.columns)]
     cell = lambda c: F.when(~_parts(df, c)["empty"], F.col(f"`{c}`").cast("string"))
-    near = [f["column"] for f in facts if f["about"] <= DISTINCT_CAP * 1.2]
+    counted = [f["column"] for f in facts if exact or f["about"] <= EXACT_DISTINCT]
     dated = [f["column"] for f in facts if f["dates"] > 0.5 * f["n"]]
     month = lambda c: F.date_format(_parts(df, c)["date"], "yyyy-MM")
-    second = [F.count_distinct(cell(c)).alias(f"d:{c}") for c in near] + [F.count_distinct(month(c)).alias(f"m:{c}") for c in dated]
-    exact = df.agg(*second).first().asDict() if second else {}
+    second = [cell(c).alias(f"d:{c}") for c in counted] + [month(c).alias(f"m:{c}") for c in dated]
+    seen = aggregates.distinct_counts(df.select(*second), [f"d:{c}" for c in counted] + [f"m:{c}" for c in dated]).first().asDict() if second else {}
     for f in facts:
-        f["distinct"] = exact.get(f"d:{f['column']}", f["about"])
-        f["months"] = exact.get(f"m:{f['column']}", 0)
-        f["over_cap"] = f["distinct"] > DISTINCT_CAP
+        f["distinct"] = seen.get(f"d:{f['column']}", f["about"])
+        f["is_estimate"] = f["column"] not in counted
+        f["months"] = seen.get(f"m:{f['column']}", 0)
         f["type"] = _type(f)
     constant = [f["column"] for f in facts if f["distinct"] <= 1]
     values = df.agg(*[F.max(cell(c)).alias(c) for c in constant]).first().asDict() if constant else {}
@@ -97,36 +103,45 @@ def _type(f: dict) -> str:
     return "text" if (f["chars"] or 0) >= MIN_TEXT_CHARS else "category"
 
 
-def profile_columns(df: DataFrame) -> DataFrame:
-    """One row per column: type by content, distinct values, empty cells, constants."""
-    rows = []
-    for f in _facts(df):
-        shown = f"{DISTINCT_CAP}+" if f["over_cap"] else str(f["distinct"])
-        rows.append((f["column"], f["type"], shown, f["empty"], f["distinct"] <= 1, f["value"]))
-    schema = "column string, type string, distinct string, empty bigint, is_constant boolean, constant_value string"
+def profile_columns(df: DataFrame, exact: bool = False) -> DataFrame:
+    """One row per column: type by content, distinct values, empty cells, constants.
+
+    ``exact`` counts the distinct values of all columns, not only of those with few.
+    """
+    rows = [
+        (f["column"], f["type"], f["distinct"], f["is_estimate"], f["empty"], f["distinct"] <= 1, f["value"]) for f in _facts(df, exact)
+    ]
+    schema = "column string, type string, distinct bigint, is_estimate boolean, empty bigint, is_constant boolean, constant_value string"
     return df.sparkSession.createDataFrame(rows, schema)
 
 
 def target_candidates(df: DataFrame) -> DataFrame:
     """Columns worth predicting or mining, by kind of task, with the figure that decides.
 
-    For a regression target the deviation is the error of always guessing the mean.
+    A regression target comes with its mean and deviation, the error of always
+    guessing the mean; a time series with its first and last day. Where no
+    category fits, each numeric column offers a binary target, whether it lies
+    above its 90th percentile.
     """
     facts, rows = _facts(df), []
-    numeric = sorted((f for f in facts if f["type"] == "number"), key=lambda f: -f["numbers"])
-    for f in numeric[:MAX_TARGETS]:
-        if f["numbers"] < 10:
-            continue
+    numeric = [f for f in facts if f["type"] == "number" and f["numbers"] >= 10]
+    for f in sorted(numeric, key=lambda f: -f["numbers"]):
         cv = f["sd"] / f["mean"] if f["mean"] else 0.0
-        rows.append(("regression", f["column"], "cv", round(cv, 4), 0.3 < cv < 5 and f["distinct"] > 100))
+        good = 0.3 < cv < 5 and f["distinct"] > 100
+        rows.append(("regression", f["column"], "cv", round(cv, 4), good, None, None))
+        rows.append(("regression", f["column"], "mean", round(f["mean"] or 0.0, 2), good, None, None))
+        rows.append(("regression", f["column"], "stddev", round(f["sd"] or 0.0, 2), good, None, None))
+    classes = [f for f in facts if f["type"] == "category" and 2 <= f["distinct"] <= MAX_CATEGORIES]
+    rows += [("classification", f["column"], "categories", float(f["distinct"]), True, None, None) for f in classes]
+    if not classes:
+        rows += [("classification", f["column"], "above_p90", f["high"], True, None, None) for f in numeric]
     for f in facts:
-        if f["type"] == "category" and not f["over_cap"] and 2 <= f["distinct"] <= MAX_CATEGORIES:
-            rows.append(("classification", f["column"], "categories", float(f["distinct"]), True))
         if f["type"] == "date":
-            rows.append(("time_series", f["column"], "months", float(f["months"]), f["months"] >= MIN_MONTHS))
+            rows.append(("time_series", f["column"], "months", float(f["months"]), f["months"] >= MIN_MONTHS, f["first"], f["last"]))
         if f["type"] == "text":
-            rows.append(("free_text", f["column"], "mean_chars", round(f["chars"], 2), True))
-    return df.sparkSession.createDataFrame(rows, "task string, column string, measure string, value double, good boolean")
+            rows.append(("free_text", f["column"], "mean_chars", round(f["chars"], 2), True, None, None))
+    schema = "task string, column string, measure string, value double, good boolean, first_day date, last_day date"
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def preview(df: DataFrame, order: Sequence[str], rows: int = PREVIEW_ROWS, chars: int = PREVIEW_CHARS) -> DataFrame:
@@ -134,7 +149,7 @@ def preview(df: DataFrame, order: Sequence[str], rows: int = PREVIEW_ROWS, chars
     return df.orderBy(*order).limit(rows).select(*[F.substring(F.col(c).cast("string"), 1, chars).alias(c) for c in df.columns])
 
 
-# The arithmetic tried; each works on Spark columns and on numpy arrays alike.
+# The arithmetic tried.
 OPERATIONS = {
     "{a}": lambda a, b: a,
     "{a} * {b}": lambda a, b: a * b,
@@ -174,19 +189,15 @@ def identity_candidates(columns: Sequence[str], ratio: bool = False) -> list[Ide
 
 
 def identity_hunt(
-    df: DataFrame, columns: Sequence[str], tolerance: float = S.RELATIVE_TOLERANCE, min_share: float = 1.0, ratio: bool = False
+    df: DataFrame, columns: Sequence[str], tolerance: float = S.RELATIVE_TOLERANCE, min_share: float = IDENTITY_SHARE, ratio: bool = False
 ) -> DataFrame:
-    """Columns that are an exact copy or arithmetic result of others, row by row.
+    """Columns that are a copy or arithmetic result of others on nearly all rows, with the share that is.
 
-    Every surviving formula is counted over the whole table. For ``min_share`` 1
-    a single counter-example settles a formula, so a few hundred rows rule most
-    of them out first without changing the answer; below 1 nothing is ruled out.
+    Every formula is counted over the whole table; rows with a missing side, a
+    division by zero among them, say nothing either way.
     """
     enough = df.agg(*[F.count(c).alias(c) for c in columns]).first()
     live = identity_candidates([c for c in columns if enough[c] >= MIN_IDENTITY_VALUES], ratio)
-    if min_share >= 1.0 and live:
-        head = df.select(*[F.col(c).cast("double") for c in columns]).limit(IDENTITY_HEAD_ROWS).toPandas()
-        live = [c for c in live if not _refuted(head, c, tolerance)]
     rows = [
         (c.target, c.formula, seen, round(100.0 * hit / seen, 2))
         for c, (hit, seen) in zip(live, _match(df, live, tolerance))
@@ -195,16 +206,6 @@ def identity_hunt(
     return df.sparkSession.createDataFrame(rows, "target string, formula string, rows bigint, pct double")
 
 
-def _refuted(head, candidate: Identity, tolerance: float) -> bool:
-    """A row of the head contradicts the formula (rows with a missing side do not)."""
-    with np.errstate(all="ignore"):
-        y, v = head[candidate.target].to_numpy(), candidate.value(lambda c: head[c].to_numpy())
-        apart = np.abs(v - y)
-        close = np.isfinite(apart) & (apart <= tolerance * np.maximum(np.maximum(np.abs(v), np.abs(y)), 1.0))
-        known = ~(np.isnan(y) | np.isnan(v))
-    return bool((known & ~close).any())
-
-
 def _match(df: DataFrame, candidates: Sequence[Identity], tolerance: float) -> list[tuple[int, int]]:
     """Hits and rows per formula, a few hundred counters per scan."""
     out = []

@@ -35,11 +35,11 @@ def coverage(df: DataFrame, flags: Sequence[str], rare_pct: float = 5.0) -> Data
 def overlap(df: DataFrame, flags: Sequence[str], medians: Mapping[str, Column | str]) -> DataFrame:
     """Rows and medians for every combination of flags that occurs."""
     out = df.groupBy(*flags).agg(F.count("*").alias("rows"))
-    for name, x in medians.items():
-        found = quantiles.exact(df, x, {name: 0.5}, by=flags)
-        same = [out[f].eqNullSafe(found[f]) for f in flags]
-        out = out.join(found, same, "left").select(*[out[c] for c in out.columns], found[name])
-    return out
+    if not medians:
+        return out
+    found = quantiles.exact_columns(df, dict(medians), 0.5, by=flags)
+    same = [out[f].eqNullSafe(found[f]) for f in flags]
+    return out.join(found, same, "left").select(*[out[c] for c in out.columns], *[found[m] for m in medians])
 
 
 def category(text: str, rules: Mapping[str, str], otherwise: str = "outro") -> Column:

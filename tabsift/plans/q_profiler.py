@@ -16,7 +16,7 @@ def _columns_sql(source, kinds):
     for c, kind in kinds.items():
         d = f"count(distinct {c})"
         parts.append(
-            f"""select '{c}' as "column", '{kind}' as type, case when {d} > 5000 then '5000+' else cast({d} as varchar) end as "distinct",
+            f"""select '{c}' as "column", '{kind}' as type, {d} as "distinct", false as is_estimate,
  count(*) filter (where {c} is null or trim(cast({c} as varchar)) = '') as empty, {d} <= 1 as is_constant,
  case when {d} <= 1 then min(cast({c} as varchar)) end as constant_value from {source}"""
         )
@@ -24,18 +24,14 @@ def _columns_sql(source, kinds):
 
 
 DIRTY = {
-    "l_orderkey": "number",
-    "area_util": "number",
-    "price": "number",
-    "fee": "number",
-    "l_returnflag": "category",
-    "contract_type": "category",
+    **dict.fromkeys(["l_orderkey", "l_linenumber", "l_partkey", "area_total", "area_util", "price", "fee", "l_discount"], "number"),
+    **dict.fromkeys(["l_returnflag", "contract_type", "city"], "category"),
 }
 
 
 @register("profile_columns", with_views("lineitem_dirty", _columns_sql("lineitem_dirty", DIRTY)))
 def profile_columns(spark, sf_dir):
-    return profiler.profile_columns(view(spark, sf_dir, "lineitem_dirty", heavy=True).select(*DIRTY))
+    return profiler.profile_columns(view(spark, sf_dir, "lineitem_dirty", heavy=True), exact=True)
 
 
 RAW = {"doc_id": "number", "text": "text", "lang": "category", "source": "category", "n_chars": "number"}
@@ -46,30 +42,48 @@ def profile_raw_csv(spark, sf_dir):
     """The same profile of untyped text cells, read back from a CSV with a detected separator."""
     path = fresh_path(spark, "profile")
     csv_files.write_csv(table(spark, sf_dir, "documents"), path, sep=";")
-    return profiler.profile_columns(spread(csv_files.read_csv(spark, path, sep=";", multiline=True)))
+    return profiler.profile_columns(spread(csv_files.read_csv(spark, path, sep=";", multiline=True)), exact=True)
+
+
+def _regression_sql(c):
+    cv, good = f"stddev_pop({c}) / avg({c})", f"stddev_pop({c}) / avg({c}) between 0.3 and 5 and count(distinct {c}) > 100"
+    figures = {"cv": f"round({cv}, 4)", "mean": f"round(avg({c}), 2)", "stddev": f"round(stddev_pop({c}), 2)"}
+    return [
+        f"""select 'regression' as task, '{c}' as "column", '{m}' as measure, {v} as value, {good} as good,
+ null::date as first_day, null::date as last_day from orders"""
+        for m, v in figures.items()
+    ]
 
 
 @register(
     "target_candidates",
-    """
-select 'regression' as task, 'o_orderkey' as "column", 'cv' as measure, round(stddev_pop(o_orderkey) / avg(o_orderkey), 4) as value,
- stddev_pop(o_orderkey) / avg(o_orderkey) between 0.3 and 5 and count(distinct o_orderkey) > 100 as good from orders
-union all select 'regression', 'o_totalprice', 'cv', round(stddev_pop(o_totalprice) / avg(o_totalprice), 4),
- stddev_pop(o_totalprice) / avg(o_totalprice) between 0.3 and 5 and count(distinct o_totalprice) > 100 from orders
-union all select 'classification', 'o_orderstatus', 'categories', cast(count(distinct o_orderstatus) as double), true from orders
-union all select 'classification', 'o_orderpriority', 'categories', cast(count(distinct o_orderpriority) as double), true from orders
+    " union all ".join(q for c in ("o_orderkey", "o_custkey", "o_totalprice") for q in _regression_sql(c))
+    + """
+union all select 'classification', 'o_orderstatus', 'categories', cast(count(distinct o_orderstatus) as double), true, null, null from orders
+union all select 'classification', 'o_orderpriority', 'categories', cast(count(distinct o_orderpriority) as double), true, null, null from orders
 union all select 'time_series', 'o_orderdate', 'months', cast(count(distinct strftime(o_orderdate, '%Y-%m')) as double),
- count(distinct strftime(o_orderdate, '%Y-%m')) >= 24 from orders
+ count(distinct strftime(o_orderdate, '%Y-%m')) >= 24, cast(min(o_orderdate) as date), cast(max(o_orderdate) as date) from orders
 union all select 'free_text', 'note', 'mean_chars',
- round(avg(length('order ' || o_orderkey || ' placed with priority ' || o_orderpriority || ' and status ' || o_orderstatus)), 2), true from orders""",
+ round(avg(length('order ' || o_orderkey || ' placed with priority ' || o_orderpriority || ' and status ' || o_orderstatus)), 2), true, null, null
+from orders""",
 )
 def target_candidates(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders", heavy=True).drop("o_custkey")
+    orders = table(spark, sf_dir, "orders", heavy=True)
     parts = ["order ", F.col("o_orderkey").cast("string"), " placed with priority ", F.col("o_orderpriority"), " and status ", F.col("o_orderstatus")]
     note = F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
     return profiler.target_candidates(orders.withColumn("note", note))
 
 
+@register(
+    "binary_target",
+    """select 'classification' as task, 'o_totalprice' as "column", 'above_p90' as measure, true as good, count(*) >= 10 as offered from orders""",
+)
+def binary_target(spark, sf_dir):
+    """Without a category that fits, a number gives a yes-or-no target."""
+    found = profiler.target_candidates(table(spark, sf_dir, "orders").select("o_totalprice")).where("task = 'classification'")
+    return found.select("task", "column", "measure", "good", (F.col("value") > 0).alias("offered"))
+
+
 @register(
     "preview",
     """
@@ -80,26 +94,48 @@ def preview(spark, sf_dir):
     return profiler.preview(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
-HUNT = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "cut", "net"]
-HUNT_FROM = "(select *, l_extendedprice * l_discount as cut, l_extendedprice - l_extendedprice * l_discount as net from lineitem)"
+HUNT = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "cut", "net"]
+HUNT_FROM = """(select *, l_extendedprice * l_discount as cut,
+ case when l_orderkey % 997 = 0 then 7.0 else l_extendedprice - l_extendedprice * l_discount end as net from lineitem)"""
 
 
-def _hunt_sql():
+def _hunt_sql(columns, source, ratio):
     items = []
-    near = "abs(({f}) - {y}) <= 1e-3 * greatest(abs({f}), abs({y}), 1.0)"
-    for y in HUNT:
-        rest = [c for c in HUNT if c != y]
-        formulas = list(rest)
+    near = "coalesce(abs(({f}) - {y}) <= 1e-3 * greatest(abs({f}), abs({y}), 1.0), false)"
+    for y in columns:
+        rest = [c for c in columns if c != y]
+        formulas = {c: f"cast({c} as double)" for c in rest}
         for a, b in combinations(rest, 2):
-            formulas += [f"{a} * {b}", f"{a} + {b}", f"{a} - {b}", f"{b} - {a}"]
-        items += [f"{{'t': '{y}', 'f': '{f}', 'k': count(*) filter (where {near.format(f=f, y=y)})}}" for f in formulas]
+            x, z = f"cast({a} as double)", f"cast({b} as double)"
+            formulas |= {f"{a} * {b}": f"{x} * {z}", f"{a} + {b}": f"{x} + {z}", f"{a} - {b}": f"{x} - {z}", f"{b} - {a}": f"{z} - {x}"}
+            if ratio:
+                formulas |= {f"{a} / {b}": f"{x} / nullif({z}, 0)", f"{b} / {a}": f"{z} / nullif({x}, 0)"}
+        items += [
+            f"{{'t': '{y}', 'f': '{f}', 'k': count(*) filter (where {near.format(f=v, y=y)}), 'n': count(*) filter (where {y} is not null and {v} is not null)}}"
+            for f, v in formulas.items()
+        ]
     return f"""
-with h as (select count(*) as n, [{", ".join(items)}] as found from {HUNT_FROM}),
-u as (select n, unnest(found) as e from h)
-select e.t as target, e.f as formula, n as rows, 100.0::double as pct from u where e.k = n"""
+with h as (select [{", ".join(items)}] as found from {source}),
+u as (select unnest(found) as e from h)
+select e.t as target, e.f as formula, e.n as rows, round(100.0::double * e.k / e.n, 2) as pct from u where e.n > 0 and e.k / e.n >= 0.99"""
 
 
-@register("identity_hunt", _hunt_sql())
+@register("identity_hunt", _hunt_sql(HUNT, HUNT_FROM, False))
 def identity_hunt(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").withColumn("cut", F.col("l_extendedprice") * F.col("l_discount"))
-    return profiler.identity_hunt(li.withColumn("net", F.col("l_extendedprice") - F.col("cut")), HUNT)
+    """All numbers of the line items; one row in a thousand breaks an identity, which is still found."""
+    li = table(spark, sf_dir, "lineitem", heavy=True).withColumn("cut", F.col("l_extendedprice") * F.col("l_discount"))
+    net = F.when(F.col("l_orderkey") % 997 == 0, 7.0).otherwise(F.col("l_extendedprice") - F.col("cut"))
+    return profiler.identity_hunt(li.withColumn("net", net), HUNT)
+
+
+RATIO = ["l_extendedprice", "rate", "cut"]
+RATIO_FROM = """(select l_extendedprice, case when l_orderkey % 5 = 0 then 0.0 else l_discount end as rate,
+ l_extendedprice * (case when l_orderkey % 5 = 0 then 0.0 else l_discount end) as cut from lineitem)"""
+
+
+@register("identity_hunt_ratio", _hunt_sql(RATIO, RATIO_FROM, True))
+def identity_hunt_ratio(spark, sf_dir):
+    """Quotients too, over rows of which many have a zero denominator."""
+    rate = F.when(F.col("l_orderkey") % 5 == 0, 0.0).otherwise(F.col("l_discount"))
+    li = table(spark, sf_dir, "lineitem").select("l_extendedprice", rate.alias("rate"))
+    return profiler.identity_hunt(li.withColumn("cut", F.col("l_extendedprice") * F.col("rate")), RATIO, ratio=True)

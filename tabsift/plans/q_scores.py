@@ -328,9 +328,9 @@ with m as (select o_orderpriority, cast(date_trunc('month', o_orderdate) as date
 @register(
     "ar_lag_features",
     SERIES_SQL
-    + """select o_orderpriority, month, round(value, 4) as value,
- round(lag(value, 1) over (partition by o_orderpriority order by month), 4) as lag_1,
- round(lag(value, 12) over (partition by o_orderpriority order by month), 4) as lag_12 from m""",
+    + """select m.o_orderpriority, m.month, round(m.value, 4) as value, round(a.value, 4) as lag_1, round(b.value, 4) as lag_12 from m
+ left join m a on a.o_orderpriority = m.o_orderpriority and a.month + interval 1 month = m.month
+ left join m b on b.o_orderpriority = m.o_orderpriority and b.month + interval 12 month = m.month""",
 )
 def ar_lag_features(spark, sf_dir):
     m = series.with_lags(series.monthly(table(spark, sf_dir, "orders"), "o_orderdate", "o_totalprice", ["o_orderpriority"]), ["o_orderpriority"])
@@ -344,7 +344,7 @@ def ar_lag_features(spark, sf_dir):
 c as (select *, avg(value) over (partition by o_orderpriority) as level,
  avg(value) over (partition by o_orderpriority, extract(month from month)) - avg(value) over (partition by o_orderpriority) as season from m),
 r as (select *, value - level - season as rest from c),
-b as (select *, lag(rest) over (partition by o_orderpriority order by month) as before from r),
+b as (select r.*, p.rest as before from r left join r p on p.o_orderpriority = r.o_orderpriority and p.month + interval 1 month = r.month),
 f as (select o_orderpriority, count(*) as n, max(month) as last_month, max(level) as level, regr_slope(rest, before) as phi,
  arg_max(rest, month) as last_rest from b group by 1 having count(*) >= 24),
 h as (select f.*, step, cast(last_month + to_months(cast(step as int)) as date) as next from f, range(1, 7) t(step)),

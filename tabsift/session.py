@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,7 +12,9 @@ from pyspark.sql import functions as F
 # A side is broadcast only when it has at most this many rows; beyond it the
 # join is left to the shuffle planner (AQE still converts small runtime sides).
 BROADCAST_ROWS = 100_000
-ORDERED_FILES = 1_000
+BROADCAST_BYTES = 64 * 1024 * 1024
+# A scan of at most this many bytes is spread over all cores; larger ones have splits enough.
+SPREAD_BYTES = 1 << 30
 
 
 def local_session(app: str = "tabsift", cpus: int | str = "*", **conf) -> SparkSession:
@@ -36,10 +39,13 @@ def local_session(app: str = "tabsift", cpus: int | str = "*", **conf) -> SparkS
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees, as the cluster names it.
 
-    Only where the session names none (tests, laptops) is one made here.
+    A local session (tests, laptops) that names none gets one made here; on a
+    cluster a folder of one machine would lose rows, so that is refused.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tabsift-"))
         configured = spark.sparkContext.getCheckpointDir()
     return configured.rstrip("/")
@@ -51,39 +57,44 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 
 
 def spread(scan: DataFrame) -> DataFrame:
-    """Use every core on a file too small to be split; larger scans pass unchanged."""
+    """Use every core on few bytes in few splits; larger scans pass unchanged, however many cores there are."""
+    if planned_bytes(scan) > SPREAD_BYTES:
+        return scan
     cores = scan.sparkSession.sparkContext.defaultParallelism
     return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """The planner's estimate of a frame's size."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write a frame that several jobs will read, and go on from the written table.
 
     It cuts the lineage in a folder that outlives any executor, and later jobs
-    read only the columns they need. A small table is written a second time, one
-    file per core, and read back in file order, so seeded draws repeat. Old
-    folders may be expired by the cluster.
+    read only the columns they need. It is written once, a small one with a file
+    per core, and read back in file order, so seeded draws repeat at any size.
+    Old folders may be expired by the cluster.
     """
     spark, path = df.sparkSession, fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    spread(df).write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
-    wide = spread(back)
-    if wide is not back:
-        path = fresh_path(spark, label)
-        wide.write.parquet(path)
-        back = spark.read.schema(df.schema).parquet(path)
-    files = back.inputFiles()
-    return spark.read.schema(df.schema).parquet(*sorted(files)) if 0 < len(files) <= ORDERED_FILES else back
+    files = sorted(back.inputFiles())
+    return spark.read.schema(df.schema).parquet(*files) if files else back
 
 
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a side only after its rows were counted and found few.
+    """Broadcast a side only after its rows were counted and found few and narrow.
 
     The counted rows are kept, as a broadcast would fetch them anyway, so the
     side is computed once. A larger side is left to a shuffle join.
     """
-    found = df.limit(rows + 1).collect()
-    return F.broadcast(df.sparkSession.createDataFrame(found, df.schema)) if len(found) <= rows else df
+    width = 8 * max(1, len(df.columns))
+    found = df.limit(min(rows, BROADCAST_BYTES // width) + 1).collect()
+    bytes_held = sum(len(v) if isinstance(v, (str, bytes)) else 8 for r in found for v in r)
+    small = len(found) <= rows and bytes_held <= BROADCAST_BYTES
+    return F.broadcast(df.sparkSession.createDataFrame(found, df.schema)) if small else df
 
 
 def one_row(df: DataFrame):
