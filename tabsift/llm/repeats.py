@@ -34,7 +34,7 @@ from numpy.lib.stride_tricks import as_strided
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import plain, stage
+from .common import plain, slices, stage
 
 LENGTH = 100
 GRAM = 32
@@ -289,12 +289,16 @@ def _merger(batches):
 
 def _contents(batches):
     for pdf in batches:
-        rows = []
-        for at, tie, body, wanted in zip(pdf["at"], pdf["tie"], pdf["body"], pdf["wanted"], strict=True):
-            raw = body.encode()
-            rows += [(w["anchor"], at, tie, w["lo"], w["shape"], w["hot"], raw[w["lo"] : w["lo"] + w["shape"] % 128 + LENGTH - 1]) for w in wanted]
-        if rows:
-            yield pd.DataFrame(rows, columns=["anchor", "at", "tie", "lo", "shape", "hot", "content"])
+        for a, b in slices(pdf["body"].tolist()):
+            part, columns = pdf.iloc[a:b], {c: [] for c in ("anchor", "at", "tie", "lo", "shape", "hot", "content")}
+            for at, tie, body, anchors, places in zip(part["at"], part["tie"], part["body"], part["anchors"], part["places"], strict=True):
+                raw, places = body.encode(), np.asarray(places)
+                lo, shape = places >> 32, (places & 0xFFFFFFFF) >> 1
+                ends = lo + shape % 128 + LENGTH - 1
+                columns["content"] += [raw[x:y] for x, y in zip(lo.tolist(), ends.tolist(), strict=True)]
+                for c, values in (("anchor", anchors), ("lo", lo), ("shape", shape), ("hot", places & 1 == 1), ("at", np.full(len(lo), at)), ("tie", np.full(len(lo), tie))):
+                    columns[c].append(np.asarray(values))
+            yield pd.DataFrame({c: v if c == "content" else np.concatenate(v) for c, v in columns.items()})
 
 
 def _strings(batches):
@@ -309,20 +313,22 @@ def _strings(batches):
 def _cut(raw: bytes, spans) -> tuple[np.ndarray, bytes]:
     """The removed runs, as rows (start, end), and the bytes that stay."""
     cover = np.zeros(len(raw) + 1, np.int32)
-    np.add.at(cover, [s["start"] for s in spans], 1)
-    np.add.at(cover, [s["end"] for s in spans], -1)
+    spans = np.asarray(spans, np.int64)
+    np.add.at(cover, spans >> 32, 1)
+    np.add.at(cover, spans & 0xFFFFFFFF, -1)
     gone = np.cumsum(cover)[:-1] > 0
     return np.flatnonzero(np.diff(np.r_[False, gone, False])).reshape(-1, 2), np.frombuffer(raw, np.uint8)[~gone].tobytes()
 
 
 def _remove(batches):
     for pdf in batches:
-        rows = []
-        for body, spans in zip(pdf["body"], pdf["spans"], strict=True):
-            raw = body.encode()
-            runs, kept = _cut(raw, spans if spans is not None else [])
-            rows.append((len(raw), len(raw) - len(kept), [{"start": a, "end": b} for a, b in runs.tolist()], kept))
-        yield pd.DataFrame({"key": pdf["key"], **{c: [r[i] for r in rows] for i, c in enumerate(("n_bytes", "n_removed", "removed", "kept"))}})
+        for a, b in slices(pdf["body"].tolist()):
+            part, rows = pdf.iloc[a:b], []
+            for body, spans in zip(part["body"], part["spans"], strict=True):
+                raw = body.encode()
+                runs, kept = _cut(raw, spans if spans is not None else [])
+                rows.append((len(raw), len(raw) - len(kept), [{"start": x, "end": y} for x, y in runs.tolist()], kept))
+            yield pd.DataFrame({"key": part["key"].to_numpy(), **{c: [r[i] for r in rows] for i, c in enumerate(("n_bytes", "n_removed", "removed", "kept"))}})
 
 
 def _identified(docs: DataFrame, doc_id: str, text: str, at: str = "at", tie: str = "tie") -> tuple[DataFrame, bool]:
@@ -335,7 +341,10 @@ def _identified(docs: DataFrame, doc_id: str, text: str, at: str = "at", tie: st
 
 
 def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
-    """(at, tie, spans) of the documents that hold repeats; spans [start, end) may overlap. Takes (key, body) rows."""
+    """(at, tie, spans) of the documents that hold repeats: runs [start, end) that may overlap, as start * 2^32 + end.
+
+    Takes (key, body) rows.
+    """
     body, repeated_ids = _identified(docs, "key", "body")
     total = body.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     # As many bits of an anchor's hash as keep chance meetings rare; more only for more data.
@@ -354,7 +363,10 @@ def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
 
     many = firsts.groupBy("anchor").count().filter("count > 1")
     open_ = firsts.join(many, "anchor").select("anchor", "first.*", (F.col("count") > hot).alias("hot"))
-    wanted = open_.groupBy("at", "tie").agg(F.collect_list(F.struct("anchor", "lo", "shape", "hot")).alias("wanted"))
+    # Numbers in plain arrays: place, shape and heat of a content in one long.
+    packed = F.shiftleft(F.col("lo").cast("long"), 32) + F.col("shape") * 2 + F.col("hot").cast("int")
+    wanted = open_.groupBy("at", "tie").agg(F.collect_list(F.struct("anchor", packed.alias("place"))).alias("wanted"))
+    wanted = wanted.select("at", "tie", F.col("wanted.anchor").alias("anchors"), F.col("wanted.place").alias("places"))
     texts = body.select("at", "tie", "body")
     if repeated_ids:
         texts = texts.dropDuplicates(["at", "tie"])
@@ -368,7 +380,7 @@ def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     late = strings.join(earliest, ["h1", "h2"]).filter(F.struct("at", "tie", "lo") != F.col("first"))
     late = late.select("at", "tie", F.col("lo").alias("start"), (F.col("lo") + LENGTH).cast("int").alias("end"))
 
-    return spans.union(merged).union(late).groupBy("at", "tie").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    return spans.union(merged).union(late).groupBy("at", "tie").agg(F.collect_list(F.shiftleft(F.col("start").cast("long"), 32) + F.col("end")).alias("spans"))
 
 
 def without_repeats(docs: DataFrame, doc_id="doc_id", text="text", hot: int = HOT) -> DataFrame:
