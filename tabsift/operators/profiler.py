@@ -22,8 +22,6 @@ IDENTITY_SHARE = 0.99
 HIGH_SHARE = 0.9
 PREVIEW_ROWS, PREVIEW_CHARS = 3, 70
 
-CHUNK = 50
-
 
 def _parts(df: DataFrame, c: str) -> dict[str, Column]:
     """Emptiness, number, date and text of a cell, from its type or from its content."""
@@ -149,7 +147,7 @@ def preview(df: DataFrame, order: Sequence[str], rows: int = PREVIEW_ROWS, chars
     return df.orderBy(*order).limit(rows).select(*[F.substring(F.col(c).cast("string"), 1, chars).alias(c) for c in df.columns])
 
 
-# The arithmetic tried.
+# The arithmetic tried, on arrays of numbers.
 OPERATIONS = {
     "{a}": lambda a, b: a,
     "{a} * {b}": lambda a, b: a * b,
@@ -173,9 +171,6 @@ class Identity:
     def formula(self) -> str:
         return self.shape.format(a=self.a, b=self.b)
 
-    def value(self, get):
-        return {**OPERATIONS, **RATIOS}[self.shape](get(self.a), get(self.b) if self.b else None)
-
 
 def identity_candidates(columns: Sequence[str], ratio: bool = False) -> list[Identity]:
     """Every copy, product, sum and difference (and quotient) that could make a column."""
@@ -193,37 +188,49 @@ def identity_hunt(
 ) -> DataFrame:
     """Columns that are a copy or arithmetic result of others on nearly all rows, with the share that is.
 
-    Every formula is counted over the whole table; rows with a missing side, a
-    division by zero among them, say nothing either way.
+    One scan counts every formula over all rows: tasks add up hits per formula
+    batch by batch, and only those sums are shuffled. Rows with a missing side,
+    a division by zero among them, say nothing either way.
     """
     enough = df.agg(*[F.count(c).alias(c) for c in columns]).first()
     live = identity_candidates([c for c in columns if enough[c] >= MIN_IDENTITY_VALUES], ratio)
+    numbers = df.select(*[F.col(c).cast("double") for c in columns])
+    counted = numbers.mapInArrow(_counter(live, tolerance), "formula int, hits bigint, seen bigint")
+    sums = counted.groupBy("formula").agg(F.sum("hits").alias("hits"), F.sum("seen").alias("seen")).collect()
     rows = [
-        (c.target, c.formula, seen, round(100.0 * hit / seen, 2))
-        for c, (hit, seen) in zip(live, _match(df, live, tolerance))
-        if seen and hit / seen >= min_share
+        (live[r.formula].target, live[r.formula].formula, r.seen, round(100.0 * r.hits / r.seen, 2))
+        for r in sorted(sums, key=lambda r: r.formula)
+        if r.seen and r.hits / r.seen >= min_share
     ]
     return df.sparkSession.createDataFrame(rows, "target string, formula string, rows bigint, pct double")
 
 
-def _match(df: DataFrame, candidates: Sequence[Identity], tolerance: float) -> list[tuple[int, int]]:
-    """Hits and rows per formula, a few hundred counters per scan."""
-    out = []
-    for start in range(0, len(candidates), CHUNK):
-        part, aggs = candidates[start : start + CHUNK], []
-        for i, c in enumerate(part):
-            y = F.col(c.target)
-            value = c.value(lambda name: F.col(name).cast("double")) if "/" not in c.shape else _ratio(c)
-            aggs += [
-                F.count_if(y.isNotNull() & value.isNotNull()).alias(f"n{i}"),
-                F.count_if(S.nearly_equal(value, y, tolerance)).alias(f"k{i}"),
-            ]
-        row = df.agg(*aggs).first()
-        out += [(row[f"k{i}"], row[f"n{i}"]) for i in range(len(part))]
-    return out
-
-
-def _ratio(c: Identity) -> Column:
-    """Division by zero is missing, not an error."""
-    top, bottom = (c.a, c.b) if c.shape.startswith("{a}") else (c.b, c.a)
-    return F.try_divide(F.col(top).cast("double"), F.col(bottom).cast("double"))
+def _counter(candidates: Sequence[Identity], tolerance: float):
+    """A task's hits and rows per formula."""
+    shapes = {**OPERATIONS, **RATIOS}
+    plan = [(c.target, shapes[c.shape], c.a, c.b, c.shape) for c in candidates]
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        hits, seen = np.zeros(len(plan), np.int64), np.zeros(len(plan), np.int64)
+        for batch in batches:
+            values = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in batch.schema.names}
+            known = {n: batch.column(n).is_valid().to_numpy(zero_copy_only=False) for n in batch.schema.names}
+            with np.errstate(all="ignore"):
+                for i, (target, fn, a, b, shape) in enumerate(plan):
+                    y, v = values[target], fn(values[a], values[b] if b else None)
+                    there = known[target] & known[a] & (known[b] if b else True)
+                    if "/" in shape:
+                        there = there & (values[b if shape.startswith("{a}") else a] != 0)
+                    apart = np.abs(v - y)
+                    close = apart <= tolerance * np.maximum(np.maximum(np.abs(v), np.abs(y)), 1.0)
+                    seen[i] += np.count_nonzero(there)
+                    hits[i] += np.count_nonzero(there & np.isfinite(apart) & close)
+        if len(plan):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(len(plan), dtype=np.int32)), pa.array(hits), pa.array(seen)], ["formula", "hits", "seen"]
+            )
+
+    return run

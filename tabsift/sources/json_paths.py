@@ -15,8 +15,10 @@ def leaves(schema: T.DataType, at: tuple[str, ...] = ("$",), shown: str = "") ->
     if isinstance(schema, T.StructType) and schema.fields:
         out = []
         for f in schema.fields:
-            name = f.name.replace("\\", "\\\\").replace("'", "\\'")
-            out += leaves(f.dataType, (*at[:-1], f"{at[-1]}['{name}']"), f"{shown}.{f.name}" if shown else f.name)
+            quote = "'" if "'" not in f.name else '"'
+            if quote in f.name:
+                raise ValueError(f"a key with both kinds of quotes has no path: {f.name}")
+            out += leaves(f.dataType, (*at[:-1], f"{at[-1]}[{quote}{f.name}{quote}]"), f"{shown}.{f.name}" if shown else f.name)
         return out
     if isinstance(schema, T.ArrayType):
         return leaves(schema.elementType, (*at, "$"), f"{shown}[]")
@@ -54,7 +56,8 @@ def inventory(df: DataFrame, doc: str) -> DataFrame:
     nested = [i for i, (_, at, _) in enumerate(found) if len(at) > 1]
     wide = values.agg(*aggs)
     if nested:
-        pairs = F.concat(*[F.transform(f"_v{i}", lambda x, i=i: F.struct(F.lit(i).alias("i"), x.alias("x"))) for i in nested])
+        numbered = lambda i: lambda x: F.struct(F.lit(i).alias("i"), x.alias("x"))
+        pairs = F.concat(*[F.transform(f"_v{i}", numbered(i)) for i in nested])
         each = values.select(F.explode(pairs).alias("p")).select("p.*")
         several = each.agg(*[F.approx_count_distinct(F.when(F.col("i") == i, F.col("x"))).alias(f"_d{i}") for i in nested])
         wide = wide.withColumns({f"_d{i}": one_row(several)[f"_d{i}"] for i in nested})

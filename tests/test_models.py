@@ -110,11 +110,23 @@ def test_multiclass_tree_votes(homes):
     assert m.metrics["log_loss"] is None and len(m.classes) == 5
 
 
-def test_many_categories_are_hashed_not_listed(spark, monkeypatch):
-    monkeypatch.setattr(models, "MAX_CATEGORIES", 50)
+def test_categories_are_hashed_only_by_name(spark):
     d = spark.range(600).select(F.concat(F.lit("k"), (F.col("id") % 200).cast("string")).alias("k"), (F.col("id") % 200).cast("double").alias("y"))
-    m = models.train(d, "LINEAR_REG", "y", split_method="NONE", l2_reg=1e-6)
+    m = models.train(d, "LINEAR_REG", "y", split_method="NONE", l2_reg=1e-6, encoding={"k": "hash"})
     assert m.slots == [("k", models.HASH_SLOTS)] and m.metrics["r2_score"] > 0.7
+    listed = models.train(d, "LINEAR_REG", "y", split_method="NONE", l2_reg=1e-6)
+    assert listed.slots[0][1] in (200, 201) and listed.metrics["r2_score"] > 0.99
+    with pytest.raises(ValueError, match="encoding"):
+        models.train(d, "LINEAR_REG", "y", encoding="guess")
+
+
+def test_arrays_of_one_length_with_missing_ones(spark):
+    rows = [([float(i), float(i % 7)], 2.0 * i) for i in range(100)] + [(None, 100.0)]
+    d = spark.createDataFrame(rows, "v array<double>, y double")
+    m = models.train(d, "LINEAR_REG", "y", split_method="NONE")
+    assert m.slots == [("v", 2)] and models.predict(m, d).count() == 101
+    with pytest.raises(ValueError, match="differ in length"):
+        models.train(d.union(spark.createDataFrame([([1.0], 2.0)], d.schema)), "LINEAR_REG", "y")
 
 
 def test_kmeans_is_repeatable_and_numbered_from_one(homes):

@@ -6,8 +6,8 @@ import pytest
 import __spark_entry__ as entry
 
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
-# Training every model type takes minutes; the types are covered in test_models.
-SLOW = {"k_sweep", "model_search", "ablation", "seed_spread", "segment_feature", "explain_compare", "word_vectors"}
+# Whole results that are empty on the smallest tables, where the check SQL is empty as well.
+EMPTY = set()
 
 
 @pytest.fixture(scope="module")
@@ -15,11 +15,11 @@ def con(sf_dir):
     return check.duck(sf_dir)
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in SLOW])
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, sf_dir, name):
     status, n, _, note = check.compare(spark, con, sf_dir, name)
     if name in SQL:
-        assert status in ("ok", "EMPTY"), note
+        assert status == "ok" or (status == "EMPTY" and name in EMPTY), note
     else:
         assert n > 0
 
