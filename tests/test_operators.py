@@ -364,6 +364,7 @@ def test_shared_dir_without_setting(spark, monkeypatch, tmp_path):
     from tabsift import session
 
     class Context:
+        master = "local[2]"
         made = None
 
         def getCheckpointDir(self):
