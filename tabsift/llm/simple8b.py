@@ -18,13 +18,16 @@ from __future__ import annotations
 import os
 import zlib
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe_transducer import ENDINGS, NUMBER, SPACE, kinds
 from .common import plain, slices
 
 # Fixed values of the format: how many values of how many bits a word holds, by selector.
@@ -33,52 +36,64 @@ WIDTHS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 MAGIC = 0x5338_4231
 BLOCK = 1024
 ESCAPE_BITS = 15
+SLICE = 8_000_000  # characters whose distinct words are encoded together
+CACHE_WORDS = 300_000  # words a worker remembers
 SEGMENT_IDS = 1 << 18  # ids after which a segment is closed; a document is never cut
 
 SEGMENT = "part int, seq int, start long, n_docs int, n_ids long, payload binary"
 
 
+_BITS = np.zeros(1 << ESCAPE_BITS, np.uint8)
+for _w in range(ESCAPE_BITS):
+    _BITS[1 << _w :] = _w + 1
+
+
+def selectors(values: np.ndarray) -> np.ndarray:
+    """The selector that holds most of the values from each place on; beyond a block's end a word is filled up with 0."""
+    n = len(values)
+    rows = -(-n // BLOCK)
+    bits = np.zeros((rows, BLOCK + int(COUNTS[0])), np.uint8)
+    bits[:, :BLOCK].flat[:n] = _BITS[values]
+    choice = np.full((rows, BLOCK), len(COUNTS) - 1, np.int8)
+    most, by_count = bits[:, :BLOCK].copy(), {int(c): k for k, c in enumerate(COUNTS)}
+    for count in range(2, int(COUNTS[0]) + 1):
+        np.maximum(most, bits[:, count - 1 : count - 1 + BLOCK], out=most)
+        if (k := by_count.get(count)) is not None:
+            fits = most <= WIDTHS[k]
+            if not fits.any() and WIDTHS[k] <= WIDTHS[4]:
+                break  # no place has so many small values, nor more of smaller ones
+            choice[fits] = k
+    return choice.ravel()[:n]
+
+
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words, escapes, and per block where its words and its escapes begin."""
     n = len(ids)
     escaped = ids >= (1 << ESCAPE_BITS) - 1
-    values = np.where(escaped, 0, ids.astype(np.int64) + 1).astype(np.uint64)
-    widths = np.zeros(n, np.int8)
-    for w in WIDTHS[2:]:  # the narrowest slot of each value
-        widths[values >= (np.uint64(1) << np.uint64(w - 1))] = w
-    bits = np.frexp(values.astype(np.float64))[1]
-    at = np.arange(n)
-    block_end = np.minimum((at // BLOCK + 1) * BLOCK, n)
-    choice = np.full(n, 15, np.int8)
-    open_ = np.ones(n, bool)
-    for k, (count, width) in enumerate(zip(COUNTS[:-1], WIDTHS[:-1], strict=True)):
-        too_wide = np.r_[0, np.cumsum(bits > width)]
-        stop = np.minimum(at + count, block_end)
-        # Short of a block's end a word may hold fewer values, so that the last word of each block is filled up.
-        fits = open_ & (too_wide[stop] == too_wide[:-1])
-        choice[fits] = k
-        open_ &= ~fits
-    jump = np.minimum(at + COUNTS[choice], block_end).tolist()
-    starts, i = [], 0
-    while i < n:
-        starts.append(i)
-        i = jump[i]
-    first = np.array(starts, np.int64)
+    values = np.where(escaped, 0, ids.astype(np.int64) + 1)
+    choice = selectors(values)
+    block_end = np.minimum((np.arange(n) // BLOCK + 1) * BLOCK, n)
+    jump = np.minimum(np.arange(n) + COUNTS[choice], block_end)
+    begins = np.zeros(n, bool)
+    at = np.arange(0, n, BLOCK)
+    while len(at):  # all blocks take their next word together
+        begins[at] = True
+        following = jump[at]
+        at = following[following < block_end[at]]
+    first = np.flatnonzero(begins)
     selector = choice[first]
     words = selector.astype(np.uint64) << np.uint64(60)
-    padded = np.r_[values, np.zeros(240, np.uint64)]
+    padded = np.r_[values.astype(np.uint64), np.zeros(int(COUNTS[0]), np.uint64)]
     for k in np.unique(selector):
-        rows = np.flatnonzero(selector == k)
         if not WIDTHS[k]:
             continue
-        places = first[rows, None] + np.arange(COUNTS[k])
-        held = np.where(places < block_end[first[rows], None], padded[places], np.uint64(0))
-        shifts = (np.arange(COUNTS[k]) * WIDTHS[k]).astype(np.uint64)
-        words[rows] |= np.bitwise_or.reduce(held << shifts, axis=1)
+        rows = np.flatnonzero(selector == k)
+        at, end, held = first[rows], block_end[first[rows]], np.zeros(len(rows), np.uint64)
+        for j in range(int(COUNTS[k])):
+            held |= np.where(at + j < end, padded[at + j], np.uint64(0)) << np.uint64(j * int(WIDTHS[k]))
+        words[rows] |= held
     blocks = np.arange(0, n, BLOCK)
-    word_offsets = np.searchsorted(first, blocks)
-    escape_offsets = np.r_[0, np.cumsum(escaped)][blocks]
-    return words, ids[escaped].astype(np.uint32), word_offsets, escape_offsets
+    return words, ids[escaped].astype(np.uint32), np.searchsorted(first, blocks), np.r_[0, np.cumsum(escaped)][blocks]
 
 
 def unpack(words: np.ndarray, escapes: np.ndarray, word_offsets: np.ndarray, n: int) -> np.ndarray:
@@ -158,25 +173,116 @@ def _tokenizer(path: str):
     return out
 
 
-def tokenize(texts: list[str], path: str, end_id: int) -> tuple[np.ndarray, list[int]]:
-    """Ids of all texts, the end id after each, and how many each has.
+def _latin() -> tuple[np.ndarray, bytes]:
+    """Of the first 256 characters: their kinds, and each in lower case."""
+    return kinds()[:256], bytes(ord(chr(b).lower()) for b in range(256))
 
-    The vocabulary drops white space and never joins what it parts, so each distinct run of other characters is
-    encoded once per slice by the library and its ids are copied to where it stands.
+
+def cut_latin(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The vocabulary's words of texts in single-byte characters, lower-cased, and how many each text has.
+
+    Runs of letters, single numbers, runs of other signs; an apostrophe with a word ending is a word; white space
+    is dropped.
     """
-    pieces = [t.encode().split() for t in texts]
-    flat = [p for ps in pieces for p in ps]
-    number = {w: i for i, w in enumerate(dict.fromkeys(flat))}
-    coded = [e.ids for e in _tokenizer(path).encode_batch([w.decode() for w in number], add_special_tokens=False)]
-    coded.append([end_id])
-    sizes = np.array([len(x) for x in coded])
-    table, begin = np.array([i for x in coded for i in x], np.uint32), np.cumsum(sizes) - sizes
-    lengths = np.array([len(ps) for ps in pieces])
-    codes = np.insert(np.fromiter(map(number.__getitem__, flat), np.int64, len(flat)), np.cumsum(lengths), len(number))
-    many = sizes[codes]
-    ends = np.r_[0, np.cumsum(many)]
-    ids = table[np.repeat(begin[codes] - ends[:-1], many) + np.arange(ends[-1])]
-    return ids, np.diff(ends[np.r_[0, np.cumsum(lengths + 1)]]).tolist()
+    kind_of, lower = _latin()
+    raw = np.frombuffer(b"".join(texts).translate(lower), np.uint8)
+    n, ends = len(raw), np.cumsum([len(t) for t in texts], dtype=np.int64)
+    kind = kind_of[raw]
+    first = np.ones(n + 3, bool)  # of a text; what lies beyond the end counts as one
+    first[:n] = False
+    first[ends[:-1]] = True
+    change = first[:n].copy()
+    change[:1] = True
+    change[1:] |= kind[1:] != kind[:-1]
+    start = change | (kind == NUMBER)
+    quotes = np.flatnonzero((raw == 39) & change)
+    padded = np.r_[raw, np.zeros(3, np.uint8)]
+    for ending in ENDINGS:
+        hit = np.ones(len(quotes), bool)
+        for i, c in enumerate(ending, 1):
+            hit &= (padded[quotes + i] == ord(c)) & ~first[quotes + i]
+        at = quotes[hit]
+        for i in range(1, len(ending) + 1):
+            start[at + i] = False
+        after = at + len(ending) + 1
+        start[after[after < n]] = True
+    starts = np.flatnonzero(start)
+    offsets = np.r_[starts, n].astype(np.int32)
+    kept = kind[starts] != SPACE
+    words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
+    before = np.r_[0, np.cumsum(kept)]
+    at_text = before[np.searchsorted(starts, np.r_[0, ends])]
+    return words.filter(pa.array(kept)), np.diff(at_text)
+
+
+class Encoder:
+    """Ids of texts by the tokenizers library, which sees each distinct word of simple texts once."""
+
+    def __init__(self, path: str):
+        self.library = _tokenizer(path)
+        words = self.library.get_vocab()
+        self.ends = np.zeros(max(words.values()) + 1, bool)  # ids that end a word
+        self.ends[[i for w, i in words.items() if w.endswith("</w>")]] = True
+        self.known: dict[bytes, list[int]] = {}
+
+    def ids_of(self, words: list[bytes]) -> list[list[int]]:
+        """Many words in one library call: a word's last id says that it ends there."""
+        fresh = [w for w in words if w not in self.known]
+        if len(self.known) + len(fresh) > CACHE_WORDS:
+            self.known.clear()
+            fresh = words
+        parts = [fresh[i : i + 512] for i in range(0, len(fresh), 512)]
+        coded = self.library.encode_batch_fast([b" ".join(p).decode("latin-1") for p in parts], add_special_tokens=False)
+        for part, e in zip(parts, coded, strict=True):
+            ids = e.ids
+            stops = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(stops) == len(part):
+                self.known.update(zip(part, (ids[a:b] for a, b in zip([0, *stops], stops)), strict=True))  # noqa: B905
+            else:
+                self.known.update((w, self.library.encode(w.decode("latin-1"), add_special_tokens=False).ids) for w in part)
+        return [self.known[w] for w in words]
+
+    def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, list[int]]:
+        """Ids of all texts, the end id after each, and how many each has.
+
+        Texts of single-byte characters without special tokens are cut into words here; others go to the library
+        whole.
+        """
+        simple, other = [], {}
+        for i, t in enumerate(texts):
+            try:
+                raw = t.encode("latin-1")
+            except UnicodeEncodeError:
+                raw = None
+            if raw is None or b"<|" in raw:
+                other[i] = t
+            else:
+                simple.append(raw)
+        words, per_text = cut_latin(simple)
+        coded = words.dictionary_encode()
+        ids = self.ids_of(coded.dictionary.to_pylist())
+        codes = coded.indices.to_numpy().astype(np.int64)
+        if other:
+            whole = self.library.encode_batch_fast(list(other.values()), add_special_tokens=False)
+            spread = np.ones(len(texts), np.int64)
+            spread[[i for i in range(len(texts)) if i not in other]] = per_text
+            at = np.cumsum(spread) - spread
+            codes = np.insert(codes, (at - np.cumsum([i in other for i in range(len(texts))]) + 1)[list(other)], len(ids) + np.arange(len(other)))
+            ids, per_text = ids + [e.ids for e in whole], spread
+        ids.append([end_id])
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        table = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
+        begin = np.cumsum(sizes) - sizes
+        codes = np.insert(codes, np.cumsum(per_text), len(ids) - 1)
+        many = sizes[codes]
+        ends = np.r_[0, np.cumsum(many)]
+        flat = table[np.repeat(begin[codes] - ends[:-1], many) + np.arange(ends[-1])]
+        return flat, np.diff(ends[np.r_[0, np.cumsum(per_text + 1)]]).tolist()
+
+
+@lru_cache(maxsize=2)
+def _encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def _writer(path: str, end_id: int):
@@ -185,8 +291,8 @@ def _writer(path: str, end_id: int):
         docs, lengths, ids, held = [], [], [], 0
         for pdf in batches:
             texts, keys = pdf["body"].tolist(), pdf["key"].tolist()
-            for a, b in slices(texts):
-                flat, many = tokenize(texts[a:b], path, end_id)
+            for a, b in slices(texts, SLICE):
+                flat, many = _encoder(path).encode(texts[a:b], end_id)
                 docs += keys[a:b]
                 lengths += many
                 ids.append(flat)

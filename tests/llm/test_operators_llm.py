@@ -224,6 +224,19 @@ def test_packing_round_trip(values):
         assert s.block(i).tolist() == values[i * simple8b.BLOCK : (i + 1) * simple8b.BLOCK]
 
 
+def test_words_of_simple_texts_equal_the_library():
+    library, encoder, rng = Tokenizer.from_file(WORDS), simple8b.Encoder(WORDS), random.Random(6)
+    signs = "aAbß1²½' 'sS'RE'Ll.!&\t\n\x0b\x1c\x85\xa0éÉÿµ<|<|endoftext|>Σσ😀İ\u0301e"
+    texts = ["".join(rng.choices(signs, k=rng.randint(0, 16))) for _ in range(4000)] + ["", "<|endoftext|>'s", "It'S 12's", "'s"]
+    texts += ["".join(rng.choices(signs[:33], k=rng.randint(0, 16))) for _ in range(4000)]
+    for a in range(0, len(texts), 700):
+        part = texts[a : a + 700]
+        flat, many = encoder.encode(part, 1)
+        ends = np.cumsum(many)
+        got = [flat[b - n : b].tolist() for b, n in zip(ends, many, strict=True)]
+        assert got == [e.ids + [1] for e in library.encode_batch(part, add_special_tokens=False)]
+
+
 def test_ids_in_files(spark, odd, nothing, monkeypatch):
     library = Tokenizer.from_file(WORDS)
     folder = fresh_path(spark, "test-ids")
