@@ -17,6 +17,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -155,15 +156,13 @@ def keep_clean(
     def clean(shared):
         def run(batches):
             patterns = shared.value
-            for pdf in batches:
-                kept = [not patterns.scan(t or "")[1] for t in pdf.iloc[:, at]]
-                if any(kept):
-                    yield pdf[kept]
+            for batch in batches:
+                yield batch.filter(pa.array([not patterns.scan(t or "")[1] for t in batch.column(at).to_pylist()], pa.bool_()))
 
         return run
 
     for shared in _blocks(benchmark, item_id, item_text, width, block_words):
-        docs = docs.mapInPandas(clean(shared), docs.schema)
+        docs = docs.mapInArrow(clean(shared), docs.schema)
     return docs
 
 

@@ -16,11 +16,12 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import plain, slices
+from .common import plain, ship, slices
 
 SLOTS = 8192
 PER_LANGUAGE = 1500
@@ -180,19 +181,19 @@ def predict(docs: DataFrame, model: Model, doc_id="doc_id", text="text") -> Data
 
 def keep_known(docs: DataFrame, model: Model, text="text") -> DataFrame:
     """The documents that are not rejected, with all their columns."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text)
 
     def run(batches):
         known = shared.value
-        for pdf in batches:
-            texts = [t if t is not None else "" for t in pdf.iloc[:, at]]
-            for a, b in blocks(texts):
-                kept = pdf.iloc[a:b][~known.predict(texts[a:b])[2]]
-                if len(kept):
-                    yield kept
+        for batch in batches:
+            texts = [t or "" for t in batch.column(at).to_pylist()]
+            kept = [~known.predict(texts[a:b])[2] for a, b in blocks(texts)]
+            if kept:
+                yield batch.filter(pa.array(np.concatenate(kept)))
 
-    return docs.mapInPandas(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)
 
 
 assert math.log2(SLOTS) == 32 - 19  # the hash keeps that many bits

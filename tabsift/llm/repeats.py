@@ -395,14 +395,13 @@ def without_repeats(docs: DataFrame, doc_id="doc_id", text="text", hot: int = HO
 
 def _cleaned(position: int):
     def run(batches):
-        for pdf in batches:
-            texts = []
-            for body, spans in zip(pdf.iloc[:, position], pdf["__spans"], strict=True):
-                raw = (body or "").encode()
-                texts.append(body if spans is None or not len(spans) else _cut(raw, spans)[1].decode("utf-8", "ignore"))
-            out = pdf.drop(columns="__spans")
-            out.isetitem(position, pd.Series(texts, dtype=object, index=out.index))
-            yield out
+        for batch in batches:
+            bodies, last = batch.column(position).to_pylist(), batch.num_columns - 1
+            spans = [s.values.to_numpy() if s.is_valid else None for s in batch.column(last)]
+            texts = [t if s is None else _cut(t.encode(), s)[1].decode("utf-8", "ignore") for t, s in zip(bodies, spans, strict=True)]
+            columns = batch.columns[:last]
+            columns[position] = pa.array(texts, columns[position].type)
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:last])
 
     return run
 
@@ -413,4 +412,4 @@ def cleaned(docs: DataFrame, doc_id="doc_id", text="text", hot: int = HOT) -> Da
     columns = [F.col(f"`{c}`") for c in docs.columns]
     own = _identified(docs.select(*columns, F.col(f"`{doc_id}`").alias("__key"), F.col(f"`{text}`").alias("__body")), "__key", "__body", "__at", "__tie")[0]
     joined = own.join(found.hint("shuffle_hash"), ["__at", "__tie"], "left").select(*columns, "__spans")
-    return joined.mapInPandas(_cleaned(docs.columns.index(text)), docs.schema)
+    return joined.mapInArrow(_cleaned(docs.columns.index(text)), docs.schema)
