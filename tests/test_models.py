@@ -126,7 +126,7 @@ def test_arrays_of_one_length_with_missing_ones(spark):
     m = models.train(d, "LINEAR_REG", "y", split_method="NONE")
     assert m.slots == [("v", 2)] and models.predict(m, d).count() == 101
     with pytest.raises(ValueError, match="differ in length"):
-        models.train(d.union(spark.createDataFrame([([1.0], 2.0)], d.schema)), "LINEAR_REG", "y")
+        models.train(d.union(spark.createDataFrame([([1.0], 2.0)], d.schema)), "LINEAR_REG", "y", split_method="NONE")
 
 
 def test_kmeans_is_repeatable_and_numbered_from_one(homes):
