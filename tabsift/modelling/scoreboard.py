@@ -41,25 +41,27 @@ def scoreboard(models: Mapping[str, Model], holdout: DataFrame) -> DataFrame:
     return _long(holdout.sparkSession, rows)
 
 
-def model_search(df: DataFrame, label: str, kinds: Sequence[str], seed: int = 42, **options) -> DataFrame:
+def model_search(df: DataFrame, label: str, kinds: Sequence[str], seed: int = 42, split_method: str = "AUTO", **options) -> DataFrame:
     """Train several model types on one split and score all of them on its other side."""
-    fit, held = split(df, "AUTO", seed)
+    fit, held = split(df, split_method, seed)
     models = {k: train(fit, k, label, split_method="NONE", stage=False, seed=seed, **options.get(k, {})) for k in kinds}
     return scoreboard(models, held)
 
 
-def ablate(df: DataFrame, label: str, kind: str, groups: Mapping[str, Sequence[str]], seed: int = 42, **options) -> DataFrame:
+def ablate(
+    df: DataFrame, label: str, kind: str, groups: Mapping[str, Sequence[str]], seed: int = 42, split_method: str = "AUTO", **options
+) -> DataFrame:
     """The same model without each named group of columns, and with all of them."""
-    fit, held = split(df, "AUTO", seed)
+    fit, held = split(df, split_method, seed)
     models = {"all": train(fit, kind, label, split_method="NONE", stage=False, seed=seed, **options)}
     for name, columns in groups.items():
         models[f"without_{name}"] = train(fit.drop(*columns), kind, label, split_method="NONE", stage=False, seed=seed, **options)
     return scoreboard(models, held)
 
 
-def seed_spread(df: DataFrame, label: str, kind: str, seeds: Sequence[int], **options) -> DataFrame:
+def seed_spread(df: DataFrame, label: str, kind: str, seeds: Sequence[int], split_method: str = "AUTO", **options) -> DataFrame:
     """Lowest and highest value of each metric over repeated trainings on one split."""
-    fit, held = split(df, "AUTO")
+    fit, held = split(df, split_method)
     rows = [(str(s), evaluate(train(fit, kind, label, split_method="NONE", stage=False, seed=s, **options), held).first().asDict()) for s in seeds]
     return _long(df.sparkSession, rows).groupBy("metric").agg(
         F.count("value").alias("runs"), F.min("value").alias("low"), F.max("value").alias("high")
