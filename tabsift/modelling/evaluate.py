@@ -17,9 +17,9 @@ from ..session import broadcast_if_small, one_row, staged
 REGRESSION = ("mean_absolute_error", "mean_squared_error", "median_absolute_error", "r2_score", "explained_variance")
 CLASSIFICATION = ("precision", "recall", "accuracy", "f1_score", "log_loss", "roc_auc")
 
-# Above this many rows the curve is summed bin by bin instead of in one window.
-ONE_WINDOW_ROWS = 1_000_000
-SCORE_BINS = 1_000
+# Rows that one bin of the curve should hold; the sketch tells at most so many bins apart.
+BIN_ROWS = 100_000
+MOST_BINS = 10_000
 
 
 def regression_metrics(df: DataFrame, truth: str, predicted: str) -> DataFrame:
@@ -85,22 +85,22 @@ def multiclass_metrics(df: DataFrame, truth: Column, predicted: Column, prob_of_
 def roc_auc(df: DataFrame, truth: str, score: str) -> DataFrame:
     """Exact area under the curve, ties counted half.
 
-    Rows are first counted per distinct score. Large inputs are cut into bins of
-    similar size; only bin totals are accumulated in one task and each bin adds
-    up its own scores.
+    Rows are first counted per distinct score, then cut into bins of similar
+    size, more for more rows; only bin totals are accumulated in one task and
+    each bin adds up its own scores.
     """
     rows = df.select(F.col(score).cast("double").alias("s"), F.col(truth).cast("boolean").alias("y")).dropna()
-    steps = [i / SCORE_BINS for i in range(SCORE_BINS + 1)]
-    n, edges = rows.agg(F.count("*"), F.percentile_approx("s", steps, 10_000)).first()
+    bins = min(MOST_BINS, 2 + rows.count() // BIN_ROWS)
+    edges = rows.agg(F.percentile_approx("s", [i / bins for i in range(bins + 1)], MOST_BINS)).first()[0]
     counts = rows.groupBy("s").agg(F.count_if("y").alias("pos"), F.count_if(~F.col("y")).alias("neg"))
     cuts = sorted(set(edges or []))
     wins = F.col("pos") * (F.col("below") + F.col("neg") / 2.0)
     area = F.try_divide(F.sum(wins), F.sum("pos").cast("double") * F.sum("neg")).alias("roc_auc")
     order = W.orderBy("s").rowsBetween(W.unboundedPreceding, -1)
     earlier = F.coalesce(F.sum("neg").over(order.partitionBy(F.lit(0))), F.lit(0))
-    if n <= ONE_WINDOW_ROWS or len(cuts) <= 2:
-        return counts.withColumn("below", earlier).agg(area)
-    binned = Bucketizer(splits=[-np.inf, *cuts[1:-1], np.inf], inputCol="s", outputCol="bin").transform(counts)
+    # Few distinct edges mean few distinct scores: two bins at the middle one will do.
+    inner = cuts[1:-1] or cuts[:1] or [0.0]
+    binned = Bucketizer(splits=[-np.inf, *inner, np.inf], inputCol="s", outputCol="bin").transform(counts)
     totals = binned.groupBy("bin").agg(F.sum("neg").alias("neg"), F.min("bin").alias("s"))
     offsets = totals.select("bin", earlier.alias("offset"))
     inside = F.coalesce(F.sum("neg").over(order.partitionBy("bin")), F.lit(0))

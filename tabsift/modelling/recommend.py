@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from ..session import staged
 
-INDEX_BUCKETS = 1_024
+# Rows that one numbering bucket and one block of the factoriser should hold.
+BUCKET_ROWS = 100_000
+BLOCK_ROWS = 1_000_000
 
 
 def dense_index(df: DataFrame, column: str, out: str) -> DataFrame:
@@ -20,7 +22,9 @@ def dense_index(df: DataFrame, column: str, out: str) -> DataFrame:
     The factoriser takes 32-bit ids and keys may be anything. Values are numbered
     inside hash buckets; only bucket sizes are accumulated in one task.
     """
-    values = df.select(column).where(F.col(column).isNotNull()).distinct().withColumn("_b", F.pmod(F.xxhash64(column), F.lit(INDEX_BUCKETS)))
+    values = df.select(column).where(F.col(column).isNotNull()).distinct()
+    about = values.agg(F.approx_count_distinct(column)).first()[0]
+    values = values.withColumn("_b", F.pmod(F.xxhash64(column), F.lit(max(1, about // BUCKET_ROWS))))
     sizes = values.groupBy("_b").agg(F.count("*").alias("_n"))
     before = W.partitionBy(F.lit(0)).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
@@ -51,5 +55,6 @@ def factorize(df: DataFrame, user: str, item: str, weight: str | None = None, fa
     seen = staged(df.groupBy(user, item).agg(amount.cast("float").alias("_w")), "seen")
     users, items = dense_index(seen, user, "_u"), dense_index(seen, item, "_i")
     ready = seen.join(users, user).join(items, item).select("_u", "_i", "_w")
-    als = ALS(rank=factors, maxIter=iterations, implicitPrefs=True, seed=seed, userCol="_u", itemCol="_i", ratingCol="_w")
+    blocks = max(10, seen.count() // BLOCK_ROWS)
+    als = ALS(numUserBlocks=blocks, numItemBlocks=blocks, rank=factors, maxIter=iterations, implicitPrefs=True, seed=seed, userCol="_u", itemCol="_i", ratingCol="_w")
     return Recommender(als.fit(ready), users, items, user, item)

@@ -323,8 +323,7 @@ def test_known_confusion_figures(spark):
 
 
 def test_auc_by_bins_equals_all_pairs(spark, monkeypatch):
-    monkeypatch.setattr(ev, "ONE_WINDOW_ROWS", 10)
-    monkeypatch.setattr(ev, "SCORE_BINS", 9)
+    monkeypatch.setattr(ev, "BIN_ROWS", 100)
     rng = random.Random(3)
     rows = [(rng.random() < 0.3, round(rng.random() ** 2, 2)) for _ in range(600)] + [(True, 0.5)] * 200 + [(False, 0.5)] * 100
     pos, neg = [s for y, s in rows if y], [s for y, s in rows if not y]
