@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import commonest, plain, slices, stage
+from .common import commonest, drawn, plain, slices, stage
 
 END = "\n"  # no word holds white space
 HEADS, CLASSES = 160, 96
@@ -216,7 +216,7 @@ def train(docs: DataFrame, counts: DataFrame, doc_id="doc_id", text="text") -> t
     known = vocabulary(counts)
     body = plain(docs, doc_id, text)
     model, rng = Parameters(known.share), np.random.default_rng(1)
-    first = [r.body for r in body.orderBy(F.xxhash64("key", "body")).limit(START_DOCS).collect()]
+    first = [r.body for r in drawn(body, F.xxhash64("key", "body"), START_DOCS).collect()]
     for _ in range(3):
         for a, b in slices(first):
             codes, words, _, place = outputs(first[a:b], known)

@@ -61,6 +61,17 @@ def commonest(counts: DataFrame, item: str, n: str, limit: int) -> list[tuple[st
     return sorted(((r[0], r[1]) for r in counts.filter(F.col(n) >= least).select(item, n).collect()), key=lambda r: (-r[1], r[0]))
 
 
+def drawn(df: DataFrame, draw: Column, n: int, *ties) -> DataFrame:
+    """``n`` rows in the order of a hash, a repeatable sample.
+
+    Rows are thinned out by other bits of the hash first, to a few more than needed, so that no partition sends the
+    driver ``n`` rows of its own.
+    """
+    share = min(1.0, (2 * n + 1000) / max(1, df.count()))
+    some = df.filter(F.pmod(F.hash(draw), F.lit(1 << 30)) < int(share * (1 << 30)))
+    return some.orderBy(draw, *ties).limit(n)
+
+
 def slices(texts: list, limit: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
     """Row ranges of a batch that hold about ``limit`` characters each, one row at least."""
     start, held = 0, 0

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import plain, stage
+from .common import drawn, plain, stage
 
 SAMPLE = 60_000
 BINS, PAIR_BINS = 48, 12
@@ -203,8 +203,8 @@ def train(numbers: DataFrame, labels: DataFrame, doc_id="doc_id", label="quality
     """Fit to at most ``sample`` of the labelled rows, drawn in hash order."""
     labelled = labels.select(F.col(f"`{doc_id}`").alias("key"), F.col(f"`{label}`").cast("double").alias("label")).filter("label is not null")
     rows = numbers.join(labelled, "key")
-    drawn = rows.orderBy(F.xxhash64("key"), "label", *FEATURES).limit(sample).select("label", *FEATURES).toPandas()
-    return Model.fit(drawn[FEATURES].to_numpy(np.float64), drawn["label"].to_numpy(np.float64))
+    some = drawn(rows, F.xxhash64("key"), sample, "label", *FEATURES).select("label", *FEATURES).toPandas()
+    return Model.fit(some[FEATURES].to_numpy(np.float64), some["label"].to_numpy(np.float64))
 
 
 def _scorer(shared):

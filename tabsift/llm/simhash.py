@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import plain, slices, stage
+from .common import drawn, plain, stage
 
 SHINGLE = 4
 DISTANCE = 4
@@ -208,8 +208,8 @@ def links(prints: DataFrame, distance: int = DISTANCE, sample: int = SAMPLE, sha
     spark = prints.sparkSession
     n = prints.count()
     # A bounded sample in hash order; more shards than the sample can lay out make the tree deeper only by its points.
-    drawn = prints.orderBy(F.xxhash64("fp")).limit(sample).toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
-    layout = Layout(np.sort(drawn), math.ceil(n / shard) * 2, distance)
+    some = drawn(prints, F.xxhash64("fp"), sample).toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
+    layout = Layout(np.sort(some), math.ceil(n / shard) * 2, distance)
     shared = spark.sparkContext.broadcast(layout)
     dealt = prints.select("fp").mapInPandas(_dealer(shared), "shard int, fp long, home boolean")
     return dealt.groupBy("shard").applyInPandas(_linker(distance), "fp long, to long")
