@@ -45,7 +45,6 @@ SHARD = 1 << 18
 SEED = 8  # bytes by which the first interleave is ordered
 PARTS = 4  # ranges of the anchor's place by which contents are compared before merging
 
-np.seterr(over="ignore")
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
