@@ -273,10 +273,13 @@ def auc(y, s):
 def test_additive_model_learns_shapes_and_pairs():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(4000, len(quality.FEATURES)))
-    y = (1.0 * (np.abs(x[:, 0]) < 0.8) + (x[:, 1] * x[:, 2] > 0) + rng.normal(0, 0.3, 4000) > 1).astype(float)
+    shape, pair = np.abs(x[:, 0]) < 0.8, x[:, 1] * x[:, 2] > 0
+    y = (1.0 * shape + pair + rng.normal(0, 0.3, 4000) > 1).astype(float)
     model = quality.Model.fit(x[:3000], y[:3000])
-    assert auc(y[3000:], model.score(x[3000:])) > 0.85
-    assert {tuple(sorted(p[:2])) for p in model.pairs} >= {(1, 2)}
+    got, best, alone = (auc(y[3000:], s) for s in (model.score(x[3000:]), (1.0 * shape + pair)[3000:] + rng.uniform(0, 0.1, 1000), shape[3000:] + rng.uniform(0, 0.1, 1000)))
+    # The noise leaves half of the rows a coin toss, so even the true rule has a ceiling.
+    # The pair is found first, and most of what it adds to the rule of one feature is learned.
+    assert model.pairs[0][:2] == (1, 2) and got - alone > 0.7 * (best - alone)
 
 
 def test_quality_on_held_out_rows(spark, odd, nothing):
