@@ -42,6 +42,8 @@ HOT = 4096
 CHUNK = 128 * 1024  # bytes of documents worked on together
 MERGE = 1 << 20  # bytes of contents merged together, and of each shard
 SHARD = 1 << 18
+PLACE_BITS = 24  # of a gram's place among bytes worked on together, below the bits of its hash
+PIECE = 1 << 20  # strings of a document worked on together; far fewer than places
 SEED = 8  # bytes by which the first interleave is ordered
 PARTS = 4  # ranges of the anchor's place by which contents are compared before merging
 
@@ -57,6 +59,8 @@ def segments(raw: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.
     """Of documents laid end to end: per segment the anchor's hash, the content's digest, the document, the first
     string's place in it, how many strings there are and how far the anchor lies behind the first place."""
     n, width = len(raw), LENGTH - GRAM + 1
+    if n > 1 << PLACE_BITS:
+        raise ValueError(f"{n} bytes at once, but places have {PLACE_BITS} bits")
     empty = np.zeros(0, np.int64)
     if n < LENGTH:
         return empty.view(np.uint64), empty.view(np.uint64), empty, empty, empty, empty
@@ -64,7 +68,7 @@ def segments(raw: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.
     eight = as_strided(padded.view(np.uint8), (n, 8), (1, 1)).copy().view("<u8").ravel()
     sixteen = _mix(eight[:-8], eight[8:])
     gram = _mix(sixteen[: n - GRAM + 1], sixteen[16 : n - GRAM + 17])
-    at_bits = np.uint64((1 << 24) - 1)
+    at_bits = np.uint64((1 << PLACE_BITS) - 1)
     least = (gram & ~at_bits) | np.arange(len(gram), dtype=np.uint64)
     span = 1
     while span < width:  # the least, then leftmost, gram of each string, by doubling
@@ -90,7 +94,24 @@ def segments(raw: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.
     return gram[anchor[starts]], digest, doc, starts - begins[doc], counts, anchor[starts] - starts
 
 
-def _anchors(bits: int):
+def pieces(begins: np.ndarray, ends: np.ndarray, piece: int = PIECE):
+    """(first document, one past the last, first byte, one past the last) of what is worked on together.
+
+    Whole documents up to CHUNK bytes, or a single one; parts of a document with over ``piece`` strings overlap by the
+    LENGTH - 1 bytes that let every string lie in exactly one.
+    """
+    first = 0
+    while first < len(ends):
+        from_ = int(begins[first])
+        last = max(first + 1, int(np.searchsorted(ends, from_ + CHUNK, side="right")))
+        to = int(ends[last - 1])
+        step = piece if last == first + 1 else to - from_
+        for at in range(from_, max(from_ + 1, to - LENGTH + 1), max(1, step)):
+            yield first, last, at, min(to, at + step + LENGTH - 1)
+        first = last
+
+
+def _anchors(bits: int, piece: int = PIECE):
     drop = np.uint64(64 - bits)
 
     def run(batches):
@@ -101,20 +122,16 @@ def _anchors(bits: int):
             raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
             base = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset] if len(texts) else 0
             ends = base + np.cumsum(sizes)
-            first = 0
-            while first < len(sizes):
-                from_ = int(ends[first] - sizes[first])
-                last = max(first + 1, int(np.searchsorted(ends, from_ + CHUNK, side="right")))
-                cut = raw[from_ : int(ends[last - 1])]
-                found = segments(cut, ends[first:last] - sizes[first:last] - from_, ends[first:last] - from_)
-                hashes, digest, doc, lo, n, off = found
+            for first, last, from_, to in pieces(ends - sizes, ends, piece):
+                begins, stops = np.maximum(ends[first:last] - sizes[first:last], from_), np.minimum(ends[first:last], to)
+                hashes, digest, doc, lo, n, off = segments(raw[from_:to], begins - from_, stops - from_)
                 if len(hashes):
+                    lo += (begins - (ends[first:last] - sizes[first:last]))[doc]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array((hashes >> drop).view(np.int64)), pa.array(digest.view(np.int64)), pa.array(keys[first:last][doc]), pa.array(ties[first:last][doc]),
                          pa.array(lo.astype(np.int32)), pa.array((off * 128 + n).astype(np.int32))],
                         ["anchor", "content", "at", "tie", "lo", "shape"],
                     )
-                first = last
 
     return run
 
@@ -339,7 +356,7 @@ def _identified(docs: DataFrame, doc_id: str, text: str, at: str = "at", tie: st
     return found.withColumn(tie, F.xxhash64(body) if repeated_ids else F.lit(0).cast("long")), repeated_ids
 
 
-def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
+def repeated_spans(docs: DataFrame, hot: int = HOT, piece: int = PIECE) -> DataFrame:
     """(at, tie, spans) of the documents that hold repeats: runs [start, end) that may overlap, as start * 2^32 + end.
 
     Takes (key, body) rows.
@@ -348,7 +365,7 @@ def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     total = body.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     # As many bits of an anchor's hash as keep chance meetings rare; more only for more data.
     bits = min(64, max(24, math.ceil(math.log2(total + 1)) + 6))
-    found = body.select("at", "tie", "body").mapInArrow(_anchors(bits), "anchor long, content long, at long, tie long, lo int, shape int")
+    found = body.select("at", "tie", "body").mapInArrow(_anchors(bits, piece), "anchor long, content long, at long, tie long, lo int, shape int")
     # Written first, so that the join shuffles both sides for itself and may split an anchor that many rows have.
     often = stage(found.select("anchor").groupBy("anchor").count().filter("count > 1").select("anchor"), "anchors")
     again = stage(found.join(often, "anchor"), "repeated-anchors")
@@ -382,10 +399,10 @@ def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     return spans.union(merged).union(late).groupBy("at", "tie").agg(F.collect_list(F.shiftleft(F.col("start").cast("long"), 32) + F.col("end")).alias("spans"))
 
 
-def without_repeats(docs: DataFrame, doc_id="doc_id", text="text", hot: int = HOT) -> DataFrame:
+def without_repeats(docs: DataFrame, doc_id="doc_id", text="text", hot: int = HOT, piece: int = PIECE) -> DataFrame:
     """Per document its id, ``n_bytes``, ``n_removed``, the ``removed`` byte runs [start, end) and the bytes ``kept``."""
     body = plain(docs, doc_id, text)
-    found = repeated_spans(body, hot)
+    found = repeated_spans(body, hot, piece)
     done = _identified(body, "key", "body")[0].join(found.hint("shuffle_hash"), ["at", "tie"], "left").select("key", "body", "spans")
     kind = body.schema["key"].dataType.simpleString()
     schema = f"key {kind}, n_bytes long, n_removed long, removed array<struct<start:int,end:int>>, kept binary"

@@ -341,6 +341,29 @@ def test_repeats_equal_brute_force(make, hot):
     assert sum(w[1] for w in want.values()) > 5000
 
 
+@pytest.mark.parametrize(("hot", "piece"), [(repeats.HOT, 37), (1, 64)])
+def test_repeats_in_pieces_equal_brute_force(make, hot, piece):
+    rng = random.Random(11)
+    shared = "".join(rng.choices("abcé ", k=700))
+    long = [(100 + i, shared[rng.randint(0, 300) :] * 2 + "".join(rng.choices("abcdé ", k=90_000)) + shared) for i in range(2)]
+    docs = planted(6) + long  # the long ones are over CHUNK bytes with their neighbours, and alone
+    got = rows(repeats.without_repeats(make(docs), hot=hot, piece=piece))
+    assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], bytes(r["kept"])) for r in got} == slow_repeats(docs)
+
+
+def test_repeats_past_the_places_of_one_piece(spark):
+    rng = np.random.default_rng(4)
+    noise = rng.integers(97, 123, (1 << 24) + 500_000, dtype=np.uint8).tobytes().decode()
+    at = (1 << 24) + 1000  # a place that needs more than PLACE_BITS
+    passage = noise[50:450]
+    text = noise[:at] + "#" + passage + "#" + noise[at:]
+    out = rows(repeats.without_repeats(spark.createDataFrame([(1, text), (2, "?" + noise[-300:])], "doc_id long, text string")))
+    found = {r["doc_id"]: [(x["start"], x["end"]) for x in r["removed"]] for r in out}
+    assert found == {1: [(at + 1, at + 401)], 2: [(1, 301)]}
+    with pytest.raises(ValueError, match="places"):
+        repeats.segments(np.zeros((1 << 24) + 1, np.uint8), np.array([0]), np.array([(1 << 24) + 1]))
+
+
 def test_interleave_gives_the_order_of_all_strings():
     rng = random.Random(3)
     shared = "".join(rng.choices("ab", k=260))
