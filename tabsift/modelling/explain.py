@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.aggregates import union_all
+from ..session import staged
 from .models import Model, _scored, raw_output
 
-GRID = 100
+CELL = 64  # places of a column's values looked up together
+BUCKETS = 1024  # of a column's values, for running sums
 
 
 def attributions(model: Model, df: DataFrame) -> list[tuple[str, float]]:
@@ -51,23 +53,20 @@ def _linear(model: Model, df: DataFrame) -> list[tuple[str, float]]:
 def _redrawn(model: Model, df: DataFrame) -> list[tuple[str, float]]:
     """Mean absolute change of the answer when one column is drawn anew from its own values.
 
-    The draw is a hash of the row into a table of the column's quantiles or
-    commonest categories, so no rows are exchanged and the result is repeatable.
+    The draw is a hash of the row into the whole column's values, each as often as it occurs, so no rows are
+    exchanged and the result is repeatable. A missing value is one of them; a whole vector is not redrawn.
     """
     names = [c for c, _ in model.features]
-    pools = _pools(df, names)
-    key = F.xxhash64(*[F.col(f"`{c}`") for c in names])
-    rows = df.select(*names).withColumn("_key", key)
-    rows = _scored(model, rows).select(*names, "_key", raw_output(model).alias("_base"))
+    vectors = [isinstance(df.schema[c].dataType, (T.ArrayType, T.UserDefinedType)) for c in names]
+    rows = redrawn(df, [None if v else c for c, v in zip(names, vectors, strict=True)], names)
+    draws = [f"_d{i}" for i, v in enumerate(vectors) if not v]
+    rows = _scored(model, rows).select(*names, *draws, raw_output(model).alias("_base"))
     for i, c in enumerate(names):
-        pool = pools[c]
-        if not pool:
+        if vectors[i]:
             rows = rows.withColumn(f"_f{i}", F.col("_base"))
             continue
-        dtype = df.schema[c].dataType
-        draw = F.get(F.array(*[F.lit(v) for v in pool]), F.pmod(F.xxhash64("_key", F.lit(i)), F.lit(len(pool))).cast("int"))
         kept = [k for k in rows.columns if k not in names]
-        swapped = rows.withColumn(f"_orig_{i}", F.col(c)).withColumn(c, draw.cast(dtype))
+        swapped = rows.withColumn(f"_orig_{i}", F.col(c)).withColumn(c, F.col(f"_d{i}"))
         out = _scored(model, swapped).withColumn(f"_f{i}", raw_output(model))
         back = [F.col(f"_orig_{i}").alias(c) if n == c else F.col(n) for n in names]
         rows = out.select(*back, *kept, f"_f{i}")
@@ -75,25 +74,46 @@ def _redrawn(model: Model, df: DataFrame) -> list[tuple[str, float]]:
     return [(c, float(row[i] or 0.0)) for i, c in enumerate(names)]
 
 
-def _pools(df: DataFrame, names: list[str]) -> dict[str, list]:
-    """Per column a small table that stands for its distribution: one aggregate."""
-    aggs = []
-    for c in names:
-        dtype = df.schema[c].dataType
-        if isinstance(dtype, T.NumericType):
-            aggs.append(F.percentile_approx(c, [(i + 0.5) / GRID for i in range(GRID)], 10_000).alias(c))
-        elif isinstance(dtype, (T.ArrayType, T.UserDefinedType)):
-            aggs.append(F.first(F.lit(None)).alias(c))  # a whole vector has no marginal to draw from
-        else:
-            aggs.append(F.expr(f"approx_top_k(`{c}`, {GRID})").alias(c))
-    row, pools = df.agg(*aggs).first(), {}
-    for c in names:
-        v = row[c] or []
-        if v and not isinstance(df.schema[c].dataType, T.NumericType):
-            total = sum(t["count"] for t in v)
-            v = [t["item"] for t in v for _ in range(max(1, round(GRID * t["count"] / total)))]
-        pools[c] = v
-    return pools
+def redrawn(df: DataFrame, redraw: list[str | None], names: list[str]) -> DataFrame:
+    """The columns ``names``, and for each i of ``redraw`` that is a column a value of it as ``_d{i}``, written once."""
+    key = F.xxhash64(*[F.col(f"`{c}`") for c in names])
+    rows = df.select(*[F.col(f"`{c}`") for c in names], key.alias("_key"))
+    for i, c in enumerate(redraw):
+        if c is None:
+            continue
+        cells, total = _cells(df, c)
+        if not total:
+            rows = rows.withColumn(f"_d{i}", F.col(f"`{c}`"))
+            continue
+        place = F.pmod(F.xxhash64("_key", F.lit(i)), F.lit(total))
+        rows = rows.withColumn("_place", place).withColumn("_cell", F.floor(F.col("_place") / CELL).cast("long"))
+        last = F.element_at(F.filter("_values", lambda v: v["start"] <= F.col("_place")), -1)
+        rows = rows.join(cells, "_cell").withColumn(f"_d{i}", last["value"]).drop("_cell", "_place", "_values")
+    return staged(rows.drop("_key"), "redrawn")
+
+
+def _cells(df: DataFrame, c: str) -> tuple[DataFrame, int]:
+    """All values of a column side by side, each as wide as it is frequent, cut into cells of CELL places; their length.
+
+    A cell holds the values that lie in it with the place where each begins. Values are counted first; they are laid
+    out by hash bucket, so that running sums are per bucket and only the buckets' totals meet in one place.
+    """
+    value = F.col("value")
+    counted = df.select(F.col(f"`{c}`").alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    order = F.xxhash64(value)
+    counted = staged(counted.withColumn("_bucket", F.pmod(order, F.lit(BUCKETS))), "values")
+    at, begins = 0, []
+    for r in sorted(counted.groupBy("_bucket").agg(F.sum("n").alias("n")).collect(), key=lambda r: r["_bucket"]):
+        begins.append((r["_bucket"], at))
+        at += r["n"]
+    offsets = F.broadcast(df.sparkSession.createDataFrame(begins, "_bucket long, _begin long"))
+    running = F.sum("n").over(W.partitionBy("_bucket").orderBy(order, value).rowsBetween(W.unboundedPreceding, W.currentRow))
+    laid = counted.withColumn("_end", running).join(offsets, "_bucket")
+    laid = laid.select("value", (F.col("_begin") + F.col("_end") - F.col("n")).alias("start"), (F.col("_begin") + F.col("_end") - 1).alias("_stop"))
+    spans = F.sequence(F.floor(F.col("start") / CELL).cast("long"), F.floor(F.col("_stop") / CELL).cast("long"))
+    spread = laid.select("value", "start", F.explode(spans).alias("_cell"))
+    cells = spread.groupBy("_cell").agg(F.array_sort(F.collect_list(F.struct("start", "value"))).alias("_values"))
+    return staged(cells, "cells"), at
 
 
 def global_explain(model: Model, spark) -> DataFrame:

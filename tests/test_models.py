@@ -38,6 +38,34 @@ def test_linear_learns_imputes_and_explains(spark, homes):
     assert out.count() == homes.count() and out.columns == [*homes.columns, "predicted_price"]
 
 
+def test_redraws_follow_the_whole_column(spark):
+    """Hundreds of categories, each as often as it occurs; missing values and the rarest numbers too."""
+    x = F.col("id")
+    d = spark.range(20_000).select(
+        x,
+        F.when(F.pmod(x, F.lit(2)) == 0, F.lit("common")).otherwise(F.concat(F.lit("c"), F.pmod(x, F.lit(1001)).cast("string"))).alias("kind"),
+        F.when(F.pmod(x, F.lit(10)) != 0, F.when(F.pmod(x, F.lit(500)) == 1, 1e9).otherwise(F.pmod(x, F.lit(7)).cast("double"))).alias("tail"),
+    )
+    out = explain.redrawn(d, [None, "kind", "tail"], d.columns)
+    assert out.count() == 20_000 and out.columns == ["id", "kind", "tail", "_d1", "_d2"]
+    kinds = {r["_d1"]: r["count"] for r in out.groupBy("_d1").count().collect()}
+    assert kinds["common"] == pytest.approx(10_000, rel=0.05) and len(kinds) > 950 and max(n for k, n in kinds.items() if k != "common") < 35
+    row = out.agg(F.avg((F.col("_d2") == 1e9).cast("int")), F.avg(F.col("_d2").isNull().cast("int"))).first()
+    assert row[0] * 0.9 == pytest.approx(0.002, rel=0.5) and row[1] == pytest.approx(0.1, rel=0.1)
+
+
+def test_attribution_counts_the_tail(spark):
+    """One row in 250 has a large number and another answer; a redraw moves rows out of the tail and into it."""
+    x = F.col("id")
+    d = spark.range(5000).select(x, F.when(F.pmod(x, F.lit(250)) == 0, 1e6).otherwise(F.pmod(x * 7, F.lit(11)).cast("double")).alias("x"))
+    d = d.withColumn("y", F.when(F.col("x") == 1e6, 1000.0).otherwise(0.0)).cache()
+    m = models.train(d, "BOOSTED_TREE_REGRESSOR", "y", max_iterations=3)
+    gap = models.predict(m, d).groupBy(F.col("x") == 1e6).agg(F.avg("predicted_y")).collect()
+    share = 20 / 5000
+    got = dict(explain.attributions(m, d))["x"]
+    assert got == pytest.approx(2 * share * (1 - share) * abs(gap[0][1] - gap[1][1]), rel=0.25)
+
+
 def test_label_as_feature_is_perfect_and_detected(homes):
     leaky = homes.withColumn("copy", F.col("price") * 1.001)
     m = models.train(leaky, "LINEAR_REG", "price")
