@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
-from . import bilinear, bpe_transducer, decontaminate, digest, html_text, language, quality, repeats, simhash, simple8b
+from . import bilinear, bpe_transducer, decontaminate, digest, html_text, language, merkle, quality, ranked_search, repeats, simhash, simple8b
 from .common import remainder, table
 
 QUERIES: dict = {}
@@ -115,6 +115,23 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle proofs of every document, folded from its text or, for a third of the ids, from a tampered one."""
+    docs = table(spark, sf_dir, "documents")
+    capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    tampered = {"text": F.translate("text", capitals, capitals.lower())}
+    rows = merkle.leaves(docs, presented=tampered, where=remainder("doc_id", 3) == 0)
+    found = merkle.manifest(rows).withColumnRenamed("key", "doc_id")
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+@query
+def op13_presence_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest-scoring documents of every benchmark item."""
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 CHECK_SQL["op6_repeats"] = """
 with d as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
 w as (select doc_id, i, md5(substr(h, 2 * i + 1, 200)) as s
@@ -164,3 +181,70 @@ select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(c.n_hit, 0)
        coalesce(c.n_hit, 0) > 0 as contaminated
 from d left join covered c on c.doc_id = d.doc_id left join found f on f.doc_id = d.doc_id
 """
+
+# Recursion goes up the levels of all trees at once, then folds the shown leaves along them; crc32 is spelled out bit by bit.
+CHECK_SQL["op11_merkle"] = """
+with recursive f as (
+  select doc_id, lang, unnest([false, true]) as tampered,
+         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as small, text, source, n_chars
+  from documents),
+h as (
+  select doc_id, lang, tampered, sha256(array_to_string(list_transform(
+    [cast(doc_id as varchar), source, lang, cast(n_chars as varchar), case when tampered then small else text end],
+    lambda v: case when v is null then '-' else octet_length(encode(v)) || ':' || v end), '')) as leaf from f),
+ids as (
+  select doc_id, list_reduce(list_prepend(4294967295::bigint, list_transform(range(1, length(cast(doc_id as varchar)) + 1),
+      lambda i: ord(substr(cast(doc_id as varchar), i, 1))::bigint)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))) as crc from documents),
+d as (
+  select o.doc_id, coalesce('+' || o.lang, '') as tree, o.leaf,
+         case when xor(i.crc, 4294967295) % 3 = 0 then t.leaf else o.leaf end as shown,
+         row_number() over (partition by o.lang order by o.doc_id) - 1 as place
+  from h o join h t on t.doc_id = o.doc_id and t.tampered and not o.tampered join ids i on i.doc_id = o.doc_id),
+up as (
+  select tree, 0 as level, place, leaf as node, count(*) over (partition by tree) as n from d
+  union all
+  select tree, level + 1, place // 8, sha256(string_agg(node, '' order by place)), (any_value(n) + 7) // 8 from up where n > 1 group by tree, level, place // 8),
+tops as (select tree, row_number() over (order by tree) - 1 as place, node, level from up where n = 1),
+top as (
+  select 0 as level, place, node, count(*) over () as n from tops
+  union all
+  select level + 1, place // 8, sha256(string_agg(node, '' order by place)), (any_value(n) + 7) // 8 from top where n > 1 group by level, place // 8),
+nodes as (
+  select u.tree, u.level, u.place, u.node from up u where u.n > 1
+  union all
+  select t.tree, t.level + p.level, p.place, p.node from tops t, top p where p.n > 1),
+starts as (select d.*, t.node as subroot, t.place as top_place, t.level as height, (select node from top where n = 1) as root from d join tops t using (tree)),
+levels as (select tree, max(level) + 1 as n from nodes group by tree),
+walk as (
+  select s.doc_id, s.tree, 0 as level, s.place, s.shown as folded, '' as proof from starts s
+  union all
+  select w.doc_id, w.tree, w.level + 1, any_value(p.place) // 8,
+         sha256(string_agg(case when o.place = p.place then w.folded else o.node end, '' order by o.place)),
+         any_value(w.proof) || coalesce(string_agg(o.node, '' order by o.place) filter (where o.place <> p.place), '')
+  from walk w join levels l on l.tree = w.tree and w.level < l.n
+  join (select doc_id, height, top_place from starts) s on s.doc_id = w.doc_id,
+  lateral (select case when w.level = s.height then s.top_place else w.place end as place) p
+  join nodes o on o.tree = w.tree and o.level = w.level and o.place // 8 = p.place // 8
+  group by w.doc_id, w.tree, w.level)
+select s.doc_id, s.leaf, s.subroot, s.root, sha256(w.proof) as proof_sha256, w.folded as folded_root, w.folded = s.root as verified
+from starts s join walk w on w.doc_id = s.doc_id left join levels l on l.tree = s.tree where w.level = coalesce(l.n, 0)
+"""
+
+CHECK_SQL["op13_presence_masks"] = r"""
+with d as (
+  select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w from documents),
+b as (
+  select item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as t from benchmark),
+q as (select item_id, t, count(*) as r from b group by 1, 2),
+c as (select count(*)::bigint as n, sum(len(w))::bigint as l from d where len(w) > 0),
+p as (select doc_id, len(w) as n, t, count(*) as tf from (select doc_id, w, unnest(w) as t from d) where t in (select t from q) group by doc_id, w, t),
+f as (select t, floor(1000 * ln((2 * (select n from c) + 2)::double / (2 * count(*) + 1)))::bigint as w from p group by t),
+s as (
+  select q.item_id, p.doc_id, sum(q.r * f.w * ((1000000000 * p.tf) // (1000 * p.tf + 12 * (100 - 25 + (25 * p.n * c.n) // c.l))))::bigint as score
+  from q join p using (t) join f using (t), c group by 1, 2),
+r as (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from s where score > 0)
+select item_id, cast(rank as int) as rank, doc_id, score from r where rank <= 20
+"""
