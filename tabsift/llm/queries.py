@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
-from . import bilinear, bpe_transducer, decontaminate, digest, html_text, language, merkle, quality, ranked_search, repeats, simhash, simple8b
+from . import bilinear, bpe_transducer, count_rtree, decontaminate, digest, html_text, language, merkle, quality, ranked_search, repeats, simhash, simple8b
 from .common import remainder, table
 
 QUERIES: dict = {}
@@ -126,6 +126,12 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+@query
+def op12_count_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with at least nine tenths of their three-word shingles in common: one row each with its component."""
+    return count_rtree.linked(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_presence_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 highest-scoring documents of every benchmark item."""
