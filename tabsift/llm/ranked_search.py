@@ -101,7 +101,7 @@ class Batch:
         by_term = np.argsort(terms, kind="stable")
         self.size, self.doc, self.part = len(lengths), doc[by_term], part[by_term]
         names, starts = np.unique(terms[by_term], return_index=True)
-        ends = np.r_[starts[1:], len(terms)]
+        ends = np.r_[starts, len(terms)][1:]
         self.span = dict(zip(names.tolist(), zip(starts.tolist(), ends.tolist(), strict=True), strict=True))
         best = np.maximum.reduceat(self.part, starts) if len(names) else []
         self.best = dict(zip(names.tolist(), (int(x) for x in best), strict=True))
