@@ -14,7 +14,7 @@ from ..operators import audit, quantiles, rules
 from ..session import one_row
 from ..sources import json_paths
 from .registry import register
-from .views import table
+from .views import decimal_round, table
 
 # --- linear models over two columns -------------------------------------------
 
@@ -307,8 +307,8 @@ def residuals_missing_segment(spark, sf_dir):
 
 @register(
     "lags_with_missing_months",
-    """
-with m as (select o_orderstatus, cast(date_trunc('month', o_orderdate) as date) as month, round(avg(o_totalprice), 4) as value
+    f"""
+with m as (select o_orderstatus, cast(date_trunc('month', o_orderdate) as date) as month, {decimal_round("avg(o_totalprice)", 4)} as value
  from orders where extract(month from o_orderdate) not in (3, 4, 9) group by 1, 2)
 select m.o_orderstatus, m.month, m.value, a.value as lag_1, b.value as lag_3, c.value as lag_12 from m
  left join m a on a.o_orderstatus = m.o_orderstatus and a.month + interval 1 month = m.month

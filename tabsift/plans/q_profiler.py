@@ -100,24 +100,22 @@ HUNT_FROM = """(select *, l_extendedprice * l_discount as cut,
 
 
 def _hunt_sql(columns, source, ratio):
-    items = []
-    near = "coalesce(abs(({f}) - {y}) <= 1e-3 * greatest(abs({f}), abs({y}), 1.0), false)"
-    for y in columns:
-        rest = [c for c in columns if c != y]
-        formulas = {c: f"cast({c} as double)" for c in rest}
-        for a, b in combinations(rest, 2):
-            x, z = f"cast({a} as double)", f"cast({b} as double)"
-            formulas |= {f"{a} * {b}": f"{x} * {z}", f"{a} + {b}": f"{x} + {z}", f"{a} - {b}": f"{x} - {z}", f"{b} - {a}": f"{z} - {x}"}
-            if ratio:
-                formulas |= {f"{a} / {b}": f"{x} / nullif({z}, 0)", f"{b} / {a}": f"{z} / nullif({x}, 0)"}
-        items += [
-            f"{{'t': '{y}', 'f': '{f}', 'k': count(*) filter (where {near.format(f=v, y=y)}), 'n': count(*) filter (where {y} is not null and {v} is not null)}}"
-            for f, v in formulas.items()
-        ]
+    """Every row once per formula, then one group per formula that counts the hits of all targets."""
+    formulas = [(c, c, [c]) for c in columns]
+    for a, b in combinations(columns, 2):
+        formulas += [(f"{a} * {b}",) * 2 + ([a, b],), (f"{a} + {b}",) * 2 + ([a, b],), (f"{a} - {b}",) * 2 + ([a, b],), (f"{b} - {a}",) * 2 + ([a, b],)]
+        if ratio:
+            formulas += [(f"{a} / {b}", f"{a} / nullif({b}, 0)", [a, b]), (f"{b} / {a}", f"{b} / nullif({a}, 0)", [a, b])]
+    cells = ", ".join(f"{{'f': '{name}', 'v': {value}, 'uses': {used}}}" for name, value, used in formulas)
+    near = "coalesce(abs(e.v - {y}) <= 1e-3 * greatest(abs(e.v), abs({y}), 1.0), false)"
+    counts = [f"count(*) filter (where {near.format(y=y)}) as k_{y}, count(e.v - {y}) as n_{y}" for y in columns]
+    found = " union all ".join(f"select '{y}' as target, f, uses, k_{y} as k, n_{y} as n from c" for y in columns)
     return f"""
-with h as (select [{", ".join(items)}] as found from {source}),
-u as (select unnest(found) as e from h)
-select e.t as target, e.f as formula, e.n as rows, round(100.0::double * e.k / e.n, 2) as pct from u where e.n > 0 and e.k / e.n >= 0.99"""
+with s as (select {", ".join(f"cast({c} as double) as {c}" for c in columns)} from {source}),
+r as (select *, unnest([{cells}]) as e from s),
+c as (select e.f as f, any_value(e.uses) as uses, {", ".join(counts)} from r group by e.f),
+u as ({found})
+select target, f as formula, n as rows, round(100.0::double * k / n, 2) as pct from u where n > 0 and k / n >= 0.99 and not list_contains(uses, target)"""
 
 
 @register("identity_hunt", _hunt_sql(HUNT, HUNT_FROM, False))
