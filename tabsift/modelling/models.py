@@ -58,9 +58,10 @@ class Model:
     slots: list[tuple[str, int]] = field(default_factory=list)  # (feature, width) in vector order
     metrics: dict = field(default_factory=dict)
     attribution: list[tuple[str, float]] | None = None
+    class_attribution: list[tuple] = field(default_factory=list)  # (class, feature, value)
 
     def sidecar(self) -> dict:
-        keys = ("kind", "label", "features", "options", "classes", "slots", "metrics", "attribution")
+        keys = ("kind", "label", "features", "options", "classes", "slots", "metrics", "attribution", "class_attribution")
         return {k: getattr(self, k) for k in keys}
 
     def save(self, spark: SparkSession, path: str) -> None:
@@ -72,7 +73,7 @@ class Model:
     @staticmethod
     def load(spark: SparkSession, path: str) -> Model:
         d = json.loads(spark.read.text(f"{path}/sidecar").first()[0])
-        for k in ("features", "slots"):
+        for k in ("features", "slots", "class_attribution"):
             d[k] = [tuple(v) for v in d[k]]
         if d["attribution"] is not None:
             d["attribution"] = [tuple(v) for v in d["attribution"]]
@@ -263,9 +264,11 @@ def train(
     model = Model(kind, label, features, stored, pipeline, list(classes or []), slots)
     model.metrics = evaluate(model, held).first().asDict()
     if global_explain:
-        from .explain import attributions
+        from . import explain
 
-        model.attribution = attributions(model, held)
+        found = explain.outputs(model, held)
+        model.attribution = explain.ranked(model, found)
+        model.class_attribution = explain.ranked_by_class(model, found) if classes else []
     return model
 
 
@@ -315,15 +318,6 @@ def _scored(model: Model, df: DataFrame) -> DataFrame:
     return model.pipeline.transform(df)
 
 
-def raw_output(model: Model) -> Column:
-    """The number the model works with: the value, or the probability of the last class."""
-    if model.kind in REGRESSORS:
-        return F.col("prediction")
-    if model.kind == "BOOSTED_TREE_CLASSIFIER" and len(model.classes) > 2:
-        return F.col("prediction")
-    return vector_to_array("probability")[len(model.classes) - 1]
-
-
 def predict(model: Model, df: DataFrame, threshold: float | None = None) -> DataFrame:
     """The input columns and the prediction; a lazy, map-only transform.
 

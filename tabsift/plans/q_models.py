@@ -291,3 +291,54 @@ def label_as_feature(spark, sf_dir):
     return d.agg(F.count("*").alias("rows")).select(
         F.lit("l_extendedprice").alias("label"), "rows", F.lit(m.metrics["r2_score"] > 0.9999).alias("perfect"), alarm.alias("flagged"), F.lit(refused).alias("refused")
     )
+
+
+# --- Shapley values of trees -------------------------------------------------
+
+
+@register("shapley_sums", "select 'regressor' as model, count(*) as rows, 0::bigint as off from lineitem union all select 'classes', 3 * count(*), 0 from lineitem")
+def shapley_sums(spark, sf_dir):
+    """Every row's values and the mean answer sum up to its answer: of a boosted regressor, and per class of a forest."""
+    d = priced(spark, sf_dir)
+    boosted = models.train(d, "BOOSTED_TREE_REGRESSOR", "net", max_iterations=4)
+    forest = models.train(d.drop("net"), "RANDOM_FOREST_CLASSIFIER", "l_returnflag", num_trees=3)
+    total = lambda e: F.aggregate(e["parts"], e["baseline"], lambda a, p: a + p["attribution"])
+
+    def off(name, m, answer, near):
+        rows = explain.shapley(m, models.predict(m, d)).withColumn("e", F.explode("explained"))
+        apart = F.abs(total(F.col("e")) - answer) > near
+        return rows.agg(F.count("*").alias("rows"), F.count_if(apart).alias("off")).withColumn("model", F.lit(name))
+
+    of_class = F.filter("predicted_l_returnflag_probs", lambda p: p["label"] == F.col("e.label"))[0]["prob"]
+    return off("regressor", boosted, F.col("predicted_net"), 1e-4).unionByName(off("classes", forest, of_class, 1e-9))
+
+
+@register(
+    "shapley_stump",
+    """
+with g as (select l_discount > 0.05 as cheap, l_extendedprice * (1 - l_discount) as net from lineitem)
+select cheap, count(*) as rows, round(avg(net) - (select avg(net) from g), 2) as attribution from g group by 1""",
+)
+def shapley_stump(spark, sf_dir):
+    """With one yes/no feature the value is the group's mean less the mean of all."""
+    d = _cheap(spark, sf_dir)
+    m = models.train(d, "BOOSTED_TREE_REGRESSOR", "net", split_method="NONE", max_iterations=1, max_tree_depth=1, subsample=1.0)
+    found = explain.shapley(m, d).withColumn("v", F.col("explained")[0]["parts"][0]["attribution"])
+    return found.groupBy("cheap").agg(F.count("*").alias("rows"), F.round(F.avg("v"), 2).alias("attribution"))
+
+
+@register(
+    "class_level_explain",
+    """
+with f as (select l_discount > 0.05 as cheap, l_returnflag as flag from lineitem),
+r as (select flag as label, cheap, k / sum(k) over (partition by cheap) as rate, k, sum(k) over (partition by flag) / sum(k) over () as mean,
+ sum(k) over (partition by cheap) / sum(k) over () as share from (select flag, cheap, count(*) as k from f group by 1, 2))
+select label, 'cheap' as feature, round(sum(share * abs(rate - mean)), 6) as attribution from r group by 1""",
+)
+def class_level_explain(spark, sf_dir):
+    """A tree of one split has the group rates as answers; each class has an attribution of its own."""
+    d = table(spark, sf_dir, "lineitem", heavy=True).select("l_returnflag", (F.col("l_discount") > 0.05).alias("cheap"))
+    m = models.train(
+        d, "RANDOM_FOREST_CLASSIFIER", "l_returnflag", split_method="NONE", global_explain=True, num_trees=1, max_tree_depth=1, bootstrap=False
+    )
+    return explain.global_explain(m, spark, class_level=True).withColumn("attribution", F.round("attribution", 6))

@@ -8,7 +8,7 @@ from ..functions.text_patterns import COMMERCIAL
 from ..modelling import evaluate as ev
 from ..modelling import models, recommend, series, vectors
 from ..operators.aggregates import profile_groups, union_all
-from ..session import one_row, spread
+from ..session import one_row, spread, staged
 from .q_rules_audit import GOLD_SQL, gold
 from .registry import register
 from .views import table, view, with_views
@@ -305,10 +305,22 @@ select * from (select a.vec_id as query, b.vec_id as neighbour,
 )
 def vector_topk(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
-    found = vectors.vector_search(spread(e), e, 5, "vec_id", "embedding", "vec_id", "embedding", skip_self=True)
+    found = vectors.vector_search(spread(e), e, 5, "vec_id", "embedding", "vec_id", "embedding", skip_self=True, broadcast_bytes=0)
     return found.withColumn("similarity", F.round("similarity", 6))
 
 
+@register("vector_lsh", "select 5 * count(*) as neighbours, true as enough, 0::bigint as differing from embeddings")
+def vector_lsh(spark, sf_dir):
+    """Neighbours from locality-sensitive buckets: nine tenths of the exact ones at least, with their exact similarities."""
+    e = table(spark, sf_dir, "embeddings")
+    names = ("vec_id", "embedding", "vec_id", "embedding")
+    exact = staged(vectors.vector_search(e, e, 5, *names, skip_self=True, broadcast_bytes=0), "exact")
+    found = staged(vectors.lsh_search(e, e, 5, *names, skip_self=True, tables=16, planes=5, probes=3), "found")
+    both = exact.join(found.select("query", "neighbour", F.col("similarity").alias("s")), ["query", "neighbour"])
+    differing = both.agg(F.count_if(F.abs(F.col("s") - F.col("similarity")) > 1e-9)).scalar()
+    return vectors.recall(found, exact).select("neighbours", (F.col("recall") >= 0.9).alias("enough"), differing.alias("differing"))
+
+
 @register(
     "monthly_series",
     """

@@ -1,5 +1,8 @@
 """Models, searches and streams by their invariants."""
 
+import math
+from itertools import combinations
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -229,3 +232,115 @@ def test_stream_restart_adds_only_new_files(spark):
     messages.clean_stream(messages.open_stream(spark, inbox, rows.schema), checks, out, marks)
     got = {r["quarantined"]: r["count"] for r in messages.read_cleaned(spark, out).groupBy("quarantined").count().collect()}
     assert got == {False: 71, True: 29}
+
+
+# -- Shapley values of trees
+
+
+def tree_answer(node, x, known, owner):
+    """A tree's answer where only ``known`` columns are, read node by node."""
+    if node.getClass().getSimpleName() == "LeafNode":
+        stats = list(node.impurityStats().stats())
+        return np.array(stats) / sum(stats) if node.impurityStats().getClass().getSimpleName().startswith("Gini") else np.array([node.prediction()])
+    split, sides = node.split(), (node.leftChild(), node.rightChild())
+    if owner[split.featureIndex()] in known:
+        v = x[split.featureIndex()]
+        left = v in list(split.leftCategories()) if "Categorical" in split.getClass().getSimpleName() else v <= split.threshold()
+        return tree_answer(sides[0 if left else 1], x, known, owner)
+    held = [s.impurityStats().count() for s in sides]
+    return sum(h * tree_answer(s, x, known, owner) for h, s in zip(held, sides, strict=True)) / sum(held)
+
+
+def slow_shapley(answer, n):
+    """Mean change over all orders, by subsets."""
+    out = []
+    for i in range(n):
+        rest = [j for j in range(n) if j != i]
+        value = 0
+        for size in range(n):
+            weight = math.factorial(size) * math.factorial(n - 1 - size) / math.factorial(n)
+            value = value + sum(weight * (answer({*s, i}) - answer(set(s))) for s in combinations(rest, size))
+        out.append(value)
+    return np.array(out)
+
+
+@pytest.mark.parametrize("kind", ["BOOSTED_TREE_REGRESSOR", "RANDOM_FOREST_REGRESSOR", "RANDOM_FOREST_CLASSIFIER", "BOOSTED_TREE_CLASSIFIER"])
+def test_shapley_values_equal_brute_force(spark, kind):
+    x = F.col("id")
+    h = lambda s, n: F.pmod(F.xxhash64(x, F.lit(s)), F.lit(n)).cast("double")
+    d = spark.range(600).select(
+        h(1, 9).alias("a"), F.when(h(2, 7) > 0, h(2, 7)).alias("b"), h(3, 5).alias("c"),
+        F.when(h(4, 4) > 0, F.concat(F.lit("k"), h(4, 4).cast("int").cast("string"))).alias("kind"), (h(5, 2) > 0).alias("flag"),
+    )
+    y = F.col("a") * F.coalesce("b", F.lit(3.0)) + F.when(F.col("kind") == "k2", 20).otherwise(F.col("c")) + F.when(F.col("flag"), F.col("c") * 3).otherwise(0)
+    three = "CLASSIFIER" in kind
+    d = d.withColumn("y", F.when(y > 45, "high").when(y > 20, "mid").otherwise("low") if three else y).cache()
+    m = models.train(d, kind, "y", max_iterations=3, num_trees=3, max_tree_depth=4)
+    fitted, owner = m.pipeline.stages[-1], [i for i, (_, w) in enumerate(m.slots) for _ in range(w)]
+    groups = fitted.models if hasattr(fitted, "models") else [fitted]
+    some = models._scored(m, explain.shapley(m, d)).limit(12).collect()
+    assert [p["feature"] for p in some[0]["explained"][0]["parts"]] == [n for n, _ in m.slots]
+    for r in some:
+        got = np.array([[p["attribution"] for p in e["parts"]] for e in r["explained"]])
+        want = []
+        for g in groups:
+            weights = g.treeWeights if "GBT" in type(g).__name__ else [1 / len(g.trees)] * len(g.trees)
+            roots = [t._call_java("rootNode") for t in g.trees]
+            want.append(slow_shapley(lambda s: sum(w * tree_answer(t, r["_features"], s, owner) for w, t in zip(weights, roots, strict=True)), len(m.slots)))
+        want = np.concatenate(want, axis=1).T
+        assert np.allclose(got, want)
+        if kind.endswith("REGRESSOR"):
+            assert got.sum() + r["explained"][0]["baseline"] == pytest.approx(r["prediction"])
+        if kind == "RANDOM_FOREST_CLASSIFIER":
+            assert np.allclose(got.sum(axis=1) + [e["baseline"] for e in r["explained"]], r["probability"].toArray())
+    assert [e["label"] for e in some[0]["explained"]] == ([str(c) for c in m.classes] or [None])
+
+
+def test_explanations_of_every_class(homes, spark):
+    d = homes.withColumn("size", F.when(F.col("area") > 100, "l").when(F.col("area") > 60, "m").otherwise("s")).select("size", "area", "flat", "pool")
+    for kind in models.CLASSIFIERS:
+        m = models.train(d, kind, "size", global_explain=True, max_iterations=10, num_trees=3)
+        per_class = explain.global_explain(m, spark, class_level=True).collect()
+        assert len(per_class) == 9 and {r["label"] for r in per_class} == {"l", "m", "s"}
+        assert all(max((r for r in per_class if r["label"] == c), key=lambda r: r["attribution"])["feature"] == "area" for c in "lms")
+
+
+# -- vector search in blocks and in buckets
+
+
+def cloud(spark, n, seed, width=8, name="id"):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(12, width))
+    v = centres[rng.integers(0, 12, n)] + 0.3 * rng.normal(size=(n, width))
+    v[: n // 3] = v[0]  # a third of all rows have one vector
+    rows = [(i, [float(x) for x in v[i]]) for i in range(n)] + [(n, None), (n + 1, [0.0] * width)]
+    return spark.createDataFrame(rows, f"{name} long, v array<double>"), v
+
+
+def test_blocks_that_meet_pairwise_find_the_same(spark, monkeypatch):
+    base, b = cloud(spark, 150, 1)
+    asked, q = cloud(spark, 70, 2, name="q")
+    names = ("id", "v", "q", "v")
+    small = {tuple(r) for r in vectors.vector_search(base, asked, 4, *names).collect()}
+    monkeypatch.setattr(vectors, "PART_ROWS", 16)
+    monkeypatch.setattr(vectors, "BLOCK_BYTES", 16 * 8 * 32)  # 16 rows a block
+    large = {tuple(r) for r in vectors.vector_search(base, asked, 4, *names).collect()}
+    assert {(r[0], r[1], r[3]) for r in small} == {(r[0], r[1], r[3]) for r in large} and len(large) == 70 * 4
+    sim = (q / np.linalg.norm(q, axis=1, keepdims=True)) @ (b / np.linalg.norm(b, axis=1, keepdims=True)).T
+    for query, _, s, rank in large:
+        assert s == pytest.approx(np.sort(sim[query])[::-1][rank - 1])
+    assert vectors.vector_search(base, asked.limit(0), 4, *names).count() == 0
+
+
+def test_buckets_find_most_neighbours(spark, monkeypatch):
+    base, _ = cloud(spark, 400, 3)
+    names = ("id", "v", "id", "v")
+    exact = vectors.vector_search(base, base, 5, *names, skip_self=True).where("similarity < 0.999999")
+    whole = vectors.lsh_search(base, base, 5, *names, skip_self=True, planes=4, tables=12, probes=2).cache()
+    assert vectors.recall(whole, exact).first()["recall"] > 0.95
+    monkeypatch.setattr(vectors, "PART_ROWS", 16)
+    monkeypatch.setattr(vectors, "BLOCK_BYTES", 16 * 8 * 32)
+    cut = vectors.lsh_search(base, base, 5, *names, skip_self=True, planes=4, tables=12, probes=2)
+    key = lambda df: {(r["query"], r["neighbour"], r["rank"]) for r in df.collect()}
+    assert key(cut) == key(whole)  # blocks of a bucket change nothing
+    assert vectors.lsh_search(base.limit(0), base, 5, *names).count() == 0
