@@ -4,14 +4,16 @@ Linear fits have sums of squares, one yes/no feature has group means and rates,
 components of two columns follow from their covariance.
 """
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..modelling import evaluate as ev
-from ..modelling import models, series, vectors
+from ..modelling import arima, label_noise, models, series, vectors
 from ..modelling import scoreboard as sb
 from ..modelling.split import in_test
 from ..operators import audit, quantiles, rules
-from ..session import one_row
+from ..operators.leakage import Feature
+from ..session import one_row, staged
 from ..sources import json_paths
 from .registry import register
 from .views import decimal_round, table
@@ -353,3 +355,101 @@ def vector_topk_missing(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings").select("vec_id", F.when(F.col("vec_id") % 10 != 0, F.col("embedding")).alias("v"))
     found = vectors.vector_search(e, e, 2, "vec_id", "v", "vec_id", "v", skip_self=True)
     return found.withColumn("similarity", F.round("similarity", 6))
+
+
+# --- forecasts of known series, labels with known noise ------------------------
+
+
+@register(
+    "arima_known_series",
+    """
+with m as (select distinct o_orderpriority, cast(date_trunc('month', o_orderdate) as date) as month from orders),
+t as (select *, (extract(year from month) - 1990) * 12 + extract(month from month) as t from m),
+k as (select * from t where t % 17 <> 5),
+l as (select o_orderpriority, max(t) as last, max(month) as last_month, count(*) as known, max(t) - min(t) + 1 as months from k group by 1),
+s as (select *, step, last + step as t, cast(last_month + to_months(cast(step as int)) as date) as month from l, range(1, 19) r(step))
+select o_orderpriority, cast(step as int) as step, month, cast(months as int) as months, cast(months - known as int) as filled,
+ round(cast(length(o_orderpriority) * 10 + 3 * t + case when extract(month from month) >= 11 then 70 when extract(month from month) = 6 then -25 else 0 end as double), 4) as forecast,
+ true as narrow
+from s""",
+)
+def arima_known_series(spark, sf_dir):
+    """A line and a yearly pattern over the months of the orders, some of them missing: the forecast goes on exactly."""
+    m = table(spark, sf_dir, "orders").select("o_orderpriority", F.trunc("o_orderdate", "month").alias("month")).distinct()
+    t = (F.year("month") - 1990) * 12 + F.month("month")
+    season = F.when(F.month("month") >= 11, 70).when(F.month("month") == 6, -25).otherwise(0)
+    known = m.withColumn("value", (F.length("o_orderpriority") * 10 + 3 * t + season).cast("double")).where(t % 17 != 5)
+    found = arima.forecast(known, ["o_orderpriority"], 18)
+    narrow = F.col("high") - F.col("low") < 1e-6
+    return found.select("o_orderpriority", "step", "month", "months", "filled", F.round("forecast", 4).alias("forecast"), narrow.alias("narrow"))
+
+
+@register(
+    "arima_decomposition",
+    """
+with m as (select o_orderstatus, cast(date_trunc('month', o_orderdate) as date) as month from orders group by 1, 2),
+s as (select o_orderstatus, datediff('month', min(month), max(month)) + 1 as months, count(*) as known from m group by 1)
+select o_orderstatus, months, months - known as filled, months as adding_up, true as season_is_even from s""",
+)
+def arima_decomposition(spark, sf_dir):
+    """Trend, season and rest add up to the value in every month, and a year's season sums up to nothing."""
+    m = series.monthly(table(spark, sf_dir, "orders"), "o_orderdate", "o_totalprice", ["o_orderstatus"])
+    parts = staged(arima.decompose(m, ["o_orderstatus"]), "parts")
+    whole = F.abs(F.col("trend") + F.col("season") + F.col("rest") - F.col("value")) < 1e-6
+    year = parts.groupBy("o_orderstatus", F.month("month").alias("moy")).agg(F.first("season").alias("season"))
+    even = year.groupBy("o_orderstatus").agg((F.abs(F.sum("season")) < 1e-3).alias("season_is_even"))
+    counts = parts.groupBy("o_orderstatus").agg(F.count("*").alias("months"), F.count_if("filled").alias("filled"), F.count_if(whole).alias("adding_up"))
+    return counts.join(even, "o_orderstatus")
+
+
+@register(
+    "arima_intervals",
+    """
+select o_orderpriority, 6::bigint as steps, 6::bigint as ordered, 5::bigint as widening,
+ datediff('month', min(date_trunc('month', o_orderdate)), max(date_trunc('month', o_orderdate))) + 1 >= 24 as known from orders group by 1""",
+)
+def arima_intervals(spark, sf_dir):
+    """Forecasts of the mean order lie inside their intervals, which never narrow with the distance."""
+    m = series.monthly(table(spark, sf_dir, "orders"), "o_orderdate", "o_totalprice", ["o_orderpriority"])
+    found = arima.forecast(m, ["o_orderpriority"], 6)
+    before = F.lag(F.col("high") - F.col("low")).over(W.partitionBy("o_orderpriority").orderBy("step"))
+    found = found.withColumn("widening", (F.col("high") - F.col("low")) >= before - 1e-9)
+    return found.groupBy("o_orderpriority").agg(
+        F.count("*").alias("steps"), F.count_if((F.col("low") <= F.col("forecast")) & (F.col("forecast") <= F.col("high"))).alias("ordered"),
+        F.count_if("widening").alias("widening"), F.bool_and(F.col("months") >= 24).alias("known"),
+    )
+
+
+NOISE_SQL = """
+with d as (select l_orderkey, l_linenumber, l_orderkey % 3 as f, l_discount > 0.05 as cheap, l_discount > 0.04 as dear from lineitem),
+g as (select f, cheap, sum(cast(dear as int)) as k, count(*) as n from d group by 1, 2),
+r as (select a.f, a.cheap, sum(b.k) / sum(b.n) as p from g a join g b on a.cheap = b.cheap and a.f <> b.f group by 1, 2),
+s as (select d.*, p from d join r on d.f = r.f and d.cheap = r.cheap),
+t as (select avg(p) filter (where dear) as t1, avg(1 - p) filter (where not dear) as t0 from s),
+l as (select *, case when p >= t1 and (1 - p < t0 or p > 1 - p) then true when 1 - p >= t0 then false end as likely from s, t)
+"""
+
+
+def _doubted(spark, sf_dir):
+    """A label made by one rule, learned from a flag made by nearly the same one: the rows between them are the noise."""
+    d = table(spark, sf_dir, "lineitem", heavy=True)
+    d = d.select("l_orderkey", "l_linenumber", (F.col("l_discount") > 0.05).alias("cheap"), (F.col("l_discount") > 0.04).alias("dear"))
+    catalog = {"dear": Feature("dear", ("l_discount",)), "cheap": Feature("cheap", ("l_shipmode",))}
+    scored = label_noise.out_of_fold(
+        d, "dear", ["cheap"], catalog, "RANDOM_FOREST_CLASSIFIER", fold=F.col("l_orderkey"), num_trees=1, max_tree_depth=1, bootstrap=False
+    )
+    return label_noise.likely(staged(scored, "out-of-fold"), "dear")
+
+
+@register("label_noise_joint", NOISE_SQL + "select dear as given, likely, count(*) as rows from l group by 1, 2")
+def label_noise_joint(spark, sf_dir):
+    return label_noise.joint_counts(_doubted(spark, sf_dir), "dear")
+
+
+@register(
+    "label_noise_suspects",
+    NOISE_SQL + "select l_orderkey, l_linenumber, dear as given, likely, round(case when likely then p - (1 - p) else 1 - p - p end, 4) as doubt from l where likely <> dear",
+)
+def label_noise_suspects(spark, sf_dir):
+    found = label_noise.suspects(_doubted(spark, sf_dir), "dear")
+    return found.select("l_orderkey", "l_linenumber", F.col("dear").alias("given"), "likely", F.round("doubt", 4).alias("doubt"))

@@ -237,18 +237,25 @@ def test_stream_restart_adds_only_new_files(spark):
 # -- Shapley values of trees
 
 
-def tree_answer(node, x, known, owner):
-    """A tree's answer where only ``known`` columns are, read node by node."""
+def plain_tree(node):
+    """(rows, answer) of a leaf, (rows, slot, test, left, right) of a split."""
+    stats = node.impurityStats()
     if node.getClass().getSimpleName() == "LeafNode":
-        stats = list(node.impurityStats().stats())
-        return np.array(stats) / sum(stats) if node.impurityStats().getClass().getSimpleName().startswith("Gini") else np.array([node.prediction()])
-    split, sides = node.split(), (node.leftChild(), node.rightChild())
-    if owner[split.featureIndex()] in known:
-        v = x[split.featureIndex()]
-        left = v in list(split.leftCategories()) if "Categorical" in split.getClass().getSimpleName() else v <= split.threshold()
-        return tree_answer(sides[0 if left else 1], x, known, owner)
-    held = [s.impurityStats().count() for s in sides]
-    return sum(h * tree_answer(s, x, known, owner) for h, s in zip(held, sides, strict=True)) / sum(held)
+        rates = np.array(list(stats.stats()))
+        return stats.count(), rates / rates.sum() if "Gini" in stats.getClass().getSimpleName() else np.array([node.prediction()])
+    split = node.split()
+    where = set(split.leftCategories()) if "Categorical" in split.getClass().getSimpleName() else split.threshold()
+    return stats.count(), split.featureIndex(), where, plain_tree(node.leftChild()), plain_tree(node.rightChild())
+
+
+def tree_answer(node, x, known, owner):
+    """A tree's answer where only ``known`` columns are read."""
+    if len(node) == 2:
+        return node[1]
+    rows, slot, where, left, right = node
+    if owner[slot] in known:
+        return tree_answer(left if (x[slot] in where if isinstance(where, set) else x[slot] <= where) else right, x, known, owner)
+    return (left[0] * tree_answer(left, x, known, owner) + right[0] * tree_answer(right, x, known, owner)) / rows
 
 
 def slow_shapley(answer, n):
@@ -278,14 +285,13 @@ def test_shapley_values_equal_brute_force(spark, kind):
     m = models.train(d, kind, "y", max_iterations=3, num_trees=3, max_tree_depth=4)
     fitted, owner = m.pipeline.stages[-1], [i for i, (_, w) in enumerate(m.slots) for _ in range(w)]
     groups = fitted.models if hasattr(fitted, "models") else [fitted]
-    some = models._scored(m, explain.shapley(m, d)).limit(12).collect()
+    some = models._scored(m, explain.shapley(m, d.limit(12))).collect()
+    forest = [(g.treeWeights if "GBT" in type(g).__name__ else [1 / len(g.trees)] * len(g.trees), [plain_tree(t._call_java("rootNode")) for t in g.trees]) for g in groups]
     assert [p["feature"] for p in some[0]["explained"][0]["parts"]] == [n for n, _ in m.slots]
     for r in some:
         got = np.array([[p["attribution"] for p in e["parts"]] for e in r["explained"]])
         want = []
-        for g in groups:
-            weights = g.treeWeights if "GBT" in type(g).__name__ else [1 / len(g.trees)] * len(g.trees)
-            roots = [t._call_java("rootNode") for t in g.trees]
+        for weights, roots in forest:
             want.append(slow_shapley(lambda s: sum(w * tree_answer(t, r["_features"], s, owner) for w, t in zip(weights, roots, strict=True)), len(m.slots)))
         want = np.concatenate(want, axis=1).T
         assert np.allclose(got, want)
@@ -299,7 +305,7 @@ def test_shapley_values_equal_brute_force(spark, kind):
 def test_explanations_of_every_class(homes, spark):
     d = homes.withColumn("size", F.when(F.col("area") > 100, "l").when(F.col("area") > 60, "m").otherwise("s")).select("size", "area", "flat", "pool")
     for kind in models.CLASSIFIERS:
-        m = models.train(d, kind, "size", global_explain=True, max_iterations=10, num_trees=3)
+        m = models.train(d, kind, "size", global_explain=True, max_iterations=2 if "BOOSTED" in kind else 10, num_trees=3)
         per_class = explain.global_explain(m, spark, class_level=True).collect()
         assert len(per_class) == 9 and {r["label"] for r in per_class} == {"l", "m", "s"}
         assert all(max((r for r in per_class if r["label"] == c), key=lambda r: r["attribution"])["feature"] == "area" for c in "lms")
