@@ -1,5 +1,9 @@
 """Every registered query with check SQL equals it on whole tables; the rest return rows."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import check
 import pytest
 
@@ -32,3 +36,9 @@ def test_entry_has_rows_and_schema(spark):
 
 def test_check_sql_belongs_to_queries():
     assert set(SQL) <= set(QUERIES)
+
+
+def test_core_queries_remain_without_the_libraries_of_the_text_operators():
+    """The entry is imported anew where one library is missing."""
+    code = "import sys; sys.modules['xxhash'] = None; import __spark_entry__ as e; from tabsift.plans import QUERIES; assert e.queries() == QUERIES"
+    subprocess.run([sys.executable, "-c", code], cwd=Path(entry.__file__).parent, check=True, timeout=120)
