@@ -33,19 +33,23 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
+    # Own names beside the whole row as one value, so that no column of the table can clash.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    packed = docs.select(row, F.col("doc_id").alias("id"), F.col("text").alias("text"))
     unclear = docs.groupBy("doc_id").count().filter("count > 1 or doc_id is null").limit(1).count() > 0
     if unclear:  # rows without an id, or with the same: a number per row tells them apart
-        docs = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
-    key = "__row" if unclear else "doc_id"
-    grouped = simhash.near_duplicates(docs, key)
-    copies = grouped.filter(F.col(key) != F.col("component_id")).select(key)
-    return docs.join(copies, key, "left_anti").select(*columns)
+        packed = stage(packed.withColumn("id", F.monotonically_increasing_id()), "rows")
+    grouped = simhash.near_duplicates(packed, "id")
+    copies = grouped.filter(F.col("id") != F.col("component_id")).select("id")
+    return packed.join(copies, "id", "left_anti").select("row.*")
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the byte strings that start earlier as well."""
-    return repeats.cleaned(docs).withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    """Texts without the byte strings that start earlier as well, and their new length where ``n_chars`` holds it."""
+    clean = repeats.cleaned(docs)
+    if "n_chars" not in docs.columns:
+        return clean
+    return clean.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

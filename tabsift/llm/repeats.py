@@ -18,8 +18,9 @@ An anchor with more than ``HOT`` contents would be one large task; its strings a
 grouping that combines before the shuffle. Contents are told apart by 64 digest bits and those of their anchor.
 
 Defined cases: null and empty texts, and those shorter than LENGTH, lose nothing; documents without an id come before
-all others; of different texts with one id the one with the smaller digest comes first, and equal rows are one
-document, with the same result for each; an empty table gives an empty result.
+all others; ids that are not whole numbers count in their own order; of different texts with one id the one with the
+smaller digest comes first, and equal rows are one document, with the same result for each; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -33,8 +34,10 @@ import xxhash
 from numpy.lib.stride_tricks import as_strided
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from .common import plain, slices, stage
+from .merkle import placed
 
 LENGTH = 100
 GRAM = 32
@@ -347,13 +350,24 @@ def _remove(batches):
             yield pd.DataFrame({"key": part["key"].to_numpy(), **{c: [r[i] for r in rows] for i, c in enumerate(("n_bytes", "n_removed", "removed", "kept"))}})
 
 
-def _identified(docs: DataFrame, doc_id: str, text: str, at: str = "at", tie: str = "tie") -> tuple[DataFrame, bool]:
-    """All rows with columns that tell documents apart and order them, and whether an id occurs twice."""
-    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    found = docs.withColumn(at, F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(-(2**63))))
+def _identified(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """All rows (key, body, …) with columns that tell documents apart and order them, and whether an id occurs twice.
+
+    Ids that are not whole numbers are numbered in their own order.
+    """
+    key = docs.schema["key"].dataType
+    if isinstance(key, IntegralType):
+        number = F.col("key").cast("long")
+        found = docs
+    else:
+        ids = docs.select("key").where("key is not null").distinct().withColumn("tree", F.lit(0))
+        found = docs.join(placed(ids, "tree", [F.col("key")]).select("key", F.col("at").alias("number")), "key", "left")
+        number = F.col("number")
+    found = found.withColumn("at", F.coalesce(number, F.lit(-(2**63))))
     # Only where an id occurs twice does a text's digest tell documents apart; else it would be shuffled for nothing.
-    repeated_ids = found.groupBy(at).count().filter("count > 1").limit(1).count() > 0
-    return found.withColumn(tie, F.xxhash64(body) if repeated_ids else F.lit(0).cast("long")), repeated_ids
+    repeated_ids = found.groupBy("at").count().filter("count > 1").limit(1).count() > 0
+    body = F.coalesce("body", F.lit(""))
+    return found.withColumn("tie", F.xxhash64(body) if repeated_ids else F.lit(0).cast("long")), repeated_ids
 
 
 def repeated_spans(docs: DataFrame, hot: int = HOT, piece: int = PIECE) -> DataFrame:
@@ -361,7 +375,7 @@ def repeated_spans(docs: DataFrame, hot: int = HOT, piece: int = PIECE) -> DataF
 
     Takes (key, body) rows.
     """
-    body, repeated_ids = _identified(docs, "key", "body")
+    body, repeated_ids = _identified(docs)
     total = body.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     # As many bits of an anchor's hash as keep chance meetings rare; more only for more data.
     bits = min(64, max(24, math.ceil(math.log2(total + 1)) + 6))
@@ -403,29 +417,30 @@ def without_repeats(docs: DataFrame, doc_id="doc_id", text="text", hot: int = HO
     """Per document its id, ``n_bytes``, ``n_removed``, the ``removed`` byte runs [start, end) and the bytes ``kept``."""
     body = plain(docs, doc_id, text)
     found = repeated_spans(body, hot, piece)
-    done = _identified(body, "key", "body")[0].join(found.hint("shuffle_hash"), ["at", "tie"], "left").select("key", "body", "spans")
+    done = _identified(body)[0].join(found.hint("shuffle_hash"), ["at", "tie"], "left").select("key", "body", "spans")
     kind = body.schema["key"].dataType.simpleString()
     schema = f"key {kind}, n_bytes long, n_removed long, removed array<struct<start:int,end:int>>, kept binary"
     return done.mapInPandas(_remove, schema).withColumnRenamed("key", doc_id)
 
 
-def _cleaned(position: int):
+def _cleaned(position: int, names: list[str]):
     def run(batches):
         for batch in batches:
-            bodies, last = batch.column(position).to_pylist(), batch.num_columns - 1
-            spans = [s.values.to_numpy() if s.is_valid else None for s in batch.column(last)]
+            columns = batch.column(0).flatten()
+            spans = [s.values.to_numpy() if s.is_valid else None for s in batch.column(1)]
+            bodies = columns[position].to_pylist()
             texts = [t if s is None else _cut(t.encode(), s)[1].decode("utf-8", "ignore") for t, s in zip(bodies, spans, strict=True)]
-            columns = batch.columns[:last]
             columns[position] = pa.array(texts, columns[position].type)
-            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:last])
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
 
 
 def cleaned(docs: DataFrame, doc_id="doc_id", text="text", hot: int = HOT) -> DataFrame:
     """All rows and columns, the texts without their repeats; a character cut in two goes as a whole."""
-    found = repeated_spans(plain(docs, doc_id, text), hot).select(F.col("at").alias("__at"), F.col("tie").alias("__tie"), F.col("spans").alias("__spans"))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    own = _identified(docs.select(*columns, F.col(f"`{doc_id}`").alias("__key"), F.col(f"`{text}`").alias("__body")), "__key", "__body", "__at", "__tie")[0]
-    joined = own.join(found.hint("shuffle_hash"), ["__at", "__tie"], "left").select(*columns, "__spans")
-    return joined.mapInArrow(_cleaned(docs.columns.index(text)), docs.schema)
+    found = repeated_spans(plain(docs, doc_id, text), hot)
+    # Own names beside the whole row as one value, so that no column of the table can clash.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    own = _identified(docs.select(row, F.col(f"`{doc_id}`").alias("key"), F.col(f"`{text}`").alias("body")))[0]
+    joined = own.join(found.hint("shuffle_hash"), ["at", "tie"], "left").select("row", "spans")
+    return joined.mapInArrow(_cleaned(docs.columns.index(text), docs.columns), docs.schema)

@@ -3,6 +3,10 @@ import random
 import pytest
 from pyspark.sql import types as T
 
+CLASHING = (
+    "key body at tie spans score label n token bucket fp row id number tree leaf node size a b counts marks rep query item rank terms tfs "
+    "__row __key __at __body __spans __tie _row _at _number"
+).split()
 SCHEMA = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -11,14 +15,14 @@ SCHEMA = T.StructType(
         T.StructField("source", T.StringType()),
         T.StructField("n_chars", T.LongType()),
         # names that operators use inside
-        *[T.StructField(c, T.StringType()) for c in ("key", "body", "at", "tie", "spans", "score", "label", "n", "token", "bucket", "fp")],
+        *[T.StructField(c, T.StringType()) for c in CLASHING],
     ]
 )
 
 
 def frame(spark, rows):
     """Documents from (doc_id, text[, lang]) with extra columns of clashing names."""
-    full = [(r[0], r[1], r[2] if len(r) > 2 else "en", "s", len(r[1] or ""), *["x"] * 11) for r in rows]
+    full = [(r[0], r[1], r[2] if len(r) > 2 else "en", "s", len(r[1] or ""), *["x"] * len(CLASHING)) for r in rows]
     return spark.createDataFrame(full, SCHEMA)
 
 

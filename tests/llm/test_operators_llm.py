@@ -390,6 +390,16 @@ def test_repeats_on_odd_rows(spark, odd, nothing):
     assert rows(repeats.cleaned(nothing)) == []
 
 
+def test_repeats_with_ids_as_text(spark):
+    passage = prose(3, 60)[:250]
+    data = [("b", "one " + passage), ("a10", passage + " two"), (None, "x" + passage), ("a9", "three" + passage)]
+    docs = spark.createDataFrame(data, "doc_id string, text string")
+    want = slow_repeats([(i, t) for i, (_, t) in enumerate(sorted(data, key=lambda r: (r[0] is not None, r[0] or "")))])
+    order = sorted((r[0] for r in data), key=lambda i: (i is not None, i or ""))
+    assert {r["doc_id"]: bytes(r["kept"]) for r in rows(repeats.without_repeats(docs))} == {order[i]: v[2] for i, v in want.items()}
+    assert {r.doc_id: r.text.encode() for r in repeats.cleaned(docs).collect()} == {order[i]: v[2] for i, v in want.items()}
+
+
 # -- 7 language model
 
 
