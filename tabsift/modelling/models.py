@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -65,13 +66,26 @@ class Model:
         return {k: getattr(self, k) for k in keys}
 
     def save(self, spark: SparkSession, path: str) -> None:
-        """Replace whatever was stored under ``path``, without history."""
-        self.pipeline.write().overwrite().save(f"{path}/pipeline")
+        """Replace whatever was stored under ``path``.
+
+        Every version has a folder of its own; it counts once its commit file is there, which is written last and
+        whole. A writer that dies before leaves the version before in place. The last two versions are kept, so that
+        one being read is not taken away.
+        """
+        version = f"v-{uuid.uuid4().hex}"
+        self.pipeline.write().save(f"{path}/{version}/pipeline")
         text = spark.createDataFrame([(json.dumps(self.sidecar()),)], "value string")
-        text.coalesce(1).write.mode("overwrite").text(f"{path}/sidecar")
+        text.coalesce(1).write.text(f"{path}/{version}/sidecar")
+        done = _commits(spark, path)
+        _commit(spark, f"{path}/{COMMIT}{max(done, default=0) + 1:010d}", version)
+        _forget(spark, path, done)
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> Model:
+        done = _commits(spark, path)
+        if not done:
+            raise FileNotFoundError(f"no model under {path}")
+        path = f"{path}/{done[max(done)]}"
         d = json.loads(spark.read.text(f"{path}/sidecar").first()[0])
         for k in ("features", "slots", "class_attribution"):
             d[k] = [tuple(v) for v in d[k]]
@@ -80,6 +94,43 @@ class Model:
         return Model(pipeline=PipelineModel.load(f"{path}/pipeline"), **d)
 
 
+COMMIT = "commit-"
+
+
+def _files(spark: SparkSession, path: str):
+    """The path, and the file system it lies in."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _commits(spark: SparkSession, path: str) -> dict[int, str]:
+    """Number and version of every commit; a file's content is its version."""
+    where, fs = _files(spark, path)
+    if not fs.exists(where):
+        return {}
+    names = [f.getPath() for f in fs.listStatus(where) if f.getPath().getName().startswith(COMMIT)]
+    return {int(n.getName()[len(COMMIT) :]): spark.read.text(n.toString()).first()[0] for n in names}
+
+
+def _commit(spark: SparkSession, path: str, version: str) -> None:
+    """Create the commit file; it fails where another writer already made it."""
+    where, fs = _files(spark, path)
+    out = fs.create(where, False)
+    try:
+        out.write(bytearray(version, "utf-8"))
+    finally:
+        out.close()
+
+
+def _forget(spark: SparkSession, path: str, done: Mapping[int, str]) -> None:
+    """Remove all versions before the last of ``done``."""
+    for number in sorted(done)[:-1]:
+        for name in (f"{COMMIT}{number:010d}", done[number]):
+            where, fs = _files(spark, f"{path}/{name}")
+            fs.delete(where, True)
+
+
 def _kind_of(dtype: T.DataType) -> str:
     if isinstance(dtype, T.BooleanType):
         return "flag"

@@ -8,7 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..modelling import evaluate as ev
-from ..modelling import arima, label_noise, models, series, vectors
+from ..modelling import arima, label_noise, models, search, series, vectors
 from ..modelling import scoreboard as sb
 from ..modelling.split import in_test
 from ..operators import audit, quantiles, rules
@@ -453,3 +453,26 @@ def label_noise_joint(spark, sf_dir):
 def label_noise_suspects(spark, sf_dir):
     found = label_noise.suspects(_doubted(spark, sf_dir), "dear")
     return found.select("l_orderkey", "l_linenumber", F.col("dear").alias("given"), "likely", F.round("doubt", 4).alias("doubt"))
+
+
+# --- search inside a model type -------------------------------------------------
+
+
+@register(
+    "halving_closed_form",
+    """
+select 'halving' as search, '{"l2_reg": 0.0}' as best, 4::bigint as trials, 1::bigint as on_all_rows, round(1.0::double, 6) as r2 from lineitem having count(*) > 0
+union all select 'full', '{"l2_reg": 0.0}', 3, 3, 1.0 from lineitem having count(*) > 0""",
+)
+def halving_closed_form(spark, sf_dir):
+    """A label that is a sum of its features: no penalty fits it whole, and most candidates never see all rows."""
+    d = table(spark, sf_dir, "lineitem", heavy=True).select("l_quantity", "l_tax", (F.col("l_quantity") * 2 + F.col("l_tax") * 300).alias("y"))
+    found = None
+    for name in ("halving", "full"):
+        trials = search.halving_search(d, "y", "LINEAR_REG", {"l2_reg": [50.0, 0.0, 5.0]}, least=500, full=name == "full")
+        rows = search.report(spark, trials)
+        best = rows.where("share = 1 and kept").select("candidate", "score").first()
+        one = rows.agg(F.count("*").alias("trials"), F.count_if(F.col("share") == 1).alias("on_all_rows"))
+        one = one.select(F.lit(name).alias("search"), F.lit(best.candidate).alias("best"), "trials", "on_all_rows", F.lit(round(best.score, 6)).alias("r2"))
+        found = one if found is None else found.unionByName(one)
+    return found
