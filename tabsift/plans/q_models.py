@@ -330,15 +330,18 @@ def shapley_stump(spark, sf_dir):
 @register(
     "class_level_explain",
     """
-with f as (select l_discount > 0.05 as cheap, l_returnflag as flag from lineitem),
-r as (select flag as label, cheap, k / sum(k) over (partition by cheap) as rate, k, sum(k) over (partition by flag) / sum(k) over () as mean,
- sum(k) over (partition by cheap) / sum(k) over () as share from (select flag, cheap, count(*) as k from f group by 1, 2))
-select label, 'cheap' as feature, round(sum(share * abs(rate - mean)), 6) as attribution from r group by 1""",
+with f as (select l_discount > 0.05 as cheap, case when l_discount > 0.07 then 'high' when l_discount > 0.01 then 'mid' else 'low' end as flag from lineitem),
+g as (select cheap, count(*) / sum(count(*)) over () as share, avg(cast(flag = 'low' as int)) as low, avg(cast(flag = 'mid' as int)) as mid,
+ avg(cast(flag = 'high' as int)) as high from f group by 1),
+u as (select 'low' as label, share, low as rate from g union all select 'mid', share, mid from g union all select 'high', share, high from g),
+t as (select *, sum(share * rate) over (partition by label) as mean from u)
+select label, 'cheap' as feature, round(sum(share * abs(rate - mean)), 6) as attribution from t group by 1""",
 )
 def class_level_explain(spark, sf_dir):
-    """A tree of one split has the group rates as answers; each class has an attribution of its own."""
-    d = table(spark, sf_dir, "lineitem", heavy=True).select("l_returnflag", (F.col("l_discount") > 0.05).alias("cheap"))
+    """A tree of one split, whose sides vote differently, has the group rates as answers; each class has its own attribution."""
+    size = F.when(F.col("l_discount") > 0.07, "high").when(F.col("l_discount") > 0.01, "mid").otherwise("low")
+    d = table(spark, sf_dir, "lineitem", heavy=True).select(size.alias("size"), (F.col("l_discount") > 0.05).alias("cheap"))
     m = models.train(
-        d, "RANDOM_FOREST_CLASSIFIER", "l_returnflag", split_method="NONE", global_explain=True, num_trees=1, max_tree_depth=1, bootstrap=False
+        d, "RANDOM_FOREST_CLASSIFIER", "size", split_method="NONE", global_explain=True, num_trees=1, max_tree_depth=1, bootstrap=False
     )
     return explain.global_explain(m, spark, class_level=True).withColumn("attribution", F.round("attribution", 6))
