@@ -1,13 +1,22 @@
 """The main text of web pages by tag-path ratios.
 
 A page's text nodes are grouped by their path of tags from the root. For each path, text length and punctuation per
-node are aggregated; both are smoothed along the page, fused, and compared with a threshold taken from their spread,
-which selects the content paths. The content root is the article element, or failing one the deepest element, that
-holds nearly all of what was selected; its blocks are the main text, but for parts that say what they are: menus,
-headers, footers, sidebars, notices, adverts, forms and reader comments.
+node are aggregated; both are smoothed over neighbouring blocks with like paths, fused, lowered by the share of linked
+text, and compared with their spread and with what the page's text usually has: blocks that reach both pass. What is emitted:
 
-Defined cases: null, empty and text-free pages give ''; tags left open end with their parent or the page; stray end
-tags are ignored; repeated rows each get their result.
+* every block that passes, wherever it stands;
+* unlinked blocks, however short, of the regions that the passing ones make out: article and main elements that hold
+  some of them, or where there are none, the deepest element with most of their weight;
+* headings of what is emitted.
+
+Lists of links never pass. Parts that say what they are, by element, role or label, are left out beforehand: menus,
+headers, footers, sidebars, notices, adverts, forms and reader comments. A label counts if all its parts are such words
+or mere fillers (``cookie-notice``, ``site-footer``, not ``form-factor``); inside an article its own headers, footers,
+forms and searches are no labels.
+
+Defined cases: null, empty and text-free pages give ''; where nothing passes, or labels would leave nothing, they are
+not believed; tags left open end with their parent or the page; stray end tags are ignored; repeated rows each get
+their result.
 """
 
 from __future__ import annotations
@@ -49,16 +58,33 @@ LABELS = COMMENTS | set(
     "navigation menu breadcrumb breadcrumbs sidebar aside footer header masthead share sharing social related recommended recommendations newsletter subscribe "
     "subscription signup login popup modal overlay widget pagination pager toolbar search form disclaimer copyright skip skiplink".split()
 )
+# Words that say nothing in a label beside those above.
+FILLERS = set(
+    "box bar block container wrapper wrap slot area item items list section inner outer site page top bottom left right link links button buttons "
+    "icons post posts article articles main content global unit text title group js".split()
+)
+# Inside an article these are the article's own.
+OWN = set("header footer masthead form search banner discussion".split())
 HOLDERS = {"article", "main"}
-LEAVES = set("p li td th dt dd h1 h2 h3 h4 h5 h6 pre".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+LISTED = set("li dt dd td th option".split())
+LEAVES = HEADINGS | LISTED | {"p", "pre"}
 PUNCTUATION = re.compile(r"[.,;:!?…。，、！？]")
+# The share of the usual score of a page's text that a block must reach; the spread of the scores is the other bound.
+USUAL_SHARE = 0.67
 LABEL_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
+def says(label: str, words: set[str]) -> bool:
+    """Whether a class or id is made of such words, and fillers at most."""
+    parts = [p.lower() for p in LABEL_PART.findall(label)]
+    return any(p in words for p in parts) and all(p in words or p in FILLERS for p in parts)
+
+
 class Element:
     """An element of a page's list: its parent's place in that list comes before its own."""
 
-    __slots__ = ("tag", "place", "path", "parent", "depth", "apart", "labelled", "holder")
+    __slots__ = ("tag", "place", "path", "parent", "depth", "apart", "labelled", "inside", "holder", "linked", "block")
 
     def __init__(self, tag: str, attributes: str, parent: Element | None, place: int, path: int):
         self.tag, self.place, self.path = tag, place, path
@@ -66,32 +92,55 @@ class Element:
         self.depth = parent.depth + 1 if parent else 0
         self.apart = parent.apart if parent else False
         self.labelled = parent.labelled if parent else False
-        inside = parent is not None and parent.holder
-        self.holder = inside or tag in HOLDERS
-        if tag in APART or (tag == "header" and not inside):
+        self.linked = tag == "a" or (parent is not None and parent.linked)
+        self.block = self if parent is None or tag in BLOCKS else parent.block
+        within = parent is not None and parent.inside
+        self.holder = tag in HOLDERS
+        if tag in APART or (tag == "header" and not within):
             self.apart = True
         if attributes and "=" in attributes:
-            labels: set[str] = set()
+            labels: list[str] = []
             for name, a, b, c in ATTRIBUTE.findall(attributes):
                 name, value = name.lower(), a or b or c
                 if name in ("class", "id"):
-                    labels.update(p.lower() for p in LABEL_PART.findall(html.unescape(value)))
+                    labels += html.unescape(value).split()
                 elif name == "role":
                     self.apart |= value.strip().lower() in ROLES
                     self.holder |= value.strip().lower() == "main"
                 elif (name == "style" and re.search(r"display\s*:\s*none", value, re.I)) or (name == "aria-hidden" and value == "true"):
                     self.apart = True
-            if tag in ("html", "body", "main"):
-                labels = set()
-            elif tag == "article":
-                labels &= COMMENTS
-            if labels & COMMENTS:
-                self.apart = True
-            self.labelled |= bool(labels & LABELS)
+            if tag not in ("html", "body", "main"):
+                own = OWN if within else set()
+                self.apart |= any(says(x, COMMENTS - own) for x in labels)
+                self.labelled |= tag != "article" and any(says(x, LABELS - own) for x in labels)
+        self.inside = within or self.holder
         if attributes and re.search(r"(?:^|\s)hidden(?:\s|$|=)", attributes):
             self.apart = True
 
 
+class Block:
+    """The text between two block borders, with the nodes that it is made of."""
+
+    __slots__ = ("element", "nodes", "length", "linked")
+
+    def __init__(self, element: Element):
+        self.element, self.nodes, self.length, self.linked = element, [], 0, 0
+
+    def add(self, element: Element, text: str) -> None:
+        self.nodes.append((element, text))
+        size = len(text.strip())
+        self.length += size
+        self.linked += size if element.linked else 0
+
+    @property
+    def text(self) -> str:
+        return " ".join("".join(t for _, t in self.nodes).split())
+
+    @property
+    def is_heading(self) -> bool:
+        return self.element.tag in HEADINGS
+
+
 def text_nodes(page: str) -> tuple[list[Element], list[tuple[Element, int, str]]]:
     """All elements, and (innermost element, number of the block, raw text) of every text node outside raw ones."""
     top = Element("html", "", None, 0, 0)
@@ -145,70 +194,143 @@ def _close(open_: list[Element], ended: set[str], bounds: set[str]) -> None:
             return
 
 
-def smoothed(x: np.ndarray, radius: int = 2) -> np.ndarray:
-    kernel = np.exp(-0.5 * (np.arange(-radius, radius + 1) / max(1.0, radius / 2)) ** 2)
-    weight = np.convolve(np.ones(len(x)), kernel, "same") if len(x) > 2 * radius else None
-    return np.convolve(x, kernel, "same") / weight if weight is not None else x
+def blocks_of(nodes: list[tuple[Element, int, str]]) -> list[Block]:
+    """The blocks with text, in page order; a block stands in the innermost block element of its first text."""
+    found: dict[int, Block] = {}
+    for element, number, text in nodes:
+        if text.strip() or number in found:
+            found.setdefault(number, Block(element.block)).add(element, text)
+    return list(found.values())
+
+
+def path_ratios(blocks: list[Block]) -> tuple[np.ndarray, np.ndarray]:
+    """Per block the text length and the punctuation per node of its nodes' paths, weighed by their length."""
+    totals: dict[int, list[int]] = {}
+    for b in blocks:
+        for e, text in b.nodes:
+            t = totals.setdefault(e.path, [0, 0, 0])
+            t[0] += len(text.strip())
+            t[1] += len(PUNCTUATION.findall(text))
+            t[2] += bool(text.strip())
+    lengths, marks = [], []
+    for b in blocks:
+        shares = [(len(t.strip()) / b.length, totals[e.path]) for e, t in b.nodes if t.strip()]
+        lengths.append(sum(w * t[0] / t[2] for w, t in shares))
+        marks.append(sum(w * t[1] / t[2] for w, t in shares))
+    return np.array(lengths), np.array(marks)
 
 
-def path_scores(nodes: list[tuple[Element, int, str]]) -> np.ndarray:
-    """The fused, smoothed ratio of each node's path: text length and punctuation per node of that path."""
-    totals: dict[int, list[float]] = {}
-    for element, _, text in nodes:
-        t = totals.setdefault(element.path, [0.0, 0.0, 0.0])
-        t[0] += len(text)
-        t[1] += len(PUNCTUATION.findall(text))
-        t[2] += 1
-    length = np.array([totals[e.path][0] / totals[e.path][2] for e, _, _ in nodes])
-    marks = np.array([totals[e.path][1] / totals[e.path][2] for e, _, _ in nodes])
-    return np.sqrt(smoothed(length) * (1 + smoothed(marks)))
+def likeness(a: Element, b: Element, every: list[Element]) -> float:
+    """How alike two paths are: the same, the same but for the last tag, alike above that, or not."""
+    if a.path == b.path:
+        return 1.0
+    up, vp = every[a.parent].path, every[b.parent].path
+    if up == vp:
+        return 0.7
+    return 0.4 if up == b.path or vp == a.path else 0.1
+
+
+def smoothing(blocks: list[Block], every: list[Element], radius: int = 2) -> list[list[tuple[int, float]]]:
+    """Per block the blocks around it with their weights: near ones with like paths weigh most."""
+    out = []
+    for i, b in enumerate(blocks):
+        near = range(max(0, i - radius), min(len(blocks), i + radius + 1))
+        weights = [(j, float(np.exp(-0.5 * (i - j) ** 2)) * likeness(b.element, blocks[j].element, every)) for j in near]
+        total = sum(w for _, w in weights)
+        out.append([(j, w / total) for j, w in weights])
+    return out
+
+
+def linked_shares(blocks: list[Block]) -> np.ndarray:
+    """The share of linked text: of all blocks on the same path, of list items and cells within their own list."""
+    totals: dict[tuple, list[int]] = {}
+    keys = [(b.element.path, b.element.parent if b.element.tag in LISTED else -1) for b in blocks]
+    for b, key in zip(blocks, keys, strict=True):
+        t = totals.setdefault(key, [0, 0])
+        t[0] += b.linked
+        t[1] += b.length
+    return np.array([0.0 if b.is_heading else totals[key][0] / totals[key][1] for b, key in zip(blocks, keys, strict=True)])
+
+
+def block_scores(blocks: list[Block], every: list[Element]) -> np.ndarray:
+    """Smoothed ratios of length and punctuation, fused, and lowered by the linked share."""
+    lengths, marks = path_ratios(blocks)
+    around = smoothing(blocks, every)
+    smooth = [(sum(w * lengths[j] for j, w in near), sum(w * marks[j] for j, w in near)) for near in around]
+    return np.array([np.sqrt(a * (1 + m)) for a, m in smooth]) * (1 - linked_shares(blocks))
 
 
 def main_text(page: str | None) -> str:
     if not page:
         return ""
     every, found = text_nodes(page)
-    nodes = [(e, b, html.unescape(t)) for e, b, t in found]
-    kept = [n for n in nodes if not n[0].apart and not n[0].labelled]
-    if not any(t.strip() for _, _, t in kept):  # all of it labelled: labels alone are not believed
-        kept = [n for n in nodes if not n[0].apart]
-    full = [n for n in kept if n[2].strip()]
-    if not full:
+    nodes = [(e, b, html.unescape(t)) for e, b, t in found if not e.apart]
+    blocks = blocks_of([n for n in nodes if not n[0].labelled]) or blocks_of(nodes)
+    if not blocks:
         return ""
-    score = path_scores(full)
-    selected = score >= min(score.std(), score.max())  # the spread of the ratios is the threshold
+    kept = selected(blocks, every)
+    return " ".join(b.text for b, keep in zip(blocks, kept, strict=True) if keep)
+
+
+def selected(blocks: list[Block], every: list[Element]) -> list[bool]:
+    score = block_scores(blocks, every)
+    usual = np.average(score, weights=[b.length for b in blocks])  # where the page's text stands
+    passing = score >= min(max(score.std(), USUAL_SHARE * usual), score.max())
     weight = [0.0] * len(every)
-    for (element, _, text), s, chosen in zip(full, score.tolist(), selected.tolist(), strict=True):
-        if chosen:
-            weight[element.place] += s * len(text)
+    for b, s, passes in zip(blocks, score.tolist(), passing.tolist(), strict=True):
+        if passes:
+            weight[b.element.place] += s * b.length
     for e in reversed(every[1:]):
         weight[e.parent] += weight[e.place]
-    root = content_root(every, weight)
-    inside = [False] * len(every)
+    inside = in_regions(blocks, every, weight, passing)
+    links = linked_shares(blocks) >= 0.5
+    kept = [bool(p or (i and not n)) for p, i, n in zip(passing, inside, links, strict=True)]
+    # Headings share the fate of what stands between them and the next one; those of nothing stay in their region.
+    any_below, any_kept = False, False
+    for i in range(len(blocks) - 1, -1, -1):
+        if blocks[i].is_heading:
+            kept[i] = any_kept or (inside[i] and not any_below)
+            any_below, any_kept = False, kept[i] and not inside[i]
+        else:
+            any_below, any_kept = True, any_kept or kept[i]
+    return kept
+
+
+def in_regions(blocks: list[Block], every: list[Element], weight: list[float], passing: np.ndarray) -> list[bool]:
+    """Which blocks lie in a region of content."""
+    regions = content_holders(every, weight)
+    if not regions:
+        most = [e for e in every if weight[e.place] >= 0.8 * weight[0] and e.tag in BLOCKS and e.tag not in LEAVES]
+        root = max(most, key=lambda e: e.depth, default=every[0])
+        if root.tag in ("html", "body"):  # no region of its own: what lies between passing blocks
+            first, last = int(passing.argmax()), len(blocks) - 1 - int(passing[::-1].argmax())
+            return [first <= i <= last for i in range(len(blocks))]
+        regions = {root.place}
+    flags = [False] * len(every)
+    for e in every:
+        flags[e.place] = e.place in regions or (e.parent >= 0 and flags[e.parent])
+    return [flags[b.element.place] for b in blocks]
+
+
+def content_holders(every: list[Element], weight: list[float]) -> set[int]:
+    """The outermost article and main elements with passing text; of a main, its articles if they hold half of that."""
+    outer = [-1] * len(every)  # the outermost holder around an element
+    articles: dict[int, list[int]] = {}
+    within = [False] * len(every)  # inside an article already
     for e in every:
-        inside[e.place] = e is root or (e.parent >= 0 and inside[e.parent])
-    blocks: dict[int, list[str]] = {}
-    for element, block, text in kept:
-        if inside[element.place]:
-            blocks.setdefault(block, []).append(text)
-    joined = (" ".join("".join(parts).split()) for _, parts in sorted(blocks.items()))
-    return " ".join(b for b in joined if b)
-
-
-def content_root(every: list[Element], weight: list[float]) -> Element:
-    """The article element with most of the selected text; where there is none, the deepest block with nearly all."""
-    holders = [e for e in every if e.holder and weight[e.place] > 0 and not every[e.parent].holder]
-    if holders:
-        best = max(holders, key=lambda e: weight[e.place])
-        inside = {best.place}
-        for e in every[best.place + 1 :]:
-            if e.parent in inside:
-                inside.add(e.place)
-                if e.tag == "article" and weight[e.place] >= 0.5 * weight[best.place]:
-                    best = e
-        return best
-    most = [e for e in every if weight[e.place] >= 0.8 * weight[0] and e.tag in BLOCKS and e.tag not in LEAVES]
-    return max(most, key=lambda e: e.depth, default=every[0])
+        up = outer[e.parent] if e.parent >= 0 else -1
+        within[e.place] = e.parent >= 0 and (within[e.parent] or every[e.parent].tag == "article")
+        outer[e.place] = up if up >= 0 else (e.place if e.holder else -1)
+        if outer[e.place] == e.place:
+            articles[e.place] = []
+        elif up >= 0 and e.tag == "article" and not within[e.place]:
+            articles[up].append(e.place)
+    out: set[int] = set()
+    for place, own in articles.items():
+        if weight[place] > 0:
+            parts = sum(weight[x] for x in own) >= 0.5 * weight[place]
+            out.update([x for x in own if weight[x] > 0] if own and parts else [place])
+    return out
 
 
 def _extract(column: str):

@@ -201,6 +201,61 @@ def test_odd_pages(spark):
     assert rows(html_text.extract(pages.limit(0))) == []
 
 
+PARAGRAPHS = [f"Paragraph {i} tells, at some length, what happened next; it names people, places and days, and then it ends." for i in range(8)]
+PARTS = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+MENU = "".join(f'<li><a href="/{i}">Entry {i}</a></li>' for i in range(6))
+WHOLE = " ".join(PARAGRAPHS)
+
+
+@pytest.mark.parametrize(
+    "body, want",
+    [
+        (f"<article><h2>One</h2>{PARTS}</article><article><h2>Two</h2><p>Short, but whole.</p>{PARTS}</article>", f"One {WHOLE} Two Short, but whole. {WHOLE}"),
+        (f"<div><h1>Headline</h1><p>A lead, of one sentence, that says what is to come, and why.</p></div><div>{PARTS}</div>", f"Headline A lead, of one sentence, that says what is to come, and why. {WHOLE}"),
+        (f'<article>{PARTS}<section class="form-factor"><p>Form.</p></section><h2 id="header-compression">Header</h2><p>Text.</p><div id="related-work">Related.</div></article>', f"{WHOLE} Form. Header Text. Related."),
+        (f"<article>{PARTS}<ul>{MENU}</ul>{PARTS}</article>", f"{WHOLE} {WHOLE}"),
+        (f"<div><ul>{MENU}</ul></div><div>{PARTS}</div><div>About us</div>", WHOLE),
+        (f"<article>{PARTS}<h3>Read on</h3><ul>{MENU}</ul></article>", WHOLE),
+        (f"<article>{PARTS}<h3>List</h3><ul><li>milk<li>eggs</ul><p>Ends with <a href=x>a link</a>.</p><h2>Nothing below</h2></article>", f"{WHOLE} List milk eggs Ends with a link . Nothing below".replace("link .", "link.")),
+        (f'<main><h1>Top</h1><article>{PARTS}</article><div class="ad-slot"><p>Buy, buy, and buy again, today.</p></div></main>', f"Top {WHOLE}"),
+        (f'<article>{PARTS}<div class="ad">Buy, now.</div><section id="post-comments"><p>{WHOLE}</p></section></article>', WHOLE),
+        (f"<article><h1><a href=x>Linked headline</a></h1>{PARTS}<pre>{'x = 1; ' * 9000}</pre></article>", f"Linked headline {WHOLE} {' '.join(['x = 1;'] * 9000)}"),
+    ],
+    ids=["two articles", "headline apart", "labels of the subject", "link list", "menu", "headed links", "short blocks", "main around", "advert and comments", "long block"],
+)
+def test_paths_choose_the_text(body, want):
+    assert html_text.main_text(f"<html><body>{body}</body></html>") == want
+
+
+def unlabelled(page):
+    """The page with its telling elements and labels made plain."""
+    return regex.sub(r"<(/?)(?:nav|footer|article)>", r"<\1div>", page).replace('<div class="ad">', "<div>")
+
+
+def test_ratios_decide_where_nothing_is_labelled(spark, sf_dir, monkeypatch):
+    pages = [r.html for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()]
+    right = [html_text.main_text(p) for p in pages]
+    found = [html_text.main_text(unlabelled(p)) for p in pages]
+    assert all(want in got for want, got in zip(right, found, strict=True))  # no article is lost
+    exact = sum(map(str.__eq__, right, found))
+    assert exact >= 0.5 * len(pages)
+    monkeypatch.setattr(html_text, "block_scores", lambda blocks, every: np.ones(len(blocks)))
+    assert not any(html_text.main_text(unlabelled(p)) == want for p, want in zip(pages, right, strict=True))
+
+
+def test_paths_of_like_pages():
+    every, nodes = html_text.text_nodes(f"<div>{PARTS}</div><ul>{MENU}</ul>")
+    blocks = html_text.blocks_of(nodes)
+    lengths, marks = html_text.path_ratios(blocks)
+    assert np.allclose(lengths[:8], np.mean([len(p) for p in PARAGRAPHS])) and np.allclose(lengths[8:], 7)
+    assert np.allclose(marks, [6] * 8 + [0] * 6)
+    assert np.allclose(html_text.linked_shares(blocks), [0] * 8 + [1] * 6)
+    weights = html_text.smoothing(blocks, every)
+    assert all(np.isclose(sum(w for _, w in near), 1) for near in weights)
+    scores = html_text.block_scores(blocks, every)
+    assert (scores[8:] == 0).all() and scores[:8].min() > 20
+
+
 def test_pages_of_the_tables(spark, sf_dir):
     for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect():
         inner = regex.search(r"(?s)<article>(.*?)(?:</article>|\Z)", r.html)[1]
