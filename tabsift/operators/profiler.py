@@ -234,3 +234,131 @@ def _counter(candidates: Sequence[Identity], tolerance: float):
             )
 
     return run
+
+
+# The share of rows on which every formula is tried before the rest are counted on all rows. A formula that is wrong on
+# most rows is ruled out if this is well above the share of rows that may break an identity.
+PROBE_SHARE = 0.03
+# Rows of the probe that one task takes, and formula values that it holds at a time.
+PROBE_ROWS = 50_000
+PROBE_VALUES = 2_000_000
+
+
+def identity_search(
+    df: DataFrame,
+    columns: Sequence[str],
+    tolerance: float = S.RELATIVE_TOLERANCE,
+    min_share: float = IDENTITY_SHARE,
+    ratio: bool = False,
+    probe_share: float = PROBE_SHARE,
+) -> DataFrame:
+    """What ``identity_hunt`` finds, without trying every formula on every row: for tables of many columns.
+
+    On a probe of the rows, drawn by their hash, the value of each ``a ∘ b`` is looked up among the row's sorted
+    values, which takes the square of the columns and not the cube, and gives every formula's misses there. A formula
+    may miss on ``1 - min_share`` of the rows that have all its columns, so one that missed more often in the probe
+    alone is ruled out for certain; all others are counted on all rows. The probe decides the cost, never the answer.
+    The driver holds one number per formula, the cube of the columns.
+    """
+    import numpy as np
+
+    known = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(f"k{i}") for i, c in enumerate(columns)]).first()
+    used = [(c, known[f"k{i}"]) for i, c in enumerate(columns) if known[f"k{i}"] >= MIN_IDENTITY_VALUES]
+    names, filled = [c for c, _ in used], np.array([k for _, k in used], np.int64)
+    numbers = df.select(*[F.col(c).cast("double") for c in names])
+    formulas = _formulas(len(names), ratio)
+    left: list[Identity] = []
+    if names:
+        drawn = F.pmod(F.xxhash64(*names), F.lit(1_000_000)) < int(probe_share * 1_000_000)
+        probe = numbers.where(drawn).repartition(1 + int(known["_rows"] * probe_share) // PROBE_ROWS)
+        sums = probe.mapInArrow(_prober(formulas, tolerance), "place bigint, misses bigint").groupBy("place").agg(F.sum("misses").alias("misses"))
+        found = sums.toArrow()
+        misses = np.zeros(len(formulas) * len(names), np.int64)
+        misses[found["place"].to_numpy()] = found["misses"].to_numpy()
+        left = _survivors(names, filled, formulas, misses.reshape(len(formulas), len(names)), min_share)
+    counted = numbers.mapInArrow(_counter(left, tolerance), "formula int, hits bigint, seen bigint") if left else None
+    totals = counted.groupBy("formula").agg(F.sum("hits").alias("hits"), F.sum("seen").alias("seen")).collect() if left else []
+    rows = [
+        (left[r.formula].target, left[r.formula].formula, r.seen, round(100.0 * r.hits / r.seen, 2))
+        for r in sorted(totals, key=lambda r: r.formula)
+        if r.seen and r.hits / r.seen >= min_share
+    ]
+    return df.sparkSession.createDataFrame(rows, "target string, formula string, rows bigint, pct double")
+
+
+def _formulas(n: int, ratio: bool) -> list[tuple[str, int, int]]:
+    """Every formula over columns numbered from 0, shape by shape; copies have no second column (-1)."""
+    shapes = {**OPERATIONS, **(RATIOS if ratio else {})}
+    pairs = list(combinations(range(n), 2))
+    return [(s, a, b) for s in shapes for a, b in (pairs if "{b}" in s else [(i, -1) for i in range(n)])]
+
+
+def _survivors(names, filled, formulas, misses, min_share) -> list[Identity]:
+    """The formulas whose misses leave room for an identity; no more rows have all columns than have the rarest one."""
+    import numpy as np
+
+    a = np.array([f[1] for f in formulas])
+    b = np.array([f[2] if f[2] >= 0 else f[1] for f in formulas])
+    most = np.minimum(np.minimum(filled[a], filled[b])[:, None], filled[None, :])
+    open_ = misses <= (1 - min_share) * most + 1e-6
+    open_[np.arange(len(formulas)), a] = False
+    open_[np.arange(len(formulas)), b] = False
+    found = [(y, formulas[f], f) for f, y in zip(*(x.tolist() for x in np.nonzero(open_)), strict=True)]
+    found.sort(key=lambda c: (c[0], c[1][2] >= 0, c[1][1:], c[2]))  # per target copies first, as the full hunt lists them
+    return [Identity(names[y], shape, names[a], names[b] if b >= 0 else None) for y, (shape, a, b), _ in found]
+
+
+def _prober(formulas: Sequence[tuple[str, int, int]], tolerance: float):
+    """A task's misses of every formula as each column, with places ``formula * columns + column``."""
+    shapes = {**OPERATIONS, **RATIOS}
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        groups = [(s, np.array([f[1:] for f in formulas if f[0] == s])) for s in shapes if any(f[0] == s for f in formulas)]
+        misses, width = None, 0
+        for batch in batches:
+            table = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(np.float64)
+            there = np.column_stack([c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns])
+            width = table.shape[1]
+            misses = np.zeros((len(formulas), width), np.int64) if misses is None else misses
+            step = max(1, PROBE_VALUES // len(formulas))
+            for at in range(0, len(table), step):
+                misses += _misses(table[at : at + step], there[at : at + step], groups, shapes, tolerance, np)
+        if misses is not None:
+            flat = misses.ravel()
+            places = np.flatnonzero(flat)
+            yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(flat[places])], ["place", "misses"])
+
+    return run
+
+
+def _misses(table, there, groups, shapes, tolerance, np):
+    values, usable = [], []
+    with np.errstate(all="ignore"):
+        for shape, pairs in groups:
+            a, b = pairs[:, 0], pairs[:, 1]
+            ok = there[:, a] & there[:, b] if "{b}" in shape else there[:, a]
+            if "/" in shape:
+                ok = ok & (table[:, b if shape.startswith("{a}") else a] != 0)
+            values.append(shapes[shape](table[:, a], table[:, b]))
+            usable.append(ok)
+        values, usable = np.concatenate(values, axis=1), np.concatenate(usable, axis=1)
+        seen = usable.T.astype(np.float32) @ there.astype(np.float32)  # whole numbers below 2^24
+        hits = np.zeros(seen.size, np.int64)
+        reach = tolerance * np.maximum(np.abs(values), 1.0) / max(1e-9, 1 - tolerance) * (1 + 1e-9)
+        for row in range(len(table)):
+            columns = np.flatnonzero(there[row] & np.isfinite(table[row]))
+            columns = columns[np.argsort(table[row, columns])]
+            y = table[row, columns]
+            asked = np.flatnonzero(usable[row] & np.isfinite(values[row]))
+            v = values[row, asked]
+            first = np.searchsorted(y, v - reach[row, asked], "left")
+            count = np.searchsorted(y, v + reach[row, asked], "right") - first
+            near = np.flatnonzero(count > 0)
+            which = np.repeat(near, count[near])
+            spot = np.arange(len(which)) - np.repeat(np.cumsum(count[near]) - count[near], count[near]) + first[which]
+            close = np.abs(v[which] - y[spot]) <= tolerance * np.maximum(np.maximum(np.abs(v[which]), np.abs(y[spot])), 1.0)
+            hits[asked[which[close]] * table.shape[1] + columns[spot[close]]] += 1
+    return seen.astype(np.int64) - hits.reshape(seen.shape)

@@ -137,3 +137,44 @@ def identity_hunt_ratio(spark, sf_dir):
     rate = F.when(F.col("l_orderkey") % 5 == 0, 0.0).otherwise(F.col("l_discount"))
     li = table(spark, sf_dir, "lineitem").select("l_extendedprice", rate.alias("rate"))
     return profiler.identity_hunt(li.withColumn("cut", F.col("l_extendedprice") * F.col("rate")), RATIO, ratio=True)
+
+
+@register("identity_search", _hunt_sql(HUNT, HUNT_FROM, False))
+def identity_search(spark, sf_dir):
+    """The same answer by looking up values in a probe and counting what that leaves on all rows."""
+    li = table(spark, sf_dir, "lineitem", heavy=True).withColumn("cut", F.col("l_extendedprice") * F.col("l_discount"))
+    net = F.when(F.col("l_orderkey") % 997 == 0, 7.0).otherwise(F.col("l_extendedprice") - F.col("cut"))
+    return profiler.identity_search(li.withColumn("net", net), HUNT)
+
+
+# Fifty columns without a rule beside the ten: remainders by the primes from 100,003 on, of keys times a number of their own.
+NOISE = [f"noise_{i}" for i in range(50)]
+NOISE_TERM = "(l_orderkey * {p} + l_partkey * {q} + l_suppkey * 31 + l_linenumber * 7919) % 1000003 / {r}"
+NOISE_TERMS = {c: NOISE_TERM.format(p=7919 + 104 * i, q=104729 + 1299 * i, r=f"cast({7 + i}.5 as double)") for i, c in enumerate(NOISE)}
+PLANTED = {
+    ("cut", "l_extendedprice * l_discount"): ["cut", "l_extendedprice", "l_discount"],
+    ("cut", "l_extendedprice - net"): ["cut", "l_extendedprice", "net"],
+    ("net", "l_extendedprice - cut"): ["net", "l_extendedprice", "cut"],
+    ("l_extendedprice", "cut + net"): ["l_extendedprice", "cut", "net"],
+}
+_HIT = "abs(({f}) - {y}) <= 1e-3 * greatest(abs({f}), abs({y}), 1.0)"
+
+
+def _planted_sql():
+    found = " union all ".join(
+        f"select '{y}' as target, '{f}' as formula, count(*) filter (where {_HIT.format(y=y, f=f)}) as k, count(({f}) - {y}) as n from s"
+        for y, f in PLANTED
+    )
+    return f"""
+with s as (select {", ".join(f"cast({c} as double) as {c}" for c in HUNT)} from {HUNT_FROM}),
+u as ({found})
+select target, formula, n as rows, round(100.0::double * k / n, 2) as pct from u where n > 0 and k / n >= 0.99"""
+
+
+@register("identity_search_wide", _planted_sql())
+def identity_search_wide(spark, sf_dir):
+    """Sixty columns, 410,640 formulas: the planted identities and no others."""
+    li = table(spark, sf_dir, "lineitem", heavy=True).withColumn("cut", F.col("l_extendedprice") * F.col("l_discount"))
+    net = F.when(F.col("l_orderkey") % 997 == 0, 7.0).otherwise(F.col("l_extendedprice") - F.col("cut"))
+    wide = li.withColumn("net", net).select(*HUNT, *[F.expr(e).alias(c) for c, e in NOISE_TERMS.items()])
+    return profiler.identity_search(wide, HUNT + NOISE)

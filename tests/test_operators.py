@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from conftest import plan_of
 from hypothesis import given, settings
@@ -404,3 +405,45 @@ def test_tokens_of_whole_text(spark):
     df = spark.createDataFrame([(text, False), ("fim w1", True)], "t string, c boolean")
     got = {r["token"]: (r["uncovered_rows"], r["covered_rows"], r["lift"]) for r in text_features.uncovered_tokens(df, "t", F.col("c")).collect()}
     assert len(got) == 30_001 and got["fim"] == (1, 1, 1.0) and got["w29999"] == (1, 0, None)
+
+
+@pytest.mark.parametrize("ratio", [False, True])
+def test_identity_search_finds_what_the_full_hunt_finds(spark, ratio):
+    """Small whole numbers that often agree by chance, gaps, zeros, not-a-number, infinities, a nearly empty column."""
+    rng, n = np.random.default_rng(3), 3000
+    cols = {f"c{i}": rng.integers(0, 4 + 40 * i, n).astype(float) for i in range(8)}
+    cols |= {"sum": cols["c3"] + cols["c5"], "dup": cols["c6"].copy(), "part": cols["c4"] * cols["c7"], "rate": cols["c6"] / np.maximum(cols["c2"], 1)}
+    cols["part"][: n // 200] += 5
+    cols["dup"][rng.random(n) < 0.4] = None
+    cols["rare"] = np.where(np.arange(n) < 60, cols["c1"] - cols["c6"], np.nan)
+    cols["odd"] = np.where(rng.random(n) < 0.01, np.inf, cols["c5"])
+    rows = [tuple(None if k in ("dup", "rare") and np.isnan(v[i]) else float(v[i]) for k, v in cols.items()) for i in range(n)]
+    rows[5] = (float("nan"), *rows[5][1:])
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in cols))
+    for share, probe in ((0.99, 0.2), (0.99, 0.0), (0.8, 1.0), (1.0, 0.05)):
+        full = profiler.identity_hunt(df, list(cols), min_share=share, ratio=ratio).collect()
+        assert profiler.identity_search(df, list(cols), min_share=share, ratio=ratio, probe_share=probe).collect() == full
+    assert {("sum", "c3 + c5"), ("dup", "c6"), ("rare", "c1 - c6")} <= {(r.target, r.formula) for r in profiler.identity_hunt(df, list(cols)).collect()}
+
+
+def test_identity_search_over_nothing(spark):
+    empty = spark.createDataFrame([], "a double, b int")
+    assert profiler.identity_search(empty, ["a", "b"]).collect() == []
+    assert profiler.identity_search(spark.createDataFrame([(1.0, 2)], "a double, b int"), ["a", "b"]).collect() == []
+
+
+def test_identity_probe_rules_out_all_but_few(spark):
+    """Sixty columns: of 410,640 formulas only a few are left to count."""
+    n, rng = 2000, np.random.default_rng(5)
+    values = rng.random((n, 60)) * 1000
+    values[:, 59] = values[:, 3] * values[:, 7]
+    names = [f"c{i}" for i in range(60)]
+    formulas = profiler._formulas(60, False)
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(values[:200, i]) for i in range(60)], names)
+    (out,) = profiler._prober(formulas, 1e-3)([batch])
+    misses = np.zeros(len(formulas) * 60, np.int64)
+    misses[out["place"].to_numpy()] = out["misses"].to_numpy()
+    left = profiler._survivors(names, np.full(60, n), formulas, misses.reshape(-1, 60), 0.99)
+    assert [(i.target, i.formula) for i in left] == [("c59", "c3 * c7")]
