@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import staged
+from . import inner_product
 
 # Rows that one numbering bucket and one block of the factoriser should hold.
 BUCKET_ROWS = 100_000
@@ -48,6 +49,16 @@ class Recommender:
         named = recs.toDF("_u", "rank", "_i", "score").join(self.users, "_u").join(self.items, "_i")
         return named.select(self.user, self.item, "rank", "score")
 
+    def top_by_length(self, k: int) -> DataFrame:
+        """The same items for every user without scoring all pairs, and how many items each user was ``scored`` with.
+
+        Longest factors are tried first, and a user is finished once no item left can reach the k-th score.
+        """
+        sides = self.model.itemFactors, self.model.userFactors
+        found = inner_product.top_products(*sides, k, "id", "features", "id", "features")
+        found = found.select(F.col("query").alias("_u"), "rank", F.col("neighbour").alias("_i"), F.col("product").alias("score"), "scored")
+        return found.join(self.users, "_u").join(self.items, "_i").select(self.user, self.item, "rank", "score", "scored")
+
 
 def factorize(df: DataFrame, user: str, item: str, weight: str | None = None, factors: int = 8, seed: int = 42, iterations: int = 8) -> Recommender:
     """Implicit-feedback factors from view counts (or a given weight per row)."""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars
 from ..functions.text_patterns import COMMERCIAL
 from ..modelling import evaluate as ev
-from ..modelling import models, recommend, series, vectors
+from ..modelling import inner_product, models, recommend, series, vectors
 from ..operators.aggregates import profile_groups, union_all
 from ..session import one_row, spread, staged
 from .q_rules_audit import GOLD_SQL, gold
@@ -321,6 +321,40 @@ def vector_lsh(spark, sf_dir):
     return vectors.recall(found, exact).select("neighbours", (F.col("recall") >= 0.9).alias("enough"), differing.alias("differing"))
 
 
+# Whole numbers, so that products are exact; lengths differ, so that the bound stops early.
+SIZED_SQL = "select vec_id, [round(1000 * x::double) * (1 + vec_id % 7) ** 3 for x in embedding] as v from embeddings"
+
+
+def _sized(spark, sf_dir):
+    size = F.pow(1 + F.col("vec_id") % 7, F.lit(3))
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.transform("embedding", lambda x: F.round(1000 * x.cast("double")) * size).alias("v"))
+
+
+@register(
+    "inner_product_topk",
+    f"""
+with s as ({SIZED_SQL}), p as (select a.vec_id as query, b.vec_id as neighbour, list_inner_product(a.v, b.v)::bigint as product from s a, s b),
+r as (select *, row_number() over (partition by query order by product desc, neighbour) as rank from p)
+select query, neighbour, product, rank from r where rank <= 5""",
+)
+def inner_product_topk(spark, sf_dir):
+    """The five largest inner products of every vector, in four slabs by length."""
+    e = staged(_sized(spark, sf_dir), "sized")
+    quarter = max(1, e.count() * 64 * 8 // 4)
+    found = inner_product.top_products(e, spread(e), 5, "vec_id", "v", "vec_id", "v", slab_bytes=quarter)
+    return found.select("query", "neighbour", F.col("product").cast("long").alias("product"), "rank")
+
+
+@register("inner_product_cost", "select count(*) as queries, count(*) * count(*) as pairs, true as fewer from embeddings")
+def inner_product_cost(spark, sf_dir):
+    """How many of all pairs the bound leaves to score: fewer than nine tenths."""
+    e = staged(_sized(spark, sf_dir), "sized")
+    found = inner_product.top_products(e, spread(e), 5, "vec_id", "v", "vec_id", "v")
+    each = found.where("rank = 1").agg(F.count("*").alias("queries"), F.sum("scored").alias("scored"))
+    pairs = F.col("queries") * F.col("queries")
+    return each.select("queries", pairs.alias("pairs"), (F.col("scored") < 0.9 * pairs).alias("fewer"))
+
+
 @register(
     "monthly_series",
     """
