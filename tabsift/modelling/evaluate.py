@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -17,9 +16,8 @@ from ..session import broadcast_if_small, one_row, staged
 REGRESSION = ("mean_absolute_error", "mean_squared_error", "median_absolute_error", "r2_score", "explained_variance")
 CLASSIFICATION = ("precision", "recall", "accuracy", "f1_score", "log_loss", "roc_auc")
 
-# Rows that one bin of the curve should hold; the sketch tells at most so many bins apart.
+# Different scores that one range of the curve should hold.
 BIN_ROWS = 100_000
-MOST_BINS = 10_000
 
 
 def regression_metrics(df: DataFrame, truth: str, predicted: str) -> DataFrame:
@@ -85,26 +83,24 @@ def multiclass_metrics(df: DataFrame, truth: Column, predicted: Column, prob_of_
 def roc_auc(df: DataFrame, truth: str, score: str) -> DataFrame:
     """Exact area under the curve, ties counted half.
 
-    Rows are first counted per distinct score, then cut into bins of similar
-    size, more for more rows; only bin totals are accumulated in one task and
-    each bin adds up its own scores.
+    Rows are first counted per distinct score, so a score that many rows share
+    is one row. The scores are cut into ranges of some BIN_ROWS, as many as it
+    takes and however close together they lie; only the totals of ranges are
+    accumulated in one task, and each range adds up its own scores.
     """
-    rows = df.select(F.col(score).cast("double").alias("s"), F.col(truth).cast("boolean").alias("y")).dropna()
-    bins = min(MOST_BINS, 2 + rows.count() // BIN_ROWS)
-    edges = rows.agg(F.percentile_approx("s", [i / bins for i in range(bins + 1)], MOST_BINS)).first()[0]
-    counts = rows.groupBy("s").agg(F.count_if("y").alias("pos"), F.count_if(~F.col("y")).alias("neg"))
-    cuts = sorted(set(edges or []))
+    rows = df.select((F.col(score).cast("double") + 0.0).alias("s"), F.col(truth).cast("boolean").alias("y")).dropna()
+    counts = staged(rows.groupBy("s").agg(F.count_if("y").alias("pos"), F.count_if(~F.col("y")).alias("neg")), "scores")
+    ranges = 1 + counts.count() // BIN_ROWS
+    binned = counts.withColumn("bin", F.lit(0))
+    if ranges > 1:  # written, so that every later job sees the same ranges
+        binned = staged(counts.repartitionByRange(ranges, "s").withColumn("bin", F.spark_partition_id()), "ranges")
     wins = F.col("pos") * (F.col("below") + F.col("neg") / 2.0)
     area = F.try_divide(F.sum(wins), F.sum("pos").cast("double") * F.sum("neg")).alias("roc_auc")
-    order = W.orderBy("s").rowsBetween(W.unboundedPreceding, -1)
-    earlier = F.coalesce(F.sum("neg").over(order.partitionBy(F.lit(0))), F.lit(0))
-    # Few distinct edges mean few distinct scores: two bins at the middle one will do.
-    inner = cuts[1:-1] or cuts[:1] or [0.0]
-    binned = Bucketizer(splits=[-np.inf, *inner, np.inf], inputCol="s", outputCol="bin").transform(counts)
-    totals = binned.groupBy("bin").agg(F.sum("neg").alias("neg"), F.min("bin").alias("s"))
-    offsets = totals.select("bin", earlier.alias("offset"))
-    inside = F.coalesce(F.sum("neg").over(order.partitionBy("bin")), F.lit(0))
-    ranked = binned.withColumn("inside", inside).join(F.broadcast(offsets), "bin")
+    earlier = W.orderBy("bin").rowsBetween(W.unboundedPreceding, -1)
+    offsets = binned.groupBy("bin").agg(F.sum("neg").alias("neg"))
+    offsets = offsets.select("bin", F.coalesce(F.sum("neg").over(earlier.partitionBy(F.lit(0))), F.lit(0)).alias("offset"))
+    lower = W.partitionBy("bin").orderBy("s").rowsBetween(W.unboundedPreceding, -1)
+    ranked = binned.withColumn("inside", F.coalesce(F.sum("neg").over(lower), F.lit(0))).join(broadcast_if_small(offsets), "bin")
     return ranked.withColumn("below", F.col("offset") + F.col("inside")).agg(area)
 
 

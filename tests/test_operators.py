@@ -447,3 +447,17 @@ def test_identity_probe_rules_out_all_but_few(spark):
     misses[out["place"].to_numpy()] = out["misses"].to_numpy()
     left = profiler._survivors(names, np.full(60, n), formulas, misses.reshape(-1, 60), 0.99)
     assert [(i.target, i.formula) for i in left] == [("c59", "c3 * c7")]
+
+
+@pytest.mark.parametrize("bin_rows", [50, 100_000])
+def test_area_under_the_curve_equals_all_pairs(spark, bin_rows, monkeypatch):
+    """Scores a rounding step apart, one score that a third of the rows share, zeros of both signs, infinities, gaps."""
+    monkeypatch.setattr(ev, "BIN_ROWS", bin_rows)
+    rng = np.random.default_rng(7)
+    s = np.concatenate([1 + rng.integers(0, 900, 900) * 2.0**-52, np.full(700, 0.5), rng.normal(size=500), [0.0, -0.0, np.inf, -np.inf] * 5])
+    y = rng.random(len(s)) < 0.3 + 0.2 * (s > 1 + 400 * 2.0**-52)
+    rows = [(float(a), bool(b)) for a, b in zip(s, y, strict=True)] + [(None, True), (0.1, None), (float("nan"), True)]
+    got = ev.roc_auc(spark.createDataFrame(rows, "s double, y boolean"), "y", "s").first().roc_auc
+    above, below = s[y][:, None], s[~y][None, :]
+    assert got == pytest.approx(((above > below) + 0.5 * (above == below)).mean(), abs=1e-12)
+    assert ev.roc_auc(spark.createDataFrame(rows[-3:], "s double, y boolean"), "y", "s").first().roc_auc is None
