@@ -3,7 +3,8 @@
 A fingerprint takes the majority, bit by bit, of the 64-bit hashes of a text's word shingles. Distinct fingerprints
 are dealt to the leaves of a vantage-point tree that is laid out on a bounded sample: a node parts points by their
 distance to its vantage point at a median; by the triangle inequality a point within ``distance`` of the border may
-have partners beyond it, so it visits that side's shard too. Each shard then finds its links with a tree of its own,
+have partners beyond it, so it visits that side's shard too. A shard's points and its visitors are cut into blocks that meet
+pair by pair, so that no task grows with the table. Each pair finds its links with a tree of its own,
 pruned by the same bound, and passes on one edge per member of a linked group, not all pairs. Groups that shards share
 are joined by repeated minimum labels.
 
@@ -30,6 +31,9 @@ SEED = 42  # of the shingle hash; part of the fingerprint's definition
 # The sample the shared tree is laid out on, and how many fingerprints a shard should hold.
 SAMPLE = 16_384
 SHARD = 65_536
+# Rows that a task deals out at a time, and the odd factor whose product's upper bits number the blocks.
+DEALT_ROWS = 200_000
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
 LEAF = 192  # points compared with one another without a further split
 
 
@@ -143,14 +147,15 @@ class Groups:
             self.up[max(a, b)] = min(a, b)
 
 
-def shard_links(points: np.ndarray, home: np.ndarray, distance: int, seed: int = 1) -> np.ndarray:
+def shard_links(points: np.ndarray, home: np.ndarray, distance: int, among: bool = True, seed: int = 1) -> np.ndarray:
     """The group of each point of a shard: places linked through pairs of which one is at home.
 
-    A tree over the shard, walked node by node with all points that may touch it, prunes by the triangle bound.
+    A tree over the points at home, walked node by node with all points that may touch it, prunes by the triangle
+    bound. Without ``among``, only visitors look for partners.
     """
     groups, rng = Groups(len(points)), np.random.default_rng(seed)
     # A node: the points to be found (at home) and all that look for them (at home or visiting).
-    todo = [(np.flatnonzero(home), np.arange(len(points)))]
+    todo = [(np.flatnonzero(home), np.arange(len(points)) if among else np.flatnonzero(~home))]
     while todo:
         held, looking = todo.pop()
         if not len(held) or not len(looking):
@@ -180,39 +185,89 @@ def shard_links(points: np.ndarray, home: np.ndarray, distance: int, seed: int =
     return np.array([groups.root(i) for i in range(len(points))], np.int64)
 
 
-def _dealer(shared):
+def block_pairs(points: np.ndarray, shard: np.ndarray, home: np.ndarray, at_home: np.ndarray, visiting: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Rows (place in ``points``, shard, block, part, at home) that deal a shard's points to tasks of bounded size.
+
+    A shard has ``at_home`` blocks of points and ``visiting`` ones of visitors, both by a hash. Part p below
+    ``visiting`` of a block holds its points and visitors p, and part 0 links the block's points among themselves too;
+    part ``visiting + b`` holds the points of two blocks, those of block b as visitors.
+    """
+    number = ((points * SPREAD) >> np.uint64(32)).astype(np.int64)
+    blocks, parts = at_home[shard], visiting[shard]
+    times = np.where(home, parts + blocks - 1, blocks)
+    row = np.repeat(np.arange(len(points)), times)
+    turn = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
+    number, blocks, parts, home, shard = number[row], blocks[row], parts[row], home[row], shard[row]
+    own = number % blocks
+    partner = turn - parts + (turn - parts >= own)  # of a point at home, beyond the parts with visitors
+    meets = home & (turn >= parts)
+    low, high = np.minimum(own, partner), np.maximum(own, partner)
+    block = np.where(meets, low, np.where(home, own, turn))
+    part = np.where(meets, parts + high, np.where(home, turn, number % parts))
+    return row, shard, block, part, home & (~meets | (own < partner))
+
+
+def _counter(shared):
+    """How many points a task deals to every shard, at home and visiting."""
+
+    def run(batches):
+        counts = np.zeros((shared.value.shards, 2), np.int64)
+        for pdf in batches:
+            _, shard, home = shared.value.deal(pdf["fp"].to_numpy(np.int64).view(np.uint64))
+            np.add.at(counts, (shard, home.astype(np.int64)), 1)
+        yield pd.DataFrame({"shard": np.arange(len(counts)), "visiting": counts[:, 0], "home": counts[:, 1]})
+
+    return run
+
+
+def _dealer(shared, blocks):
     def run(batches):
-        layout = shared.value
+        layout, (at_home, visiting) = shared.value, blocks.value
+        step = max(1, DEALT_ROWS // int((at_home + visiting).max(initial=1)))
         for pdf in batches:
             points = pdf["fp"].to_numpy(np.int64).view(np.uint64)
             rows, shard, home = layout.deal(points)
-            for at in range(0, len(rows), 100_000):
-                cut = slice(at, at + 100_000)
-                yield pd.DataFrame({"shard": shard[cut], "fp": points[rows[cut]].view(np.int64), "home": home[cut]})
+            for at in range(0, len(rows), step):
+                some = points[rows[at : at + step]]
+                row, *keys, held = block_pairs(some, shard[at : at + step], home[at : at + step], at_home, visiting)
+                yield pd.DataFrame({"fp": some[row].view(np.int64), **dict(zip(("shard", "block", "part"), keys, strict=True)), "home": held})
 
     return run
 
 
 def _linker(distance: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         points, home = pdf["fp"].to_numpy(np.int64), pdf["home"].to_numpy(bool)
-        root = shard_links(points.view(np.uint64), home, distance)
+        root = shard_links(points.view(np.uint64), home, distance, among=key[2] == 0)
         linked = root != np.arange(len(points))
         return pd.DataFrame({"fp": points[linked], "to": points[root[linked]]})
 
     return run
 
 
-def links(prints: DataFrame, distance: int = DISTANCE, sample: int = SAMPLE, shard: int = SHARD) -> DataFrame:
-    """Edges (fp, to) that connect distinct fingerprints exactly as all pairs within ``distance`` would."""
+def dealt(prints: DataFrame, distance: int = DISTANCE, sample: int = SAMPLE, shard: int = SHARD) -> DataFrame:
+    """(fp, shard, block, part, home): the distinct fingerprints in tasks of about ``shard`` points and as many visitors.
+
+    The tree is laid out on a bounded sample. However many points a shard gets, at home or visiting, they are cut into
+    blocks of that size which meet pair by pair.
+    """
     spark = prints.sparkSession
     n = prints.count()
-    # A bounded sample in hash order; more shards than the sample can lay out make the tree deeper only by its points.
     some = drawn(prints, F.xxhash64("fp"), sample).toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
-    layout = Layout(np.sort(some), math.ceil(n / shard) * 2, distance)
-    shared = spark.sparkContext.broadcast(layout)
-    dealt = prints.select("fp").mapInPandas(_dealer(shared), "shard int, fp long, home boolean")
-    return dealt.groupBy("shard").applyInPandas(_linker(distance), "fp long, to long")
+    shared = spark.sparkContext.broadcast(Layout(np.sort(some), math.ceil(n / shard) * 2, distance))
+    counted = prints.select("fp").mapInPandas(_counter(shared), "shard long, visiting long, home long")
+    sizes = counted.groupBy("shard").agg(F.sum("visiting").alias("visiting"), F.sum("home").alias("home")).toPandas()
+    at_home, visiting = np.ones(shared.value.shards, np.int64), np.ones(shared.value.shards, np.int64)
+    at_home[sizes["shard"]] = np.maximum(1, -(-sizes["home"].to_numpy() // shard))
+    visiting[sizes["shard"]] = np.maximum(1, -(-sizes["visiting"].to_numpy() // shard))
+    blocks = spark.sparkContext.broadcast((at_home, visiting))
+    return prints.select("fp").mapInPandas(_dealer(shared, blocks), "fp long, shard long, block long, part long, home boolean")
+
+
+def links(prints: DataFrame, distance: int = DISTANCE, sample: int = SAMPLE, shard: int = SHARD) -> DataFrame:
+    """Edges (fp, to) that connect distinct fingerprints exactly as all pairs within ``distance`` would."""
+    tasks = dealt(prints, distance, sample, shard).groupBy("shard", "block", "part")
+    return tasks.applyInPandas(_linker(distance), "fp long, to long")
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:

@@ -614,9 +614,42 @@ def test_trees_lose_no_pair(spark):
     one = simhash.shard_links(points, np.ones(len(points), bool), 4)
     assert one.tolist() == want
     frame = spark.createDataFrame([(int(p),) for p in points.view(np.int64)], "fp long")
-    edges = simhash.links(frame, 4, sample=500, shard=200).collect()
+    assert joined(points, simhash.links(frame, 4, sample=500, shard=200)) == want
+
+
+def joined(points, edges):
+    """The groups of all points that edges make."""
     place = {int(p): i for i, p in enumerate(points.view(np.int64))}
     groups = simhash.Groups(len(points))
-    for e in edges:
+    for e in edges.collect():
         groups.join(place[e.fp], place[e.to])
-    assert [groups.root(i) for i in range(len(points))] == want
+    return [groups.root(i) for i in range(len(points))]
+
+
+@pytest.mark.parametrize("sample, shard", [(8, 100), (500, 100), (60, 30)])
+def test_no_task_grows_with_the_table(spark, sample, shard):
+    """A sample that lays out few shards, and points that nearly all visit all of them: tasks stay small and lose no pair."""
+    rng = np.random.default_rng(8)
+    points = np.unique(np.concatenate([rng.integers(0, 2**63, 1500, dtype=np.uint64), np.arange(500, dtype=np.uint64) * np.uint64(977)]))
+    near = points[::7] ^ (np.uint64(1) << rng.integers(0, 63, len(points[::7])).astype(np.uint64)) ^ np.uint64(3)
+    points = np.unique(np.concatenate([points, near]))
+    frame = spark.createDataFrame([(int(p),) for p in points.view(np.int64)], "fp long")
+    tasks = simhash.dealt(frame, 4, sample=sample, shard=shard)
+    sizes = [r["count"] for r in tasks.groupBy("shard", "block", "part").count().collect()]
+    assert max(sizes) <= 2 * shard + 60 and len(sizes) > len(points) / shard
+    assert joined(points, simhash.links(frame, 4, sample=sample, shard=shard)) == slow_components([int(p) for p in points])
+
+
+def test_blocks_meet_once():
+    """Every pair of points of a shard, and every point with every visitor, share exactly one task that looks for it."""
+    rng = np.random.default_rng(9)
+    points = rng.integers(0, 2**63, 90, dtype=np.uint64)
+    home = np.arange(90) < 50
+    row, shard, block, part, held = simhash.block_pairs(points, np.zeros(90, np.int64), home, np.array([3]), np.array([4]))
+    met = Counter()
+    for key in set(zip(block.tolist(), part.tolist(), strict=True)):
+        here = (block == key[0]) & (part == key[1])
+        found = row[here & held]
+        looking = row[here] if key[1] == 0 else row[here & ~held]
+        met.update({(int(min(a, b)), int(max(a, b))) for a in found for b in looking if a != b})
+    assert met == Counter({(a, b): 1 for a, b in combinations(range(90), 2) if a < 50})
