@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalars import col
-from ..operators import quantiles
+from ..operators import quantiles, records
 from ..session import broadcast_if_small, one_row, staged
 
 REGRESSION = ("mean_absolute_error", "mean_squared_error", "median_absolute_error", "r2_score", "explained_variance")
@@ -164,6 +164,30 @@ def residual_outliers(df: DataFrame, truth: str, predicted: str, segment: str, l
     return scored.where(F.col("robust_z") > limit).drop("_med", "_dev", "_mad")
 
 
+def residual_causes(
+    df: DataFrame, truth: str, predicted: str, segment: str, ident: str, keys: Mapping[str, Sequence[str]], limit: float = 3.5
+) -> DataFrame:
+    """The rows of ``residual_outliers`` with ``record_id`` and ``copies``: is the bad error a record entered twice?
+
+    ``keys`` are natural keys by name, as in ``records.same_records``; all rows count as copies, also those without an answer.
+    """
+    flagged = staged(records.same_records(df, ident, keys), "records")
+    return residual_outliers(flagged, truth, predicted, segment, limit)
+
+
+def outliers_by_copies(df: DataFrame, odd: DataFrame, ident: str) -> DataFrame:
+    """Rows and residual outliers among repeated and single records, with the share of outliers in each.
+
+    ``df`` holds the flags of ``records.same_records``, ``odd`` is some of its rows; both are counted before they meet.
+    """
+    repeated = (F.col("copies") > 1).alias("repeated")
+    rows = df.where(F.col(f"`{ident}`").isNotNull()).groupBy(repeated).agg(F.count("*").alias("rows"))
+    bad = odd.where(F.col(f"`{ident}`").isNotNull()).groupBy(repeated).agg(F.count("*").alias("outliers"))
+    both = rows.join(F.broadcast(bad), "repeated", "left")  # two rows each
+    outliers = F.coalesce("outliers", F.lit(0))
+    return both.select("repeated", "rows", outliers.alias("outliers"), (outliers / F.col("rows")).alias("share"))
+
+
 def small_segments(df: DataFrame, segment: str, min_share: float = 0.02) -> DataFrame:
     """Rows per segment with an alarm on segments too small to draw conclusions from."""
     sizes = df.groupBy(segment).agg(F.count("*").alias("rows"))

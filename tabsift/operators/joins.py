@@ -36,3 +36,17 @@ def unmatched(left: DataFrame, right: DataFrame, left_key: str, right_key: str)
     """Left rows without a partner."""
     keys = right.select(F.col(right_key).alias(left_key))
     return left.join(keys, left_key, "left_anti")
+
+
+def lookup(rows: DataFrame, column: str, table: DataFrame, how: str = "inner", shares: int = 1_000) -> DataFrame:
+    """Rows beside their row of ``table``, which holds one row per value of ``column``; rows without a value are left out.
+
+    Values that hold over 1/``shares`` of the rows, which are fewer than ``shares`` whatever the size, meet their rows
+    by broadcast. No other value can fill a task of the shuffle that joins the rest.
+    """
+    known = rows.where(F.col(column).isNotNull())
+    total = known.agg(F.count("*")).scalar()
+    sizes = known.groupBy(column).agg(F.count("*").alias("_n"))
+    hot = F.broadcast(sizes.where(F.col("_n") * shares > total).select(column))
+    warm = known.join(hot, column, "left_semi").join(F.broadcast(table.join(hot, column, "left_semi")), column, how)
+    return warm.unionByName(known.join(hot, column, "left_anti").join(table, column, how))

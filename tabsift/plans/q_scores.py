@@ -7,6 +7,7 @@ from ..functions import scalars
 from ..functions.text_patterns import COMMERCIAL
 from ..modelling import evaluate as ev
 from ..modelling import inner_product, models, recommend, series, vectors
+from ..operators import records
 from ..operators.aggregates import profile_groups, union_all
 from ..session import one_row, spread, staged
 from .q_rules_audit import GOLD_SQL, gold
@@ -104,6 +105,60 @@ def residual_outliers(spark, sf_dir):
     )
 
 
+# --- odd rows that are records entered twice -------------------------------------
+
+RECORD_KEYS = {"buyer and day": ["buyer", "day"], "price and day": ["price", "day"]}
+RECORD_SQL = with_views(
+    "orders_copied",
+    """
+with p as (select x.id as a, y.id as b from orders_copied x join orders_copied y on x.buyer = y.buyer and x.day = y.day
+ union select x.id, y.id from orders_copied x join orders_copied y on x.price = y.price and x.day = y.day),
+reach as (select id, id as other from orders_copied union select r.id, p.b from reach r join p on r.other = p.a),
+flagged as (select o.*, f.record_id, f.copies from orders_copied o
+ join (select id, min(other) as record_id, count(*) as copies from reach group by 1) f using (id)),
+""",
+).replace("with ", "with recursive ", 1)
+ODD_SQL = """m as (select priority, avg(price) as predicted from flagged group by 1),
+r as (select f.*, price - predicted as residual from flagged f join m using (priority)),
+c as (select priority, quantile_disc(residual, 0.5) as med from r group by 1),
+d as (select r.*, abs(residual - med) as dev from r join c using (priority)),
+s as (select priority, quantile_disc(dev, 0.5) as mad from d group by 1),
+odd as (select d.*, 0.6745 * dev / mad as z from d join s using (priority) where 0.6745 * dev / mad > 3.5)
+"""
+
+
+def _priced(spark, sf_dir):
+    """Every order and its planted copies, with the mean price of its priority as the answer."""
+    rows = view(spark, sf_dir, "orders_copied", heavy=True)
+    means = rows.groupBy("priority").agg(F.avg("price").alias("predicted"))
+    return rows.join(means, "priority")
+
+
+@register("same_records", RECORD_SQL.rstrip().rstrip(",") + "\nselect id, record_id, copies from flagged")
+def same_records(spark, sf_dir):
+    return records.same_records(view(spark, sf_dir, "orders_copied", heavy=True), "id", RECORD_KEYS).select("id", "record_id", "copies")
+
+
+@register("residual_causes", RECORD_SQL + ODD_SQL + "select id, record_id, copies, round(z, 3) as z from odd")
+def residual_causes(spark, sf_dir):
+    odd = ev.residual_causes(_priced(spark, sf_dir), "price", "predicted", "priority", "id", RECORD_KEYS)
+    return odd.select("id", "record_id", "copies", F.round("robust_z", 3).alias("z"))
+
+
+@register(
+    "outliers_by_copies",
+    RECORD_SQL
+    + ODD_SQL
+    + """, n as (select copies > 1 as repeated, count(*) as rows from flagged group by 1),
+k as (select copies > 1 as repeated, count(*) as outliers from odd group by 1)
+select repeated, rows, coalesce(outliers, 0) as outliers, round(coalesce(outliers, 0) / rows, 6) as share from n left join k using (repeated)""",
+)
+def outliers_by_copies(spark, sf_dir):
+    flagged = staged(records.same_records(_priced(spark, sf_dir), "id", RECORD_KEYS), "records")
+    odd = ev.residual_outliers(flagged, "price", "predicted", "priority")
+    return ev.outliers_by_copies(flagged, odd, "id").withColumn("share", F.round("share", 6))
+
+
 # --- classification ----------------------------------------------------------
 
 

@@ -56,6 +56,12 @@ select p_partkey, p_brand,
   ' no ', p_brand,
   case when p_partkey % 4 = 0 then '' else concat(', uns ', cast(p_size * 3 as string), ' metros') end) as msg
 from {part}""",
+    "orders_copied": """
+select o_orderkey as id, o_custkey as buyer, o_orderdate as day, o_totalprice as price, o_orderpriority as priority from {orders}
+union all
+select o_orderkey + 1000000000000, o_custkey, o_orderdate, o_totalprice * 10, o_orderpriority from {orders} where o_orderkey % 40 = 7
+union all
+select o_orderkey + 2000000000000, null, o_orderdate, o_totalprice * 10, o_orderpriority from {orders} where o_orderkey % 80 = 7""",
     "label_text": """
 select l.doc_id, d.text, d.lang, d.n_chars, l.quality, l.toxic
 from {documents} d join {labels} l on d.doc_id = l.doc_id""",
