@@ -28,18 +28,18 @@ from ..operators.leakage import Feature, refuse_leaks
 from ..session import staged
 from . import evaluate as ev
 from .split import split
+from .target_encoding import FOLDS, MISSING, SMOOTHING, encoded, target_means
 
 REGRESSORS = ("LINEAR_REG", "BOOSTED_TREE_REGRESSOR", "RANDOM_FOREST_REGRESSOR")
 CLASSIFIERS = ("LOGISTIC_REG", "BOOSTED_TREE_CLASSIFIER", "RANDOM_FOREST_CLASSIFIER", "DNN_CLASSIFIER")
 UNSUPERVISED = ("KMEANS", "PCA")
 TREES = tuple(t for t in REGRESSORS + CLASSIFIERS if "TREE" in t or "FOREST" in t)
 
-# How categories become numbers, by name and never by their number: one slot each, or HASH_SLOTS hashed slots.
-ENCODINGS = ("one_hot", "hash")
+# How categories become numbers, by name and never by their number: one slot each, HASH_SLOTS hashed slots, or means of the answer.
+ENCODINGS = ("one_hot", "hash", "target")
 HASH_SLOTS = 1_024
 # Fixed value: numbers of clusters tried when none is given.
 CLUSTER_COUNTS = (3, 4, 5, 6, 8)
-MISSING = "__null__"
 
 
 class SchemaError(TypeError):
@@ -60,9 +60,11 @@ class Model:
     metrics: dict = field(default_factory=dict)
     attribution: list[tuple[str, float]] | None = None
     class_attribution: list[tuple] = field(default_factory=list)  # (class, feature, value)
+    unseen: dict[str, list[float]] = field(default_factory=dict)  # per target-encoded column the means of all rows
+    means: dict[str, DataFrame] = field(default_factory=dict)  # and its table of means per value
 
     def sidecar(self) -> dict:
-        keys = ("kind", "label", "features", "options", "classes", "slots", "metrics", "attribution", "class_attribution")
+        keys = ("kind", "label", "features", "options", "classes", "slots", "metrics", "attribution", "class_attribution", "unseen")
         return {k: getattr(self, k) for k in keys}
 
     def save(self, spark: SparkSession, path: str) -> None:
@@ -74,6 +76,8 @@ class Model:
         """
         version = f"v-{uuid.uuid4().hex}"
         self.pipeline.write().save(f"{path}/{version}/pipeline")
+        for i, c in enumerate(self.unseen):
+            self.means[c].write.parquet(f"{path}/{version}/means-{i}")
         text = spark.createDataFrame([(json.dumps(self.sidecar()),)], "value string")
         text.coalesce(1).write.text(f"{path}/{version}/sidecar")
         done = _commits(spark, path)
@@ -91,7 +95,8 @@ class Model:
             d[k] = [tuple(v) for v in d[k]]
         if d["attribution"] is not None:
             d["attribution"] = [tuple(v) for v in d["attribution"]]
-        return Model(pipeline=PipelineModel.load(f"{path}/pipeline"), **d)
+        means = {c: spark.read.parquet(f"{path}/means-{i}") for i, c in enumerate(d.get("unseen", {}))}
+        return Model(pipeline=PipelineModel.load(f"{path}/pipeline"), means=means, **d)
 
 
 COMMIT = "commit-"
@@ -145,21 +150,51 @@ def _kind_of(dtype: T.DataType) -> str:
     raise TypeError(f"a {dtype.simpleString()} column cannot be a feature; cast or drop it")
 
 
+def _encodings(df: DataFrame, names: Sequence[str], encoding: str | Mapping[str, str]) -> dict[str, str]:
+    """The encoding of every category column."""
+    cats = [c for c in names if _kind_of(df.schema[c].dataType) == "category"]
+    chosen = {c: encoding if isinstance(encoding, str) else encoding.get(c, "one_hot") for c in cats}
+    if unknown := set(chosen.values()) - set(ENCODINGS):
+        raise ValueError(f"an encoding is one of {ENCODINGS}, not {sorted(unknown)}")
+    return chosen
+
+
+def _answer_means(fit: DataFrame, label: str, classes: Sequence | None, columns: Sequence[str], o: Mapping):
+    """Training rows with out-of-fold means of the answer in ``_t_<column>``, the tables of means and the means of all rows.
+
+    A regressor has one mean, two classes the rate of the second, several the rates of all but the first. A row's fold
+    is drawn by its place and written with it. It must not follow from the row's values: if rows of one value and
+    answer shared a fold, the others would show the opposite answer.
+    """
+    folds, smoothing = o.get("target_folds", FOLDS), o.get("target_smoothing", SMOOTHING)
+    answer = F.col(f"`{label}`")
+    targets = [answer] if classes is None else [(answer == F.lit(c)).cast("double") for c in classes[1:]]
+    fold = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(folds))
+    fit = staged(fit.withColumn("_fold", fold), "folds")
+    over_all = fit.agg(*[F.avg(t.cast("double")) for t in targets]).first()
+    means, unseen, out = {}, {}, fit
+    for c in columns:
+        means[c] = staged(target_means(fit, c, targets, fold, folds, smoothing), "means")
+        unseen[c] = [float(v or 0.0) for v in over_all]
+        out = encoded(out, c, means[c], unseen[c], F.col("_fold"))
+    return staged(out.drop("_fold"), "encoded"), means, unseen
+
+
 def _prepare(df: DataFrame, names: Sequence[str], tree: bool, encoding: str | Mapping[str, str] = "one_hot") -> tuple[Pipeline, list[str]]:
     """Stages that turn columns into one vector, and the sources in vector order.
 
     Missing numbers become the column mean, missing categories their own
     category, missing arrays a row of missing numbers. Trees take category
     indices, the rest one slot per category; columns whose ``encoding`` is
-    ``hash`` share a fixed number of slots instead.
+    ``hash`` share a fixed number of slots instead, and those with ``target``
+    come with their means already joined.
     """
     kinds = {c: _kind_of(df.schema[c].dataType) for c in names}
     by = lambda k: [c for c in names if kinds[c] == k]
     numbers, flags, cats, arrays, vectors = by("number"), by("flag"), by("category"), by("array"), by("vector")
-    chosen = {c: encoding if isinstance(encoding, str) else encoding.get(c, "one_hot") for c in cats}
-    if unknown := set(chosen.values()) - set(ENCODINGS):
-        raise ValueError(f"an encoding is one of {ENCODINGS}, not {sorted(unknown)}")
-    hashed = [c for c in cats if chosen[c] == "hash"]
+    chosen = _encodings(df, names, encoding)
+    hashed, by_target = ([c for c in cats if chosen[c] == e] for e in ("hash", "target"))
+    cats = [c for c in cats if c not in by_target]
     listed = [c for c in cats if c not in hashed]
 
     sql = [f"cast(`{c}` as double) as `_n_{c}`" for c in numbers]
@@ -205,8 +240,8 @@ def _prepare(df: DataFrame, names: Sequence[str], tree: bool, encoding: str | Ma
         stages.append(Imputer(strategy="mean", inputCols=cells, outputCols=[f"_i{v}" for v in cells]))
         stages.append(VectorAssembler(inputCols=[f"_i{v}" for v in cells], outputCol=f"_o_{c}"))
         inputs.append(f"_o_{c}")
-    inputs += vectors
-    sources += hashed + arrays + vectors
+    inputs += [f"_t_{c}" for c in by_target] + vectors
+    sources += hashed + arrays + by_target + vectors
     stages.append(VectorAssembler(inputCols=inputs, outputCol="_features"))
     return Pipeline(stages=stages), sources
 
@@ -292,6 +327,10 @@ def train(
         if len(found) > most:
             raise ValueError(f"{label} has over {most} classes; allow more with max_classes")
         classes = sorted((r[0] for r in found), key=lambda v: (str(type(v)), v))
+    by_target = [c for c, e in _encodings(fit, names, options.get("encoding", "one_hot")).items() if e == "target"]
+    means, unseen = {}, {}
+    if by_target:
+        fit, means, unseen = _answer_means(fit, label, classes, by_target, options)
     prep_plan, sources = _prepare(fit, names, kind in TREES, options.get("encoding", "one_hot"))
     if kind == "DNN_CLASSIFIER":  # gradients need inputs of one scale
         prep_plan.setStages([*prep_plan.getStages(), StandardScaler(inputCol="_features", outputCol="_scaled", withMean=True, withStd=True)])
@@ -312,7 +351,7 @@ def train(
     pipeline = PipelineModel(stages=[*prep.stages, fitted])
     features = [(c, df.schema[c].dataType.simpleString()) for c in names]
     stored = {**options, "split_method": split_method, "seed": seed}
-    model = Model(kind, label, features, stored, pipeline, list(classes or []), slots)
+    model = Model(kind, label, features, stored, pipeline, list(classes or []), slots, unseen=unseen, means=means)
     model.metrics = evaluate(model, held).first().asDict()
     if global_explain:
         from . import explain
@@ -324,6 +363,8 @@ def train(
 
 
 def _train_unsupervised(df: DataFrame, kind: str, o: Mapping) -> Model:
+    if "target" in _encodings(df, df.columns, o.get("encoding", "one_hot")).values():
+        raise ValueError(f"{kind} has no answer to take means of")
     prep_plan, sources = _prepare(df, df.columns, False, o.get("encoding", "one_hot"))
     stages = list(prep_plan.getStages())
     column = "_features"
@@ -366,11 +407,13 @@ def check_schema(model: Model, df: DataFrame) -> None:
 def _scored(model: Model, df: DataFrame) -> DataFrame:
     """All input columns plus what the pipeline adds."""
     check_schema(model, df)
+    for c, known in model.unseen.items():
+        df = encoded(df, c, model.means[c], known)
     return model.pipeline.transform(df)
 
 
 def predict(model: Model, df: DataFrame, threshold: float | None = None) -> DataFrame:
-    """The input columns and the prediction; a lazy, map-only transform.
+    """The input columns and the prediction; a lazy transform, map-only unless a large table of target means is joined.
 
     Regression adds ``predicted_<label>``; classification also adds
     ``predicted_<label>_probs``, an array of (label, prob). ``threshold`` moves

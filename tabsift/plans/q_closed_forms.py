@@ -4,11 +4,12 @@ Linear fits have sums of squares, one yes/no feature has group means and rates,
 components of two columns follow from their covariance.
 """
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..modelling import evaluate as ev
-from ..modelling import arima, label_noise, models, search, series, vectors
+from ..modelling import arima, label_noise, models, search, series, target_encoding, vectors
 from ..modelling import scoreboard as sb
 from ..modelling.split import in_test
 from ..operators import audit, quantiles, rules
@@ -126,6 +127,45 @@ def wide_category_hashed(spark, sf_dir):
     return d.agg(F.first(F.lit(name)).alias("feature"), F.first(F.lit(slots)).alias("slots"), F.count("*").alias("rows"), wide)
 
 
+FOLD_SQL = """
+with d as (select cast(l_partkey as varchar) as value, l_orderkey % 5 as f, l_quantity as y from lineitem),
+g as (select f.f, avg(d.y) as m from (select distinct f from d) f join d on d.f <> f.f group by 1),
+c as (select value, f, count(*) as n, sum(y) as s from d group by 1, 2),
+t as (select value, sum(n) as n, sum(s) as s from c group by 1),
+e as (select c.value, c.f, (t.s - c.s + 10 * m) / (t.n - c.n + 10) as mean from c join t using (value) join g using (f))
+"""
+
+
+@register(
+    "target_means_by_fold",
+    FOLD_SQL + "select d.value, d.f as fold, count(*) as rows, round(avg(e.mean), 6) as mean, round(sum(d.y), 2) as total from d join e using (value, f) group by 1, 2",
+)
+def target_means_by_fold(spark, sf_dir):
+    """What every training row of a wide category is given: the mean over the other folds."""
+    d = table(spark, sf_dir, "lineitem", heavy=True).select("l_partkey", "l_quantity", (F.col("l_orderkey") % 5).alias("fold"))
+    means = staged(target_encoding.target_means(d, "l_partkey", [F.col("l_quantity")], F.col("fold"), 5, 10.0), "means")
+    rows = target_encoding.encoded(d, "l_partkey", means, [0.0], F.col("fold"))
+    out = rows.groupBy(F.col("l_partkey").cast("string").alias("value"), "fold")
+    mean = F.round(F.avg(vector_to_array("_t_l_partkey")[0]), 6)
+    return out.agg(F.count("*").alias("rows"), mean.alias("mean"), F.round(F.sum("l_quantity"), 2).alias("total"))
+
+
+WIDE_SQL = """
+with d as (select l_orderkey // 3 as k, l_returnflag = 'R' as y from lineitem), g as (select avg(cast(y as int)) as m from d),
+v as (select k, (sum(cast(y as int)) + 10 * m) / (count(*) + 10) as mean, count(*) as n from d, g group by k, m)
+select cast(k as varchar) as value, n as rows, round(mean, 6) as mean from v
+"""
+
+
+@register("target_means_of_model", WIDE_SQL)
+def target_means_of_model(spark, sf_dir):
+    """A boosted classifier over a category with more values than any tree could have bins; the means it predicts with."""
+    d = table(spark, sf_dir, "lineitem", heavy=True)
+    d = d.select(F.floor(F.col("l_orderkey") / 3).cast("string").alias("k"), (F.col("l_returnflag") == "R").alias("y"))
+    m = models.train(d, "BOOSTED_TREE_CLASSIFIER", "y", split_method="NONE", encoding={"k": "target"}, max_iterations=2, max_tree_depth=2)
+    return m.means["k"].select("value", "rows", F.round(F.get("means", F.lit(0)), 6).alias("mean"))
+
+
 # --- classifiers with one yes/no feature ------------------------------------------
 
 RATE = """
