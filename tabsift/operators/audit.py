@@ -23,7 +23,7 @@ def tail_alarm(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         *[f(c).alias(f"{c}_{n}") for c in columns for n, f in (("mean", F.avg), ("sd", F.stddev_samp), ("n", F.count))]
     )
     medians = one_row(quantiles.exact_columns(df, {c: c for c in columns}, 0.5))
-    wide = wide.withColumns({f"{c}_med": medians[c] for c in columns})
+    wide = wide.withColumns({f"{c}_med": medians[c].cast("double") for c in columns})
     mean, sd, med = (lambda c: F.col(f"{c}_mean")), (lambda c: F.col(f"{c}_sd")), (lambda c: F.col(f"{c}_med"))
     return _long(
         wide,

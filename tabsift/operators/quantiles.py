@@ -9,6 +9,7 @@ task ever sorts a whole column or a whole group.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -35,14 +36,29 @@ def _grid(x: Column) -> Column:
 
 
 def exact_columns(df: DataFrame, columns: dict[str, Column | str], prob: float, by: Sequence[str] = ()) -> DataFrame:
-    """The same quantile of several numeric columns, one row per group: two scans however many there are.
+    """The same quantile of several columns, each in its own type, one row per group that has any value.
 
-    Each row becomes one (name, value) per column, in the same pass.
+    Columns whose values fit one carrier without loss (whole numbers, dates and timestamps; floats; decimals of one
+    type) share two scans however many they are: each row becomes one (name, value) per column, in the same pass.
     """
-    pairs = F.array(*[F.struct(F.lit(n).alias("name"), col(x).cast("double").alias("value")) for n, x in columns.items()])
-    tall = df.select(*by, F.explode(pairs).alias("_p")).select(*by, F.col("_p.name").alias("_name"), F.col("_p.value").alias("_value"))
-    found = exact(tall, "_value", {"_q": prob}, by=[*by, "_name"])
-    return found.groupBy(*by).agg(*[F.max(F.when(F.col("_name") == n, F.col("_q"))).alias(n) for n in columns])
+    by, carriers = list(by), {}
+    for name, x in columns.items():
+        dtype = df.select(col(x).alias("_x")).schema["_x"].dataType
+        number, back = _numbered(dtype, col(x))
+        held = df.select(number.alias("_x")).schema["_x"].dataType
+        carrier = "bigint" if isinstance(held, T.IntegralType) else held.simpleString() if isinstance(held, T.DecimalType) else "double"
+        carriers.setdefault(carrier, []).append((name, number, lambda c, back=back, held=held, dtype=dtype: back(c.cast(held)).cast(dtype)))
+    parts = []
+    for carrier, members in carriers.items():
+        pairs = F.array(*[F.struct(F.lit(n).alias("name"), x.cast(carrier).alias("value")) for n, x, _ in members])
+        tall = df.select(*by, F.explode(pairs).alias("_p")).select(*by, F.col("_p.name").alias("_name"), F.col("_p.value").alias("_value"))
+        found = exact(tall, "_value", {"_q": prob}, by=[*by, "_name"])
+        parts.append(found.groupBy(*by).agg(*[back(F.max(F.when(F.col("_name") == n, F.col("_q")))).alias(n) for n, _, back in members]))
+    if len(parts) == 1:
+        return parts[0]
+    # A group that has values of one kind only is in one part.
+    whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return whole.groupBy(*by).agg(*[F.max(n).alias(n) for n in columns])
 
 
 def _numbered(dtype: T.DataType, x: Column):

@@ -127,6 +127,22 @@ def wide_category_hashed(spark, sf_dir):
     return d.agg(F.first(F.lit(name)).alias("feature"), F.first(F.lit(slots)).alias("slots"), F.count("*").alias("rows"), wide)
 
 
+@register(
+    "medians_in_own_types",
+    """
+select l_returnflag as flag, quantile_disc(l_orderkey * 1000003 + 9007199254740993, 0.5) as wide, quantile_disc(cast(l_shipdate as date), 0.5) as day,
+ quantile_disc(cast(l_extendedprice as decimal(30, 2)), 0.5) as price, quantile_disc(l_quantity, 0.5) as quantity
+from lineitem group by 1""",
+)
+def medians_in_own_types(spark, sf_dir):
+    """Whole numbers that doubles cannot hold, dates, decimals and doubles, together."""
+    d = table(spark, sf_dir, "lineitem", heavy=True).select(
+        F.col("l_returnflag").alias("flag"), (F.col("l_orderkey") * 1000003 + 9007199254740993).alias("wide"), F.col("l_shipdate").cast("date").alias("day"),
+        F.col("l_extendedprice").cast("decimal(30,2)").alias("price"), F.col("l_quantity").alias("quantity"),
+    )
+    return quantiles.exact_columns(d, {c: c for c in ("wide", "day", "price", "quantity")}, 0.5, by=["flag"])
+
+
 FOLD_SQL = """
 with d as (select cast(l_partkey as varchar) as value, l_orderkey % 5 as f, l_quantity as y from lineitem),
 g as (select f.f, avg(d.y) as m from (select distinct f from d) f join d on d.f <> f.f group by 1),
