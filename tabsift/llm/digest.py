@@ -6,9 +6,10 @@ by rarity. In each run of ``RUN`` neighbouring windows the rarest (then the left
 fingerprints are compared filter by filter: the common bits beyond those that chance explains, as a share of what
 would be possible, each filter of the shorter chain with its best partner in the other.
 
-Defined cases: a null or empty text has the empty fingerprint; a text shorter than a window is one feature; equal
-texts have equal fingerprints, equal fingerprints likeness 1; an empty one is unlike every other (0). Ids are whole
-numbers; documents without one come first, equal ids are ordered by text. The only document is its own successor.
+Defined cases: a null or empty text has the empty fingerprint; a text shorter than a window is one feature; a text
+whose windows all have little entropy has the rarest, then leftmost, of them; equal texts have equal fingerprints, equal
+fingerprints likeness 1; an empty one is unlike every other (0). Ids are whole numbers; documents without one come
+first, equal ids are ordered by text. The only document is its own successor.
 """
 
 from __future__ import annotations
