@@ -640,6 +640,24 @@ def test_no_task_grows_with_the_table(spark, sample, shard):
     assert joined(points, simhash.links(frame, 4, sample=sample, shard=shard)) == slow_components([int(p) for p in points])
 
 
+def test_large_ids_beside_a_missing_one(spark, make):
+    """Whole numbers that doubles cannot hold stay as they are, whatever other ids a batch has."""
+    least = 2**53 + 1
+    docs = make([(least, "one text of five words"), (least + 2, "one text of five words"), (None, "one text of five words"), (least + 4, "another")])
+    got = Counter((r.doc_id, r.component_id) for r in simhash.near_duplicates(docs.coalesce(1)).collect())
+    assert got == Counter([(least, least), (least + 2, least), (None, least), (least + 4, least + 4)])
+
+
+def test_points_are_dealt_once_per_band(spark):
+    """Five times the fingerprints make five times the rows, not their square."""
+    points = np.unique(np.random.default_rng(3).integers(0, 2**63, 10_000, dtype=np.uint64))
+    made = []
+    for some in (points[::5], points):
+        frame = spark.createDataFrame([(int(p),) for p in some.view(np.int64)], "fp long")
+        made.append(simhash.dealt(frame, 4, sample=500, shard=400).count())
+    assert made[1] <= 5.5 * made[0]
+
+
 def test_blocks_meet_once():
     """Every pair of points of a shard, and every point with every visitor, share exactly one task that looks for it."""
     rng = np.random.default_rng(9)
