@@ -192,6 +192,24 @@ def test_rankings_side_by_side(spark, homes):
     assert {r["feature"] for r in explain.compare_rankings(pair, spark).where("line_rank = 1 and wood_rank = 1").collect()} == {"area"}
 
 
+def test_search_sorts_only_what_may_be_among_the_best(monkeypatch):
+    """All pairs are compared, but only a few per query and part are ordered; ties go to the smaller identifier."""
+    rng = np.random.default_rng(2)
+    base, asked = rng.normal(size=(6_000, 8)), rng.normal(size=(50, 8))
+    base[5_000:5_010] = base[3]
+    base[7] = 0.0
+    sizes, lexsort = [], np.lexsort
+    monkeypatch.setattr(np, "lexsort", lambda keys, axis=-1: (sizes.append(np.size(keys[0])), lexsort(keys, axis=axis))[1])
+    parts = ((np.arange(a, a + 1_000), base[a : a + 1_000]) for a in range(0, 6_000, 1_000))
+    got = vectors._best(np.arange(50), asked, parts, 4, True)
+    assert sum(sizes) < 50 * 6_000 / 20
+    with np.errstate(all="ignore"):
+        s = (asked / np.linalg.norm(asked, axis=1, keepdims=True)) @ (base / np.linalg.norm(base, axis=1, keepdims=True)).T
+    for q in range(50):
+        want = sorted((-s[q, i], i) for i in range(6_000) if i not in (q, 7))[:4]
+        assert [i for _, i in want] == got[got["query"] == q]["neighbour"].tolist()
+
+
 def test_vector_search_in_blocks_equals_brute_force(spark, monkeypatch):
     rng = np.random.default_rng(0)
     v = rng.normal(size=(120, 8))
