@@ -210,6 +210,15 @@ def test_search_sorts_only_what_may_be_among_the_best(monkeypatch):
         assert [i for _, i in want] == got[got["query"] == q]["neighbour"].tolist()
 
 
+def test_parts_of_word_vectors_follow_the_text(spark, monkeypatch):
+    """A join is planned as the product of its sides; the parts are counted from the text itself."""
+    monkeypatch.setattr(vectors, "TRAIN_BYTES", 20_000)
+    d = spark.createDataFrame([(i, f"word{i % 7} other{i % 5} tail") for i in range(2_000)], "i long, text string")
+    both = d.join(d.select("i", F.col("text").alias("copy")).hint("merge"), "i")
+    parts = vectors.word_vectors(both, "text", dims=4).stages[-1].getOrDefault("numPartitions")
+    assert parts == 2_000 * len("word0 other0 tail") // 20_000
+
+
 def test_vector_search_in_blocks_equals_brute_force(spark, monkeypatch):
     rng = np.random.default_rng(0)
     v = rng.normal(size=(120, 8))
