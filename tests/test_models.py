@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tabsift import session
 from tabsift.modelling import explain, models, recommend, scoreboard, series, vectors
 from tabsift.modelling.split import split
 from tabsift.modelling.workbench import Workbench
@@ -210,6 +211,15 @@ def test_search_sorts_only_what_may_be_among_the_best(monkeypatch):
         assert [i for _, i in want] == got[got["query"] == q]["neighbour"].tolist()
 
 
+def test_no_task_holds_more_rows_than_a_staged_file(spark, monkeypatch):
+    """Rows that compress to next to nothing, in one task: they are read back in parts of bounded size, none lost."""
+    monkeypatch.setattr(session, "FILE_ROWS", 1_000)
+    back = session.staged(spark.range(0, 40_000, 1, 8).coalesce(1).selectExpr("id % 3 as i", "id"), "rows")
+    sizes = [r["count"] for r in back.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 40_000 and max(sizes) <= 2_000
+    assert back.agg(F.count_distinct("id")).first()[0] == 40_000
+
+
 def test_parts_of_word_vectors_follow_the_text(spark, monkeypatch):
     """A join is planned as the product of its sides; the parts are counted from the text itself."""
     monkeypatch.setattr(vectors, "TRAIN_BYTES", 20_000)
