@@ -75,16 +75,29 @@ class Ensemble:
         return sum((leaf.value * leaf.shares.prod() for leaf in self.leaves), np.zeros(self.outputs))
 
     def values(self, x: np.ndarray) -> np.ndarray:
-        """rows x outputs x players, for rows of the used slots."""
+        """rows x outputs x players, for rows of the used slots; rows that answer all splits alike share their values."""
         place = {s: i for i, s in enumerate(self.slots)}
-        left = [s.goes_left(x[:, place[s.slot]]) for s in self.splits]
-        out = np.zeros((len(x), self.outputs, len(self.players)))
+        if not self.splits or not len(x):
+            return np.zeros((len(x), self.outputs, len(self.players)))
+        left = np.array([s.goes_left(x[:, place[s.slot]]) for s in self.splits])
+        at = np.zeros(len(x), np.int64)  # the number of each row's pattern, 32 splits at a time
+        for i in range(0, len(left), 32):
+            code = sum(side.astype(np.int64) << j for j, side in enumerate(left[i : i + 32]))
+            part, several = pd.factorize(code)
+            at = pd.factorize(at * len(several) + part)[0]
+        first = np.unique(at, return_index=True)[1]
+        return self._of_answers(left[:, first])[at]
+
+    def _of_answers(self, left: np.ndarray) -> np.ndarray:
+        """patterns x outputs x players, for patterns of splits x whether they go left."""
+        n = left.shape[1]
+        out = np.zeros((n, self.outputs, len(self.players)))
         for leaf in self.leaves:
             if not leaf.players:
                 continue
-            code = np.zeros(len(x), np.int64)
+            code = np.zeros(n, np.int64)
             for j, steps in enumerate(leaf.steps):
-                stays = np.ones(len(x), bool)
+                stays = np.ones(n, bool)
                 for split, goes_left in steps:
                     stays &= left[split] if goes_left else ~left[split]
                 code |= stays.astype(np.int64) << j
@@ -177,7 +190,7 @@ def row_values(scored: DataFrame, ensemble: Ensemble, keep: list[str]) -> DataFr
         model = sent.value
         for pdf in batches:
             found = model.values(_stacked(pdf.pop("_used"), len(model.slots)))
-            pdf["_values"] = [[list(v) for v in row] for row in found]
+            pdf["_values"] = found.tolist()
             yield pdf
 
     rows = scored.select(*[F.col(f"`{c}`") for c in keep], _used(ensemble).alias("_used"))

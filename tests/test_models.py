@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabsift import session
-from tabsift.modelling import explain, models, recommend, scoreboard, series, vectors
+from tabsift.modelling import explain, models, recommend, scoreboard, series, trees, vectors
 from tabsift.modelling.split import split
 from tabsift.modelling.workbench import Workbench
 from tabsift.operators import rules
@@ -211,6 +211,17 @@ def test_search_sorts_only_what_may_be_among_the_best(monkeypatch):
         assert [i for _, i in want] == got[got["query"] == q]["neighbour"].tolist()
 
 
+def test_values_are_worked_out_once_per_pattern(monkeypatch):
+    """Rows that answer every split alike are one pattern, whatever their number."""
+    leaf = lambda share, value, left: trees.Leaf([0], np.array([share]), [[(0, left)]], np.array([value]))
+    model = trees.Ensemble(["a", "b"], 1, [0], [trees.Split(0, 0.5, ())], [leaf(0.25, 8.0, True), leaf(0.75, 4.0, False)])
+    asked, of_answers = [], trees.Ensemble._of_answers
+    monkeypatch.setattr(trees.Ensemble, "_of_answers", lambda self, left: (asked.append(left.shape), of_answers(self, left))[1])
+    x = np.array([[0.0], [1.0]] * 500)
+    assert model.values(x).tolist() == [[[3.0, 0.0]], [[-1.0, 0.0]]] * 500 and asked == [(1, 2)]
+    assert model.values(x[:0]).shape == (0, 1, 2) and trees.Ensemble(["a"], 1).values(x).shape == (1000, 1, 1)
+
+
 def test_no_task_holds_more_rows_than_a_staged_file(spark, monkeypatch):
     """Rows that compress to next to nothing, in one task: they are read back in parts of bounded size, none lost."""
     monkeypatch.setattr(session, "FILE_ROWS", 1_000)
