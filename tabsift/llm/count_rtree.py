@@ -8,9 +8,9 @@ has a signature per class, for its own band of sizes and for the next smaller on
 
 Among nodes that share a signature, links are found in two ways. Two rounds compare every node with one pivot per
 signature, which joins the bulk of any large group of copies in linear work. What is left are signatures that still hold
-several components: their nodes go to shards, each with an R-tree over the points at home, laid out by size and
-widest coordinate; a node of the tree is left aside if the minima with its largest counts cannot reach the overlap
-wanted. Only pairs of different components come out. All pairs found either way are verified on whole shingle sets.
+several components: those of one smallest component are taken together where they fit, and their nodes go to shards,
+each with an R-tree over the points at home, laid out by size and widest coordinate; a node of the tree is left aside
+if the minima with its largest counts cannot reach the overlap wanted. Only pairs of different components come out. All pairs found either way are verified on whole shingle sets.
 A signature with many nodes is split: chunks of points at home, met by blocks of those outside its largest component.
 
 Defined cases: null, empty and blank texts have an empty set, are linked with nothing and are their own component;
@@ -250,7 +250,7 @@ class Join:
         )
         signed = self.nodes.select(F.explode("marks").alias("mark"), "node")
         shared = signed.groupBy("mark").agg(F.count("*").alias("_n")).filter("_n > 1").select("mark")
-        self.members = stage(signed.join(shared, "mark", "left_semi"), "members")
+        self.members = stage(self.unrepeated(stage(signed.join(shared, "mark", "left_semi"), "shared")), "members")
         wanted = stage(self.members.select("node").distinct().join(self.nodes.select("node", "a", "b", "rep"), "node"), "wanted")
         reps = broadcast_if_small(wanted.select("rep").distinct())
         texts = body.join(reps, body["key"].eqNullSafe(reps["rep"]), "left_semi").select("body")
@@ -258,6 +258,16 @@ class Join:
         self.sets = stage(hashed.join(wanted.select("node", "a", "b"), ["a", "b"]).select("node", "hashes").dropDuplicates(["node"]), "sets")
         self.cards = self.nodes.select("node", "n", "counts")
 
+    @staticmethod
+    def unrepeated(rows: DataFrame) -> DataFrame:
+        """(mark, node) with one signature for each set of nodes: the others would only bring the same pairs again.
+
+        Alike long sets share hundreds of signatures, nearly all of them with the same nodes. 128 bits name a set of nodes.
+        """
+        name = [F.bit_xor(F.xxhash64("node", F.lit(salt))).alias(f"_{salt}") for salt in (0, 1)]
+        one = rows.groupBy("mark").agg(F.count("*").alias("_n"), *name).groupBy("_n", "_0", "_1").agg(F.min("mark").alias("mark"))
+        return rows.join(one.select("mark"), "mark", "left_semi")
+
     def verified(self, pairs: DataFrame, bounded: bool = False) -> DataFrame:
         """Of distinct pairs (x, y) those that are linked."""
         if not bounded:
@@ -290,16 +300,27 @@ class Join:
         x, y = F.least("node", "pivot.node").alias("x"), F.greatest("node", "pivot.node").alias("y")
         return self.verified(pairs.select(x, y).distinct())
 
+    def cells(self, rows: DataFrame) -> DataFrame:
+        """(cell, node, label): the signatures of one smallest component as one cell, if it fits a shard, else each its own.
+
+        Two nodes share many signatures; in a cell they meet once, not once per signature.
+        """
+        rows = rows.join(rows.groupBy("mark").agg(F.min("label").alias("_least")), "mark")
+        whole = rows.select("_least", "node").distinct().groupBy("_least").agg(F.count("*").alias("_n"))
+        cell = F.when(F.col("_n") <= self.shard, F.col("_least")).otherwise(F.col("mark")).alias("cell")
+        return stage(rows.join(whole, "_least").select(cell, "node", "label").distinct(), "cells")
+
     def rest(self, rows: DataFrame) -> DataFrame:
         """Links between the components that still meet in a signature, through R-trees."""
-        per_label = rows.groupBy("mark", "label").agg(F.count("*").alias("n"))
-        sizes = per_label.groupBy("mark").agg(F.sum("n").alias("held"), F.max_by("label", F.struct("n", "label")).alias("main"), F.max("n").alias("most"))
+        rows = self.cells(rows)
+        per_label = rows.groupBy("cell", "label").agg(F.count("*").alias("n"))
+        sizes = per_label.groupBy("cell").agg(F.sum("n").alias("held"), F.max_by("label", F.struct("n", "label")).alias("main"), F.max("n").alias("most"))
         sizes = stage(sizes, "sizes")
         total = sizes.agg(F.sum(F.when(F.col("held") <= self.shard, F.col("held")))).first()[0] or 0
-        rows = rows.join(sizes, "mark").join(self.cards.select("node", "counts"), "node")
+        rows = rows.join(sizes, "cell").join(self.cards.select("node", "counts"), "node")
         fields = ["node", "label", "counts"]
         few = rows.filter(F.col("held") <= self.shard).select(
-            F.pmod(F.xxhash64("mark"), F.lit(max(1, total // self.shard))).alias("s"), F.lit(-1).cast("long").alias("c"), F.lit(-1).cast("long").alias("v"),
+            F.pmod(F.xxhash64("cell"), F.lit(max(1, total // self.shard))).alias("s"), F.lit(-1).cast("long").alias("c"), F.lit(-1).cast("long").alias("v"),
             *fields, F.lit(True).alias("home"), F.lit(True).alias("away"),
         )
         many = rows.filter(F.col("held") > self.shard)
@@ -310,7 +331,7 @@ class Join:
         visits = many.filter(F.col("label") != F.col("main")).withColumn("v", dealt(blocks, 2)).withColumn("c", place(chunks))
         sides = [few]
         for side, home in ((at_home, True), (visits, False)):
-            sides.append(side.select(F.col("mark").alias("s"), "c", "v", *fields, F.lit(home).alias("home"), F.lit(not home).alias("away")))
+            sides.append(side.select(F.col("cell").alias("s"), "c", "v", *fields, F.lit(home).alias("home"), F.lit(not home).alias("away")))
         dealt_out = sides[0].unionByName(sides[1]).unionByName(sides[2])
         pairs = dealt_out.groupBy("s", "c", "v").applyInPandas(_tree_pairs(self.percent), "x long, y long")
         return self.verified(stage(pairs, "pairs").distinct(), bounded=True)

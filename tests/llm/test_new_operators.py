@@ -182,6 +182,23 @@ def test_links_without_pivots_and_with_split_signatures(make, monkeypatch):
     check_linked(make(data), shard=16)
 
 
+def test_a_pair_does_not_come_out_once_per_signature(make, monkeypatch):
+    rng = random.Random(14)
+    base = prose(78, 400, 5000).split()
+    stars, stage, made = count_rtree.Join.star, count_rtree.stage, {}
+
+    def counted(df, label):
+        out = stage(df, label)
+        made[label] = (out.count(), out.distinct().count()) if label == "pairs" else None
+        return out
+
+    monkeypatch.setattr(count_rtree.Join, "star", lambda self, rows, turn: stars(self, rows, turn).limit(0))
+    monkeypatch.setattr(count_rtree, "stage", counted)
+    check_linked(make([(i, variant(base, rng, 4)) for i in range(24)]), shard=32)
+    rows_made, pairs = made["pairs"]
+    assert pairs > 200 and rows_made < 4 * pairs
+
+
 def test_links_of_odd_and_empty_tables(odd, nothing):
     check_linked(odd)
     assert rows(count_rtree.linked(nothing)) == []
