@@ -276,7 +276,8 @@ def identity_search(
         misses = np.zeros(len(formulas) * len(names), np.int64)
         misses[found["place"].to_numpy()] = found["misses"].to_numpy()
         left = _survivors(names, filled, formulas, misses.reshape(len(formulas), len(names)), min_share)
-    counted = numbers.mapInArrow(_counter(left, tolerance), "formula int, hits bigint, seen bigint") if left else None
+    asked = [c for c in names if any(c in (i.target, i.a, i.b) for i in left)]  # no other column leaves the JVM
+    counted = numbers.select(*asked).mapInArrow(_counter(left, tolerance), "formula int, hits bigint, seen bigint") if left else None
     totals = counted.groupBy("formula").agg(F.sum("hits").alias("hits"), F.sum("seen").alias("seen")).collect() if left else []
     rows = [
         (left[r.formula].target, left[r.formula].formula, r.seen, round(100.0 * r.hits / r.seen, 2))

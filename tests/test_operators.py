@@ -432,6 +432,29 @@ def test_identity_search_over_nothing(spark):
     assert profiler.identity_search(spark.createDataFrame([(1.0, 2)], "a double, b int"), ["a", "b"]).collect() == []
 
 
+def test_identity_search_counts_on_the_columns_left_only(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    cols = {f"c{i}": rng.random(2000) * 1000 for i in range(8)}
+    cols["sum"] = cols["c2"] + cols["c5"]
+    df = spark.createDataFrame([tuple(map(float, r)) for r in np.column_stack(list(cols.values()))], ", ".join(f"{c} double" for c in cols))
+    whole = profiler._counter
+
+    def counter(left, tolerance):
+        run = whole(left, tolerance)
+
+        def checked(batches):
+            for batch in batches:
+                assert batch.schema.names == ["c2", "c5", "sum"]
+                yield from run([batch])
+
+        return checked
+
+    monkeypatch.setattr(profiler, "_counter", counter)
+    found = profiler.identity_search(df, list(cols), probe_share=1.0).collect()
+    assert {(r.target, r.formula) for r in found} == {("sum", "c2 + c5"), ("c2", "sum - c5"), ("c5", "sum - c2")}
+    assert {r.rows for r in found} == {2000}
+
+
 def test_identity_probe_rules_out_all_but_few(spark):
     """Sixty columns: of 410,640 formulas only a few are left to count."""
     n, rng = 2000, np.random.default_rng(5)
