@@ -10,8 +10,9 @@ Among nodes that share a signature, links are found in two ways. Two rounds comp
 signature, which joins the bulk of any large group of copies in linear work. What is left are signatures that still hold
 several components: those of one smallest component are taken together where they fit, and their nodes go to shards,
 each with an R-tree over the points at home, laid out by size and widest coordinate; a node of the tree is left aside
-if the minima with its largest counts cannot reach the overlap wanted. Only pairs of different components come out. All pairs found either way are verified on whole shingle sets.
-A signature with many nodes is split: chunks of points at home, met by blocks of those outside its largest component.
+if the minima with its largest counts cannot reach the overlap wanted. Only pairs of different components come out. All
+pairs found either way are verified on whole shingle sets. A signature with many nodes is split: chunks of points at
+home, met by blocks of those outside its largest component.
 
 Defined cases: null, empty and blank texts have an empty set, are linked with nothing and are their own component;
 texts of fewer words than a shingle are one shingle; documents without an id get no say in the smallest id, and a
