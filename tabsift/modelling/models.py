@@ -6,7 +6,9 @@ import json
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -310,16 +312,88 @@ def train(
     kind = model_type.upper()
     if kind in UNSUPERVISED:
         return _train_unsupervised(staged(df, "training") if stage else df, kind, options)
+    rows = _labelled(df, label, split_column, catalog, stage)
+    fit, held = split(rows, split_method, options.get("seed", 42), split_column)
+    if split_column in fit.columns:  # never a feature
+        fit, held = fit.drop(split_column), held.drop(split_column)
+    model = _train_on(rows, fit, held, kind, label, [options], split_method)[0]
+    if global_explain:
+        from . import explain
+
+        found = explain.outputs(model, held)
+        model.attribution = explain.ranked(model, found)
+        model.class_attribution = explain.ranked_by_class(model, found) if model.classes else []
+    return model
+
+
+def train_each(
+    fit: DataFrame, held: DataFrame, model_type: str, label: str, variants: Sequence[Mapping], *,
+    rows: DataFrame | None = None, split_method: str = "NONE", parallel: int = 1,
+) -> list[Model]:
+    """Supervised models of one type that differ in their options: trained on the rows ``fit``, measured on the rows ``held``.
+
+    They are what ``train`` makes of each variant, in the same order. Both sides are cut from a written table; a classifier
+    knows the answers found in ``rows``, or else in ``fit``. Rows are prepared once for all variants, and one written
+    table holds the answers of all regressors. ``parallel`` fits run at a time.
+    """
+    fit, held, rows = (_labelled(part, label, None, None, False) for part in (fit, held, fit if rows is None else rows))
+    return _train_on(rows, fit, held, model_type.upper(), label, variants, split_method, parallel)
+
+
+def _labelled(df: DataFrame, label: str | None, split_column: str | None, catalog: Mapping[str, Feature] | None, stage: bool) -> DataFrame:
     if label is None or label not in df.columns:
         raise ValueError("a supervised model needs its label column among the training columns")
-    names = [c for c in df.columns if c not in (label, split_column)]
     if catalog:
-        refuse_leaks(names, label, catalog)
+        refuse_leaks([c for c in df.columns if c not in (label, split_column)], label, catalog)
     rows = df.where(F.col(f"`{label}`").isNotNull())
-    rows = staged(rows, "training") if stage else rows
-    seed = options.get("seed", 42)
-    fit, held = split(rows, split_method, seed, split_column)
+    return staged(rows, "training") if stage else rows
 
+
+def _train_on(
+    rows: DataFrame, fit: DataFrame, held: DataFrame, kind: str, label: str, variants: Sequence[Mapping], split_method: str, parallel: int = 1
+) -> list[Model]:
+    """A model per variant. Variants that prepare their rows alike share the prepared rows and their passes.
+
+    Trees read them three times before they keep points of their own, so rows for trees or for several fits are kept on
+    the executors' disks: in their partitions, as seeded draws depend on those.
+    """
+    spark, out = fit.sparkSession, {}
+    for alike in _alike(variants):
+        ready, fitted = _ready(rows, fit, kind, label, variants[alike[0]])
+        several = len(alike) > 1
+        if several or kind in TREES:
+            ready = ready.persist(StorageLevel.DISK_ONLY)
+        try:
+            if several:  # before fits that run side by side each begin to
+                ready.count()
+            with ThreadPool(min(parallel, len(alike))) as pool:
+                fits = pool.map(inheritable_thread_target(spark)(lambda i: fitted(ready, variants[i], split_method)), alike)
+        finally:
+            ready.unpersist()
+        for i, model, metrics in zip(alike, fits, _metrics_of(fits, held, parallel), strict=True):
+            model.metrics, out[i] = metrics, model
+    return [out[i] for i in range(len(variants))]
+
+
+# Options that the preparation of the rows depends on.
+PREPARING = ("encoding", "target_folds", "target_smoothing", "auto_class_weights", "max_classes")
+
+
+def _alike(variants: Sequence[Mapping]) -> list[list[int]]:
+    """Places of the variants, those that prepare their rows alike together."""
+    groups: list[list[int]] = []
+    for i, o in enumerate(variants):
+        same = next((g for g in groups if all(variants[g[0]].get(k) == o.get(k) for k in PREPARING)), None)
+        if same is None:
+            groups.append(same := [])
+        same.append(i)
+    return groups
+
+
+def _ready(rows: DataFrame, fit: DataFrame, kind: str, label: str, options: Mapping):
+    """The rows ``fit`` as vectors and answers, and the way from there to a fitted model."""
+    names = [c for c in fit.columns if c != label]
+    features = [(c, fit.schema[c].dataType.simpleString()) for c in names]
     classes = None
     if kind in CLASSIFIERS:
         most = options.get("max_classes", 1_000)
@@ -346,20 +420,30 @@ def train(
         labelled = labelled.withColumn("_weight", weight)
     keep = ["_scaled" if kind == "DNN_CLASSIFIER" else "_features", "_label"]
     keep += ["_weight"] if "_weight" in labelled.columns else []
-    ready = prep.transform(labelled).select(*keep)
-    fitted = _estimator(kind, options, len(classes or []), sum(n for _, n in slots), bins).fit(ready)
-    pipeline = PipelineModel(stages=[*prep.stages, fitted])
-    features = [(c, df.schema[c].dataType.simpleString()) for c in names]
-    stored = {**options, "split_method": split_method, "seed": seed}
-    model = Model(kind, label, features, stored, pipeline, list(classes or []), slots, unseen=unseen, means=means)
-    model.metrics = evaluate(model, held).first().asDict()
-    if global_explain:
-        from . import explain
 
-        found = explain.outputs(model, held)
-        model.attribution = explain.ranked(model, found)
-        model.class_attribution = explain.ranked_by_class(model, found) if classes else []
-    return model
+    def fitted(ready: DataFrame, options: Mapping, split_method: str) -> Model:
+        last = _estimator(kind, options, len(classes or []), sum(n for _, n in slots), bins).fit(ready)
+        pipeline = PipelineModel(stages=[*prep.stages, last])
+        stored = {**options, "split_method": split_method, "seed": options.get("seed", 42)}
+        return Model(kind, label, features, stored, pipeline, list(classes or []), slots, unseen=unseen, means=means)
+
+    return prep.transform(labelled).select(*keep), fitted
+
+
+def _metrics_of(models: Sequence[Model], held: DataFrame, parallel: int) -> list[dict]:
+    """Metrics of models with the same preparation; the answers of regressors come from one pass over the rows."""
+    first, spark = models[0], held.sparkSession
+    if len(models) == 1 or first.kind not in REGRESSORS:
+        measured, jobs = (lambda m: evaluate(m, held)), models
+    else:
+        *prep, _ = first.pipeline.stages
+        out = PipelineModel(stages=prep).transform(_known(first, held))
+        for i, m in enumerate(models):
+            out = m.pipeline.stages[-1].transform(out).withColumnRenamed("prediction", f"_p{i}")
+        answers = staged(out.select(F.col(f"`{first.label}`").alias("y"), *[f"_p{i}" for i in range(len(models))]), "scored")
+        measured, jobs = (lambda p: ev.regression_metrics(answers, "y", p)), [f"_p{i}" for i in range(len(models))]
+    with ThreadPool(min(parallel, len(jobs))) as pool:
+        return pool.map(inheritable_thread_target(spark)(lambda job: measured(job).first().asDict()), jobs)
 
 
 def _train_unsupervised(df: DataFrame, kind: str, o: Mapping) -> Model:
@@ -404,12 +488,17 @@ def check_schema(model: Model, df: DataFrame) -> None:
             raise SchemaError(f"column {name} is {have[name]}, the model was trained on {dtype}")
 
 
-def _scored(model: Model, df: DataFrame) -> DataFrame:
-    """All input columns plus what the pipeline adds."""
+def _known(model: Model, df: DataFrame) -> DataFrame:
+    """Rows that the pipeline takes: their schema is checked, and means of the answer are joined."""
     check_schema(model, df)
     for c, known in model.unseen.items():
         df = encoded(df, c, model.means[c], known)
-    return model.pipeline.transform(df)
+    return df
+
+
+def _scored(model: Model, df: DataFrame) -> DataFrame:
+    """All input columns plus what the pipeline adds."""
+    return model.pipeline.transform(_known(model, df))
 
 
 def predict(model: Model, df: DataFrame, threshold: float | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import staged
 from . import evaluate as ev
-from .models import CLUSTER_COUNTS, REGRESSORS, Model, evaluate, predict, train
+from .models import CLUSTER_COUNTS, REGRESSORS, Model, evaluate, predict, train, train_each
 from .split import split as _split
 
 
@@ -60,9 +60,13 @@ def ablate(
 
 
 def seed_spread(df: DataFrame, label: str, kind: str, seeds: Sequence[int], split_method: str = "AUTO", **options) -> DataFrame:
-    """Lowest and highest value of each metric over repeated trainings on one split."""
+    """Lowest and highest value of each metric over repeated trainings on one split.
+
+    Every training takes the same prepared rows, and the hold-out is read once for all models.
+    """
     fit, held = split(df, split_method)
-    rows = [(str(s), evaluate(train(fit, kind, label, split_method="NONE", stage=False, seed=s, **options), held).first().asDict()) for s in seeds]
+    models = train_each(fit, held, kind, label, [{**options, "seed": s} for s in seeds])
+    rows = [(str(s), m.metrics) for s, m in zip(seeds, models, strict=True)]
     return _long(df.sparkSession, rows).groupBy("metric").agg(
         F.count("value").alias("runs"), F.min("value").alias("low"), F.max("value").alias("high")
     )

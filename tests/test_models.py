@@ -193,6 +193,25 @@ def test_rankings_side_by_side(spark, homes):
     assert {r["feature"] for r in explain.compare_rankings(pair, spark).where("line_rank = 1 and wood_rank = 1").collect()} == {"area"}
 
 
+def test_seeds_share_the_prepared_rows_and_the_hold_out(homes, monkeypatch):
+    """Two seeds prepare the rows once, write one table of answers, and find what models trained alone find."""
+    prepared, prepare, written, stage = [], models._prepare, [], models.staged
+    monkeypatch.setattr(models, "_prepare", lambda *a: (prepared.append(1), prepare(*a))[1])
+    monkeypatch.setattr(models, "staged", lambda df, label: (written.append(label), stage(df, label))[1])
+    options = {"max_iterations": 2, "subsample": 0.5}
+    cut = split(session.staged(homes, "compared"))
+    monkeypatch.setattr(scoreboard, "split", lambda *a: cut)
+    found = scoreboard.seed_spread(homes, "price", "BOOSTED_TREE_REGRESSOR", [1, 2], **options).collect()
+    assert len(prepared) == 1 and written == ["scored"]
+    fit, held = cut
+    alone = [models.train(fit, "BOOSTED_TREE_REGRESSOR", "price", split_method="NONE", stage=False, seed=s, **options) for s in (1, 2)]
+    metrics = [models.evaluate(m, held).first().asDict() for m in alone]
+    assert metrics[0] != metrics[1] and {r["metric"] for r in found} == set(metrics[0])
+    for r in found:
+        values = [m[r["metric"]] for m in metrics]
+        assert (r["runs"], r["low"], r["high"]) == (2, pytest.approx(min(values)), pytest.approx(max(values)))
+
+
 def test_search_sorts_only_what_may_be_among_the_best(monkeypatch):
     """All pairs are compared, but only a few per query and part are ordered; ties go to the smaller identifier."""
     rng = np.random.default_rng(2)
