@@ -2,7 +2,7 @@
 
 Rows are dealt once, by a hash, to folds and to nested samples: a row of a small sample is in every larger one. In each
 round all candidates left are trained and scored fold by fold on the round's sample, several at a time as Spark jobs
-of their own; the best share of them goes on to a sample that is as many times larger. The last round uses all rows.
+of their own, on rows prepared once per fold; the best share of them goes on to a sample that is as many times larger. The last round uses all rows.
 
 Defined cases: rows without a label are left out; equal scores are settled by the order of the grid; a grid of one
 candidate is scored on all rows at once; a score that does not exist (one class in a fold) counts as the lowest.
@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import staged
-from .models import REGRESSORS, Model, train
+from .models import REGRESSORS, Model, train_each
+from .split import split
 
 # Rows that the smallest sample should have.
 LEAST_ROWS = 10_000
@@ -76,18 +77,19 @@ def halving_search(
     plan = [(len(tried), 1.0)] if full else schedule(len(tried), rows.count(), keep, least)
     trials: list[Trial] = []
 
-    def score(job: tuple[dict, float, int]) -> float:
-        options, share, fold = job
+    def scores(job: tuple[list[dict], float, int]) -> list[float]:
+        """Of all candidates on one fold: they train on the same rows, which are prepared once."""
+        tried, share, fold = job
         part = rows.where(F.col("_place") < int(share * PLACES)) if share < 1 else rows
-        part = part.withColumn("_held", F.col("_fold") == fold).drop("_place", "_fold")
-        model = train(part, kind, label, split_method="BY_COLUMN", split_column="_held", stage=False, seed=seed, **options)
-        return _value(model, metric)
+        fit, held = split(part.withColumn("_held", F.col("_fold") == fold).drop("_place", "_fold"), "BY_COLUMN", column="_held")
+        variants = [{"seed": seed, **c} for c in tried]
+        found = train_each(fit, held, kind, label, variants, rows=part, split_method="BY_COLUMN", parallel=max(1, parallel // folds))
+        return [_value(m, metric) for m in found]
 
-    with ThreadPool(parallel) as pool:
+    with ThreadPool(min(parallel, folds)) as pool:
         for i, (_, share) in enumerate(plan):
-            jobs = [(c, share, f) for c in tried for f in range(folds)]
-            found = pool.map(inheritable_thread_target(spark)(score), jobs)
-            means = [sum(found[j * folds : (j + 1) * folds]) / folds for j in range(len(tried))]
+            found = pool.map(inheritable_thread_target(spark)(scores), [(tried, share, f) for f in range(folds)])
+            means = [sum(of_one) / folds for of_one in zip(*found, strict=True)]
             order = sorted(range(len(tried)), key=lambda j: (-means[j], j))
             left = set(order[: plan[i + 1][0] if i + 1 < len(plan) else 1])
             trials += [Trial(i + 1, c, share, folds, means[j], j in left) for j, c in enumerate(tried)]

@@ -56,3 +56,31 @@ def test_a_writer_that_dies_leaves_the_old_model(spark, steps, monkeypatch):
     assert models.Model.load(spark, path).features == second.features and len(models._commits(spark, path)) == 2
     with pytest.raises(Exception, match="exists"):  # two writers cannot make the same commit
         models._commit(spark, f"{path}/{models.COMMIT}{max(models._commits(spark, path)):010d}", "v")
+
+
+def test_a_search_prepares_the_rows_of_a_fold_once(spark, steps, monkeypatch):
+    """Not once per candidate, and nothing stays kept; the scores are those of models trained alone."""
+    prepared, prepare, kept = [], models._prepare, len(spark.sparkContext._jsc.getPersistentRDDs())
+    monkeypatch.setattr(models, "_prepare", lambda *a: (prepared.append(1), prepare(*a))[1])
+    grid = {"l2_reg": [50.0, 0.0, 5.0]}
+    found = search.halving_search(steps, "y", "LINEAR_REG", grid, full=True)
+    assert len(prepared) == 2 and len(spark.sparkContext._jsc.getPersistentRDDs()) <= kept + 1  # the rows of the tests themselves
+    rows = search._dealt(steps, "y", 2, 42)
+    for t in found:
+        alone = [
+            models.train(rows.withColumn("held", F.col("_fold") == f).drop("_place", "_fold"), "LINEAR_REG", "y", split_method="BY_COLUMN", split_column="held", **t.candidate)
+            for f in (0, 1)
+        ]
+        assert t.score == pytest.approx(sum(m.metrics["r2_score"] for m in alone) / 2, abs=1e-12)
+
+
+def test_search_of_classes_and_of_preparations(spark, steps):
+    """Candidates that prepare rows in their own way, and classifiers, are measured as when trained alone."""
+    d = steps.select("a", F.when(F.col("noise") > 3, "x").otherwise("z").alias("mark"), (F.col("y") > 4).alias("big"))
+    fit, held = d.where("a < 60"), d.where("a >= 40")
+    variants = [{"num_trees": 2, "encoding": "hash"}, {"num_trees": 3}, {"num_trees": 2, "encoding": "hash", "seed": 5}]
+    found = models.train_each(fit, held, "RANDOM_FOREST_CLASSIFIER", "big", variants, parallel=2)
+    assert [m.options for m in found] == [{"seed": 42, **v, "split_method": "NONE"} for v in variants]
+    for m, v in zip(found, variants):
+        alone = models.train(fit, "RANDOM_FOREST_CLASSIFIER", "big", split_method="NONE", stage=False, **v)
+        assert m.metrics == pytest.approx(models.evaluate(alone, held).first().asDict()) and m.slots == alone.slots
