@@ -316,7 +316,7 @@ def train(
     fit, held = split(rows, split_method, options.get("seed", 42), split_column)
     if split_column in fit.columns:  # never a feature
         fit, held = fit.drop(split_column), held.drop(split_column)
-    model = _train_on(rows, fit, held, kind, label, [options], split_method)[0]
+    model = _train_on(rows, fit, held, [kind], label, [options], split_method)[0]
     if global_explain:
         from . import explain
 
@@ -327,17 +327,19 @@ def train(
 
 
 def train_each(
-    fit: DataFrame, held: DataFrame, model_type: str, label: str, variants: Sequence[Mapping], *,
+    fit: DataFrame, held: DataFrame, model_type: str | Sequence[str], label: str, variants: Sequence[Mapping], *,
     rows: DataFrame | None = None, split_method: str = "NONE", parallel: int = 1,
 ) -> list[Model]:
-    """Supervised models of one type that differ in their options: trained on the rows ``fit``, measured on the rows ``held``.
+    """Supervised models that differ in their options, and in their type if ``model_type`` lists one for each.
 
-    They are what ``train`` makes of each variant, in the same order. Both sides are cut from a written table; a classifier
-    knows the answers found in ``rows``, or else in ``fit``. Rows are prepared once for all variants, and one written
-    table holds the answers of all regressors. ``parallel`` fits run at a time.
+    They are trained on the rows ``fit``, measured on the rows ``held``, and are what ``train`` makes of each variant, in
+    the same order; the types are all regressors or all classifiers. Both sides are cut from a written table; a classifier
+    knows the answers found in ``rows``, or else in ``fit``. Rows are prepared once for all variants that prepare them alike,
+    and one written table holds the answers of their regressors. ``parallel`` fits run at a time.
     """
+    kinds = [model_type] * len(variants) if isinstance(model_type, str) else model_type
     fit, held, rows = (_labelled(part, label, None, None, False) for part in (fit, held, fit if rows is None else rows))
-    return _train_on(rows, fit, held, model_type.upper(), label, variants, split_method, parallel)
+    return _train_on(rows, fit, held, [k.upper() for k in kinds], label, variants, split_method, parallel)
 
 
 def _labelled(df: DataFrame, label: str | None, split_column: str | None, catalog: Mapping[str, Feature] | None, stage: bool) -> DataFrame:
@@ -350,7 +352,7 @@ def _labelled(df: DataFrame, label: str | None, split_column: str | None, catalo
 
 
 def _train_on(
-    rows: DataFrame, fit: DataFrame, held: DataFrame, kind: str, label: str, variants: Sequence[Mapping], split_method: str, parallel: int = 1
+    rows: DataFrame, fit: DataFrame, held: DataFrame, kinds: Sequence[str], label: str, variants: Sequence[Mapping], split_method: str, parallel: int = 1
 ) -> list[Model]:
     """A model per variant. Variants that prepare their rows alike share the prepared rows and their passes.
 
@@ -358,16 +360,16 @@ def _train_on(
     the executors' disks: in their partitions, as seeded draws depend on those.
     """
     spark, out = fit.sparkSession, {}
-    for alike in _alike(variants):
-        ready, fitted = _ready(rows, fit, kind, label, variants[alike[0]])
+    for alike in _alike(kinds, variants):
+        ready, fitted = _ready(rows, fit, kinds[alike[0]], label, variants[alike[0]])
         several = len(alike) > 1
-        if several or kind in TREES:
+        if several or kinds[alike[0]] in TREES:
             ready = ready.persist(StorageLevel.DISK_ONLY)
         try:
             if several:  # before fits that run side by side each begin to
                 ready.count()
             with ThreadPool(min(parallel, len(alike))) as pool:
-                fits = pool.map(inheritable_thread_target(spark)(lambda i: fitted(ready, variants[i], split_method)), alike)
+                fits = pool.map(inheritable_thread_target(spark)(lambda i: fitted(ready, kinds[i], variants[i], split_method)), alike)
         finally:
             ready.unpersist()
         for i, model, metrics in zip(alike, fits, _metrics_of(fits, held, parallel), strict=True):
@@ -379,11 +381,12 @@ def _train_on(
 PREPARING = ("encoding", "target_folds", "target_smoothing", "auto_class_weights", "max_classes")
 
 
-def _alike(variants: Sequence[Mapping]) -> list[list[int]]:
+def _alike(kinds: Sequence[str], variants: Sequence[Mapping]) -> list[list[int]]:
     """Places of the variants, those that prepare their rows alike together."""
     groups: list[list[int]] = []
-    for i, o in enumerate(variants):
-        same = next((g for g in groups if all(variants[g[0]].get(k) == o.get(k) for k in PREPARING)), None)
+    way = [(k in TREES, k in CLASSIFIERS, k == "DNN_CLASSIFIER", *(o.get(p) for p in PREPARING)) for k, o in zip(kinds, variants, strict=True)]
+    for i in range(len(variants)):
+        same = next((g for g in groups if way[g[0]] == way[i]), None)
         if same is None:
             groups.append(same := [])
         same.append(i)
@@ -421,7 +424,7 @@ def _ready(rows: DataFrame, fit: DataFrame, kind: str, label: str, options: Mapp
     keep = ["_scaled" if kind == "DNN_CLASSIFIER" else "_features", "_label"]
     keep += ["_weight"] if "_weight" in labelled.columns else []
 
-    def fitted(ready: DataFrame, options: Mapping, split_method: str) -> Model:
+    def fitted(ready: DataFrame, kind: str, options: Mapping, split_method: str) -> Model:
         last = _estimator(kind, options, len(classes or []), sum(n for _, n in slots), bins).fit(ready)
         pipeline = PipelineModel(stages=[*prep.stages, last])
         stored = {**options, "split_method": split_method, "seed": options.get("seed", 42)}

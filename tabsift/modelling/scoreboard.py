@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from ..session import staged
 from . import evaluate as ev
-from .models import CLUSTER_COUNTS, REGRESSORS, Model, evaluate, predict, train, train_each
+from .models import CLUSTER_COUNTS, REGRESSORS, UNSUPERVISED, Model, evaluate, predict, train, train_each
 from .split import split as _split
 
+# What ``train`` takes beside the options of a model.
+TRAINING = {"split_method", "split_column", "global_explain", "catalog", "stage"}
+
 
 def split(df: DataFrame, policy: str, seed: int = 42):
     """One written table, cut once: every model of a comparison sees the same rows."""
@@ -42,10 +45,17 @@ def scoreboard(models: Mapping[str, Model], holdout: DataFrame) -> DataFrame:
 
 
 def model_search(df: DataFrame, label: str, kinds: Sequence[str], seed: int = 42, split_method: str = "AUTO", **options) -> DataFrame:
-    """Train several model types on one split and score all of them on its other side."""
+    """Train several model types on one split and score all of them on its other side.
+
+    Types that prepare their rows alike share the prepared rows, and no type is measured on the rows it learned from.
+    """
     fit, held = split(df, split_method, seed)
-    models = {k: train(fit, k, label, split_method="NONE", stage=False, seed=seed, **options.get(k, {})) for k in kinds}
-    return scoreboard(models, held)
+    ways = {k: {"seed": seed, **options.get(k, {})} for k in kinds}
+    if any(k.upper() in UNSUPERVISED or set(o) & TRAINING for k, o in ways.items()) or len({k.upper() in REGRESSORS for k in kinds}) > 1:
+        return scoreboard({k: train(fit, k, label, split_method="NONE", stage=False, **o) for k, o in ways.items()}, held)
+    models = train_each(fit, held, list(ways), label, list(ways.values()))
+    rows = [("baseline", _baseline(held, label, models[0].kind in REGRESSORS))]
+    return _long(held.sparkSession, rows + [(k, m.metrics) for k, m in zip(ways, models, strict=True)])
 
 
 def ablate(
