@@ -13,14 +13,17 @@ import math
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, OneVsRestModel, RandomForestClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Columns on a path up to which all patterns of a leaf are worked out ahead.
 TABLE_COLUMNS = 10
+# Bytes of values that a task keeps for rows to come.
+KNOWN_BYTES = 32 * 1024 * 1024
 
 
 @dataclass
@@ -69,24 +72,58 @@ class Ensemble:
     slots: list[int] = field(default_factory=list)
     splits: list[Split] = field(default_factory=list)
     leaves: list[Leaf] = field(default_factory=list)
+    marks: list[np.ndarray] | None = field(default=None, repr=False, compare=False)  # per slot what its splits ask for
+    listed: list[bool] = field(default_factory=list, repr=False, compare=False)
+    known: tuple[np.ndarray, np.ndarray] | None = field(default=None, repr=False, compare=False)  # cells and their values
 
     @property
     def baseline(self) -> np.ndarray:
         return sum((leaf.value * leaf.shares.prod() for leaf in self.leaves), np.zeros(self.outputs))
 
     def values(self, x: np.ndarray) -> np.ndarray:
-        """rows x outputs x players, for rows of the used slots; rows that answer all splits alike share their values."""
-        place = {s: i for i, s in enumerate(self.slots)}
+        """rows x outputs x players, for rows of the used slots; rows that answer all splits alike share their values.
+
+        Between its thresholds a slot's values answer alike. The places of a row in all slots make one number, its cell; the
+        values of cells met before are kept, up to KNOWN_BYTES.
+        """
         if not self.splits or not len(x):
             return np.zeros((len(x), self.outputs, len(self.players)))
-        left = np.array([s.goes_left(x[:, place[s.slot]]) for s in self.splits])
-        at = np.zeros(len(x), np.int64)  # the number of each row's pattern, 32 splits at a time
-        for i in range(0, len(left), 32):
-            code = sum(side.astype(np.int64) << j for j, side in enumerate(left[i : i + 32]))
-            part, several = pd.factorize(code)
-            at = pd.factorize(at * len(several) + part)[0]
-        first = np.unique(at, return_index=True)[1]
-        return self._of_answers(left[:, first])[at]
+        codes, lasting = self._cells(x)
+        cells, first, at = np.unique(codes, return_index=True, return_inverse=True)
+        if self.known is None or not lasting:
+            self.known = cells, self._answers(x[first])
+        elif len(new := np.flatnonzero(~np.isin(cells, self.known[0], assume_unique=True))):
+            more, old = self._answers(x[first[new]]), self.known
+            both = np.concatenate([old[0], cells[new]])
+            order = np.argsort(both)
+            self.known = both[order], np.concatenate([old[1], more])[order]
+        found = self.known[1][np.searchsorted(self.known[0], cells)][at]
+        if not lasting or self.known[1].nbytes > KNOWN_BYTES:
+            self.known = None
+        return found
+
+    def _cells(self, x: np.ndarray) -> tuple[np.ndarray, bool]:
+        """The number of each row's cell, and whether it means the same for other rows too."""
+        if self.marks is None:
+            of_slot = lambda s: [v for t in self.splits if t.slot == s for v in ([t.threshold] if t.threshold is not None else t.left)]
+            self.marks = [np.unique(np.array(of_slot(s), dtype="float64")) for s in self.slots]
+            self.listed = [any(t.slot == s and t.threshold is None for t in self.splits) for s in self.slots]
+        code, size, lasting = np.zeros(len(x), np.int64), 1, True
+        for i, (marks, listed) in enumerate(zip(self.marks, self.listed, strict=True)):
+            place = np.searchsorted(marks, x[:, i])  # at a mark or below it, above the one before; undefined ones beyond all
+            width = len(marks) + 1
+            if listed:  # a category of a list is at its mark, any other is not
+                there = marks[np.minimum(place, len(marks) - 1)] == x[:, i]
+                place, width = 2 * place + there, 2 * width
+            if size * width >= 1 << 62:  # too many cells for one number: go on from the ones that these rows are in
+                several, code = np.unique(code, return_inverse=True)
+                size, lasting = len(several), False
+            code, size = code * width + place, size * width
+        return code, lasting
+
+    def _answers(self, x: np.ndarray) -> np.ndarray:
+        place = {s: i for i, s in enumerate(self.slots)}
+        return self._of_answers(np.array([s.goes_left(x[:, place[s.slot]]) for s in self.splits]))
 
     def _of_answers(self, left: np.ndarray) -> np.ndarray:
         """patterns x outputs x players, for patterns of splits x whether they go left."""
@@ -173,29 +210,32 @@ def _add(out: Ensemble, fitted, owner, spread) -> None:
 
 
 def _used(ensemble: Ensemble):
-    """The used slots of a row's vector as one short array."""
+    """The used slots of a row's vector as columns."""
     cells = vector_to_array("_features")
-    return F.array(*[cells[s] for s in ensemble.slots]) if ensemble.slots else F.array().cast("array<double>")
+    return [cells[s].alias(f"_used{i}") for i, s in enumerate(ensemble.slots)]
 
 
-def _stacked(column: pd.Series, width: int) -> np.ndarray:
-    return np.array(column.tolist(), dtype="float64").reshape(len(column), width)
+def _stacked(columns: list[pa.Array], rows: int) -> np.ndarray:
+    return np.column_stack([c.to_numpy(zero_copy_only=False) for c in columns]) if columns else np.zeros((rows, 0))
 
 
 def row_values(scored: DataFrame, ensemble: Ensemble, keep: list[str]) -> DataFrame:
     """The columns ``keep`` and ``_values``: per output an array with a value per column of the model; map-only."""
     sent = scored.sparkSession.sparkContext.broadcast(ensemble)
+    kept = len(keep)
 
     def run(batches):
         model = sent.value
-        for pdf in batches:
-            found = model.values(_stacked(pdf.pop("_used"), len(model.slots)))
-            pdf["_values"] = found.tolist()
-            yield pdf
+        for batch in batches:
+            found = model.values(_stacked(batch.columns[kept:], len(batch)))
+            n, outputs, players = found.shape
+            inner = pa.ListArray.from_arrays(pa.array(np.arange(n * outputs + 1, dtype=np.int32) * players), pa.array(found.ravel()))
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * outputs), inner)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:kept], lists], [*batch.schema.names[:kept], "_values"])
 
-    rows = scored.select(*[F.col(f"`{c}`") for c in keep], _used(ensemble).alias("_used"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_used")
-    return rows.mapInPandas(run, f"{schema}{', ' if schema else ''}_values array<array<double>>")
+    rows = scored.select(*[F.col(f"`{c}`") for c in keep], *_used(ensemble))
+    schema = T.StructType([*rows.schema.fields[:kept], T.StructField("_values", T.ArrayType(T.ArrayType(T.DoubleType())))])
+    return rows.mapInArrow(run, schema)
 
 
 def mean_values(scored: DataFrame, ensemble: Ensemble) -> np.ndarray:
@@ -205,14 +245,15 @@ def mean_values(scored: DataFrame, ensemble: Ensemble) -> np.ndarray:
     def run(batches):
         model = sent.value
         total, n = np.zeros((model.outputs, len(model.players))), 0
-        for pdf in batches:
-            total += np.abs(model.values(_stacked(pdf["_used"], len(model.slots)))).sum(axis=0)
-            n += len(pdf)
-        places = np.indices(total.shape).reshape(2, -1)
-        yield pd.DataFrame({"o": places[0], "p": places[1], "total": total.ravel(), "n": n})
-
-    rows = scored.select(_used(ensemble).alias("_used"))
-    sums = rows.mapInPandas(run, "o int, p int, total double, n long").groupBy("o", "p").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+        for batch in batches:
+            total += np.abs(model.values(_stacked(batch.columns, len(batch)))).sum(axis=0)
+            n += len(batch)
+        places = np.indices(total.shape, dtype=np.int32).reshape(2, -1)
+        columns = [places[0], places[1], total.ravel(), np.full(total.size, n, np.int64)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["o", "p", "total", "n"])
+
+    rows = scored.select(*_used(ensemble))
+    sums = rows.mapInArrow(run, "o int, p int, total double, n long").groupBy("o", "p").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
     out = np.zeros((ensemble.outputs, len(ensemble.players)))
     for r in sums.collect():  # outputs x columns of the model
         out[r.o, r.p] = r.total / r.n if r.n else 0.0
