@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import scalars as S
+from ..session import small_methods
 from . import aggregates
 
 # Fixed values of the profile.
@@ -254,7 +255,7 @@ def identity_search(
 ) -> DataFrame:
     """What ``identity_hunt`` finds, without trying every formula on every row: for tables of many columns.
 
-    On a probe of the rows, drawn by their hash, the value of each ``a ∘ b`` is looked up among the row's sorted
+    On a probe of the rows, drawn at random, the value of each ``a ∘ b`` is looked up among the row's sorted
     values, which takes the square of the columns and not the cube, and gives every formula's misses there. A formula
     may miss on ``1 - min_share`` of the rows that have all its columns, so one that missed more often in the probe
     alone is ruled out for certain; all others are counted on all rows. The probe decides the cost, never the answer.
@@ -262,15 +263,16 @@ def identity_search(
     """
     import numpy as np
 
-    known = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(f"k{i}") for i, c in enumerate(columns)]).first()
+    with small_methods(df.sparkSession):
+        known = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(f"k{i}") for i, c in enumerate(columns)]).first()
     used = [(c, known[f"k{i}"]) for i, c in enumerate(columns) if known[f"k{i}"] >= MIN_IDENTITY_VALUES]
     names, filled = [c for c, _ in used], np.array([k for _, k in used], np.int64)
     numbers = df.select(*[F.col(c).cast("double") for c in names])
     formulas = _formulas(len(names), ratio)
     left: list[Identity] = []
     if names:
-        drawn = F.pmod(F.xxhash64(*names), F.lit(1_000_000)) < int(probe_share * 1_000_000)
-        probe = numbers.where(drawn).repartition(1 + int(known["_rows"] * probe_share) // PROBE_ROWS)
+        # No column is worked out for the rows that are not drawn.
+        probe = df.where(F.rand(42) < probe_share).select(*[F.col(c).cast("double") for c in names]).repartition(1 + int(known["_rows"] * probe_share) // PROBE_ROWS)
         sums = probe.mapInArrow(_prober(formulas, tolerance), "place bigint, misses bigint").groupBy("place").agg(F.sum("misses").alias("misses"))
         found = sums.toArrow()
         misses = np.zeros(len(formulas) * len(names), np.int64)
@@ -336,30 +338,69 @@ def _prober(formulas: Sequence[tuple[str, int, int]], tolerance: float):
 
 
 def _misses(table, there, groups, shapes, tolerance, np):
-    values, usable = [], []
+    """Misses of every formula as each column on these rows, CACHED_ROWS at a time."""
+    width, count = table.shape[1], sum(len(pairs) for _, pairs in groups)
+    hits, seen = np.zeros(count * width, np.int64), np.zeros((count, width), np.int64)
     with np.errstate(all="ignore"):
-        for shape, pairs in groups:
-            a, b = pairs[:, 0], pairs[:, 1]
-            ok = there[:, a] & there[:, b] if "{b}" in shape else there[:, a]
-            if "/" in shape:
-                ok = ok & (table[:, b if shape.startswith("{a}") else a] != 0)
-            values.append(shapes[shape](table[:, a], table[:, b]))
-            usable.append(ok)
-        values, usable = np.concatenate(values, axis=1), np.concatenate(usable, axis=1)
-        seen = usable.T.astype(np.float32) @ there.astype(np.float32)  # whole numbers below 2^24
-        hits = np.zeros(seen.size, np.int64)
-        reach = tolerance * np.maximum(np.abs(values), 1.0) / max(1e-9, 1 - tolerance) * (1 + 1e-9)
-        for row in range(len(table)):
-            columns = np.flatnonzero(there[row] & np.isfinite(table[row]))
-            columns = columns[np.argsort(table[row, columns])]
-            y = table[row, columns]
-            asked = np.flatnonzero(usable[row] & np.isfinite(values[row]))
-            v = values[row, asked]
-            first = np.searchsorted(y, v - reach[row, asked], "left")
-            count = np.searchsorted(y, v + reach[row, asked], "right") - first
-            near = np.flatnonzero(count > 0)
-            which = np.repeat(near, count[near])
-            spot = np.arange(len(which)) - np.repeat(np.cumsum(count[near]) - count[near], count[near]) + first[which]
-            close = np.abs(v[which] - y[spot]) <= tolerance * np.maximum(np.maximum(np.abs(v[which]), np.abs(y[spot])), 1.0)
-            hits[asked[which[close]] * table.shape[1] + columns[spot[close]]] += 1
-    return seen.astype(np.int64) - hits.reshape(seen.shape)
+        for at in range(0, len(table), CACHED_ROWS):
+            t, known = np.ascontiguousarray(table[at : at + CACHED_ROWS].T), np.ascontiguousarray(there[at : at + CACHED_ROWS].T)
+            values, usable = [], []
+            for shape, pairs in groups:
+                a, b = pairs[:, 0], pairs[:, 1]
+                ok = known[a] & known[b] if "{b}" in shape else known[a]
+                if "/" in shape:
+                    ok = ok & (t[b if shape.startswith("{a}") else a] != 0)
+                values.append(shapes[shape](t[a], t[b]))
+                usable.append(ok)
+            values, usable = np.concatenate(values), np.concatenate(usable)
+            full = known.all() and usable.all()
+            seen += t.shape[1] if full else (usable.astype(np.float32) @ known.T.astype(np.float32)).astype(np.int64)  # whole numbers below 2^24
+            _add_hits(hits, t, known & np.isfinite(t), values, usable & np.isfinite(values), tolerance, np)
+    return seen - hits.reshape(seen.shape)
+
+
+# Rows whose values are looked up together, so that they stay in the processor's cache, and pairs compared at a time.
+CACHED_ROWS = 32
+COMPARED = 1_000_000
+
+
+def _add_hits(hits, t, live, values, usable, tolerance, np):
+    """Count every value that is close to a column of its row: ``t`` is columns x rows, ``values`` formulas x rows.
+
+    A number's bucket is its place on a scale that is linear near zero and goes with the exponent beyond. Buckets are as wide as
+    numbers can be apart that are close, so those of a row lie in one bucket or in two side by side.
+    """
+    width, rows = t.shape
+    apart = (1 << 24) * tolerance / max(1e-9, 1 - tolerance) + 4
+    shift = min(31, max(14, int(np.ceil(np.log2(apart)))))  # wide enough for a list of all buckets
+    one = int(np.float32(1).view(np.int32))
+
+    def bucket(x):
+        scale = (np.abs(x) + 1).astype(np.float32).view(np.int32) - np.int32(one)
+        return np.where(x < 0, -scale, scale) >> np.int32(shift)
+
+    column, row = np.nonzero(live)
+    if not len(column):
+        return
+    own = bucket(t)[column, row].astype(np.int64)
+    around = np.concatenate([own - 1, own, own + 1])
+    low, span = around.min(), int(around.max() - around.min()) + 1
+    code = np.tile(row, 3) * span + (around - low)
+    order = np.argsort(code, kind="stable")
+    code, column = code[order], np.tile(column, 3)[order]
+    first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+    several = np.diff(np.append(first, len(code)))
+    begins = np.full(rows * span, -1, np.int32)
+    begins[code[first]] = np.arange(len(first), dtype=np.int32)
+    asked = bucket(values) - np.int32(low)
+    inside = usable & (asked >= 0) & (asked < span)
+    run = begins.take(asked + np.arange(rows, dtype=np.int32) * np.int32(span), mode="clip")
+    near = np.flatnonzero((run >= 0) & inside)
+    run, flat = run.ravel(), values.ravel()
+    for some in np.array_split(near, 1 + int(several[run[near]].sum()) // COMPARED):
+        n = several[run[some]]
+        which = np.repeat(some, n)
+        column_of = column[np.arange(len(which)) + np.repeat(first[run[some]] - (np.cumsum(n) - n), n)]
+        v, y = flat[which], t[column_of, which % rows]
+        close = np.abs(v - y) <= tolerance * np.maximum(np.maximum(np.abs(v), np.abs(y)), 1.0)
+        np.add.at(hits, which[close] // rows * width + column_of[close], 1)
